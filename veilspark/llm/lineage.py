@@ -1,0 +1,32 @@
+"""Cutting lineage with tables in the folder that the cluster's nodes share."""
+
+from __future__ import annotations
+
+import gc
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame
+
+
+def shared_folder(spark) -> str:
+    """The folder named by spark.checkpoint.dir; where that is unset (tests on one machine), a temporary one is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    if not folder:
+        folder = spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="veilspark-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes a table into the shared folder and reads it again: a lost executor costs no more than the read. What the
+    plans so far have shuffled is then free to go."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/veilspark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # Spark drops shuffle files once the driver has no reference to them
+    return out
