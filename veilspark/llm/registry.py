@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 from . import benchmark_decontamination as op10
+from . import language_id as op3
+from . import license_scans as op9
+from . import quality_rules as op8
+from . import substring_dedup as op1
 
 QUERIES = {
+    "op1_substring_dedup": op1.op1_substring_dedup,
+    "op3_language_id": op3.op3_language_id,
+    "op8_quality_rules": op8.op8_quality_rules,
+    "op9_license_scans": op9.op9_license_scans,
     "op10_benchmark_decontamination": op10.op10_benchmark_decontamination,
 }
 SQL = {
+    "op1_substring_dedup": op1.SQL,
     "op10_benchmark_decontamination": op10.SQL,
 }
