@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame
@@ -28,5 +29,7 @@ def cut(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     gc.collect()
-    spark.sparkContext._jvm.System.gc()  # Spark drops shuffle files once the driver has no reference to them
+    for _ in range(2):  # Spark drops shuffle files once the driver has no reference to them; events still hold some at first
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
     return out
