@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 from . import benchmark_decontamination as op10
+from . import chat_formatting as op4
 from . import language_id as op3
 from . import license_scans as op9
+from . import line_dedup as op6
 from . import quality_rules as op8
 from . import substring_dedup as op1
+from . import url_filters as op7
 
 QUERIES = {
     "op1_substring_dedup": op1.op1_substring_dedup,
     "op3_language_id": op3.op3_language_id,
+    "op4_chat_formatting": op4.op4_chat_formatting,
+    "op6_line_dedup": op6.op6_line_dedup,
+    "op7_url_filters": op7.op7_url_filters,
     "op8_quality_rules": op8.op8_quality_rules,
     "op9_license_scans": op9.op9_license_scans,
     "op10_benchmark_decontamination": op10.op10_benchmark_decontamination,
 }
 SQL = {
     "op1_substring_dedup": op1.SQL,
+    "op4_chat_formatting": op4.SQL,
+    "op6_line_dedup": op6.SQL,
     "op10_benchmark_decontamination": op10.SQL,
 }
