@@ -190,6 +190,7 @@ def map_texts(
     fields: list[tuple[str, str]],
     keep: dict[str, Column] | None = None,
     text: str | Column = "text",
+    pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
     """Runs ``work(bytes, offsets, kept columns)`` over all texts of ``docs`` inside Spark tasks.
 
@@ -211,7 +212,7 @@ def map_texts(
         with np.errstate(over="ignore"):
             for batch in batches:
                 data, offsets = string_buffers(batch.column(len(names)))
-                for lo, hi in pieces(offsets):
+                for lo, hi in pieces(offsets, pass_bytes):
                     part = batch.slice(lo, hi - lo)
                     rows, columns = work(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], part)
                     took = [c if rows is None else c.take(pa.array(rows, pa.int64())) for c in part.columns[: len(names)]]
