@@ -8,13 +8,17 @@ from . import language_id as op3
 from . import license_scans as op9
 from . import line_dedup as op6
 from . import quality_rules as op8
+from . import ngram_jaccard as op2
+from . import sentencepiece_codec as op5
 from . import substring_dedup as op1
 from . import url_filters as op7
 
 QUERIES = {
     "op1_substring_dedup": op1.op1_substring_dedup,
+    "op2_ngram_jaccard_join": op2.op2_ngram_jaccard_join,
     "op3_language_id": op3.op3_language_id,
     "op4_chat_formatting": op4.op4_chat_formatting,
+    "op5_sentencepiece_codec": op5.op5_sentencepiece_codec,
     "op6_line_dedup": op6.op6_line_dedup,
     "op7_url_filters": op7.op7_url_filters,
     "op8_quality_rules": op8.op8_quality_rules,
@@ -23,6 +27,7 @@ QUERIES = {
 }
 SQL = {
     "op1_substring_dedup": op1.SQL,
+    "op2_ngram_jaccard_join": op2.SQL,
     "op4_chat_formatting": op4.SQL,
     "op6_line_dedup": op6.SQL,
     "op10_benchmark_decontamination": op10.SQL,
