@@ -80,7 +80,7 @@ def test_decontamination_is_brute_force(spark, most):
 def test_decontamination_cuts_spans(spark):
     docs = table(spark, [(1, "before ONE two, three é after", None), (2, "clean text", None), (3, None, None)])
     bench = spark.createDataFrame([(1, "one two three é")], "item_id long, text string")
-    cut = decontamination.remove_spans(docs, decontamination.decontaminate(docs, bench))
+    cut = decontamination.clean_texts(docs, bench)
     assert {r.doc_id: r.text for r in cut.collect()} == {1: "before   after", 2: "clean text", 3: None}
     assert cut.columns == docs.columns
     assert decontamination.decontaminate(docs, bench.limit(0)).filter("n_hit > 0").count() == 0

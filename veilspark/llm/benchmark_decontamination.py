@@ -136,17 +136,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORD
     return whole.select(*names, "n_words", F.size("hit_words").cast("long").alias("n_hit"), "items", "span_starts", "span_ends", "hit_words")
 
 
-def remove_spans(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """Documents with the hit spans cut out of ``text`` (a space each); joined by doc_id, which has to be unique."""
-    spans = hits.select(F.col("doc_id").alias("_id"), "span_starts", "span_ends").filter(F.size("span_starts") > 0)
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    raw = F.col("text").cast("binary")
-    at = F.array_sort("span_starts")
-    to = F.array_sort("span_ends")
-    begin = F.concat(F.array(F.lit(0).cast("long")), to)
-    end = F.concat(at, F.array(F.length(raw).cast("long")))
+def clean_texts(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """All rows and columns of ``docs``; each run of hit words is cut out of ``text`` and leaves a space. The text travels with
+    its spans, so nothing is joined or shuffled."""
+    keep = {f"c{i}": F.col(c) for i, c in enumerate(docs.columns)}
+    hits = decontaminate(docs, benchmark, size, max_windows, keep=keep)
+    text = F.col(f"c{docs.columns.index('text')}")
+    raw = text.cast("binary")
+    begin = F.concat(F.array(F.lit(0).cast("long")), F.array_sort("span_ends"))
+    end = F.concat(F.array_sort("span_starts"), F.array(F.length(raw).cast("long")))
     kept = F.zip_with(begin, end, lambda a, b: F.substring(raw, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int")).cast("string"))
-    return joined.withColumn("text", F.when(F.col("_id").isNotNull() | F.col("span_starts").isNotNull(), F.array_join(kept, " ")).otherwise(F.col("text"))).select(*docs.columns)
+    cut_text = F.when(F.col("n_hit") > 0, F.array_join(kept, " ")).otherwise(text)
+    return hits.select(*[cut_text.alias(c) if c == "text" else F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
