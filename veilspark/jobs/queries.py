@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.rules import ALL_VALUES, VALUE_RULES, RuleSet, effective_rules, rule_table, rules_named
-from ..operators import findings, redaction, vault
+from ..operators import findings, redaction, requests, vault
 
 KEY = b"an example key; give your own"
 TTL = 3600
@@ -265,6 +265,45 @@ def media_routes(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", C.media_route(F.get(kinds, (F.col("page_id") % 5).cast("int"))).alias("route"), C.looks_like_json(F.col("html")).alias("json"))
 
 
+# ---- requests and chunks
+
+
+def _requests(spark, sf_dir) -> DataFrame:
+    return requests.chat_requests(table(spark, sf_dir, "conversations"))
+
+
+def request_regions(spark, sf_dir):
+    """The text regions of chat bodies."""
+    parsed = _requests(spark, sf_dir).select("request_id", F.posexplode(F.from_json("body", "messages array<struct<role:string,content:string>>")["messages"]).alias("place", "m"))
+    return parsed.select("request_id", F.concat(F.lit("$.messages["), F.col("place").cast("string"), F.lit("].content")).alias("path"), F.col("m.content").alias("text"))
+
+
+def redact_requests(spark, sf_dir):
+    """Chat bodies through the request redactor; a body without a finding comes back byte for byte."""
+    given = _requests(spark, sf_dir)
+    done = requests.redact_requests(given, effective_rules(), KEY)
+    return done.select("request_id", F.array_join("result.rules", ",").alias("rules"), (F.col("result.body") == F.col("body")).alias("unchanged"), F.col("result.error").isNull().alias("accepted"))
+
+
+def stitch_text(spark, sf_dir):
+    """Conversations put together in order, as deltas of a channel are."""
+    own = table(spark, sf_dir, "conversations").groupBy("conv_id", "role").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("x"))
+    return own.select("conv_id", "role", F.sha2(F.array_join("x.text", ""), 256).alias("text_sha256"))
+
+
+def chunk_order(spark, sf_dir):
+    """The step from each turn's predecessor; above 1 there is a gap."""
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.col("turn") - F.lag("turn").over(w)).alias("step"))
+
+
+def late_events(spark, sf_dir):
+    """Events behind the first purchase of their user, as chunks behind a completion are refused."""
+    events = table(spark, sf_dir, "events")
+    done = events.filter("event_type = 'purchase'").groupBy("user_id").agg(F.min("ts").alias("done_ts"))
+    return events.join(done, "user_id").filter("ts > done_ts").groupBy("user_id").agg(F.count("*").alias("late"))
+
+
 QUERIES = {f"rule_{name}": partial(rule_query, name=name) for name, *_ in VALUE_RULES}
 SQL = {f"rule_{name}": rule_sql(name) for name, *_ in VALUE_RULES}
 QUERIES |= {
@@ -272,7 +311,8 @@ QUERIES |= {
     for f in (
         count_by_rule, detect_text, detect_pages, first_finding, block_reason, summarize_findings, has_secret, block_documents, pass_documents, rule_catalog,
         make_token, redact_field, redact_email, redact_documents, redact_twice, redact_columns, vault_rows, live_mapping, compact_vault, dedupe_vault, round_trip,
-        collect_tokens, restore_gate, forged_tokens, luhn_check, china_id_check, ascii_lower, field_names, token_shapes, media_routes,
+        collect_tokens, restore_gate, forged_tokens, luhn_check, china_id_check, ascii_lower, field_names, token_shapes, media_routes, request_regions, redact_requests,
+        stitch_text, chunk_order, late_events,
     )
 }
 _AT = f"({START} + to_minutes(CAST(doc_id AS BIGINT)))"
@@ -307,5 +347,10 @@ SELECT doc_id, {_sql_hmac('x')} AS token FROM h WHERE x NOT IN (SELECT x FROM h
     "ascii_lower": f"SELECT doc_id, sha256(translate(text, '{C._UPPER}', '{C._LOWER}')) AS lower_sha256 FROM documents",
     "field_names": "SELECT doc_id, CASE WHEN length(x) > 80 THEN substr(x, 1, 77) || '...' ELSE x END AS name, '\"' || lang || '\": \"[REDACTED]\"' AS shown FROM (SELECT doc_id, lang, regexp_replace(substr(text, 1, 90), '[[:cntrl:]]', ' ', 'g') AS x FROM documents)",
     "token_shapes": "SELECT c_custkey, CAST(1 AS BIGINT) AS plain, CAST(2 AS BIGINT) AS canonical, FALSE AS whole, CAST(5 AS BIGINT) AS tail FROM customer",
+    "request_regions": "SELECT CAST(conv_id AS VARCHAR) AS request_id, '$.messages[' || (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1) || '].content' AS path, text FROM conversations",
+    "redact_requests": f"SELECT CAST(conv_id AS VARCHAR) AS request_id, '' AS rules, TRUE AS unchanged, TRUE AS accepted FROM conversations GROUP BY conv_id HAVING NOT bool_or({' OR '.join(f'regexp_matches(text, {_sql_text(p)})' for n, p, v, d in VALUE_RULES if d)})",
+    "stitch_text": "SELECT conv_id, role, sha256(string_agg(text, '' ORDER BY turn, text)) AS text_sha256 FROM conversations GROUP BY conv_id, role",
+    "chunk_order": "SELECT conv_id, turn, turn - lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS step FROM conversations",
+    "late_events": "SELECT e.user_id, count(*) AS late FROM events e JOIN (SELECT user_id, min(ts) AS d FROM events WHERE event_type = 'purchase' GROUP BY user_id) p ON e.user_id = p.user_id WHERE ts > d GROUP BY e.user_id",
     "media_routes": "SELECT page_id, ['json', 'sse', 'json', 'other', 'unknown'][page_id % 5 + 1] AS route, regexp_matches(html, '^[ \\t\\r\\n]*[\\[{]') AS json FROM pages",
 }
