@@ -21,15 +21,15 @@ def shared_folder(spark) -> str:
     return folder.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, release: bool = True) -> DataFrame:
     """Writes a table into the shared folder and reads it again: a lost executor costs no more than the read. What the
-    plans so far have shuffled is then free to go."""
+    plans so far have shuffled is then free to go; small tables of a loop need no ``release`` each."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/veilspark-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    gc.collect()
-    for _ in range(2):  # Spark drops shuffle files once the driver has no reference to them; events still hold some at first
+    for _ in range(2 if release else 0):  # Spark drops shuffle files once the driver has no reference to them; events still hold some at first
+        gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.5)
     return out

@@ -211,14 +211,13 @@ def _forests(members: DataFrame, percent: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(v, label): for every end of an edge (a, b) the least number that its component holds. Each round takes the least label
     around every vertex and then that label's own label, until none moves."""
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = both.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("label"))
+    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), release=False)
+    labels = cut(both.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("label")), release=False)
     while True:
-        labels = cut(labels)
         near = both.join(labels.select(F.col("v").alias("b"), "label"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("least"))
         least = labels.join(near, "v").select("v", F.col("label").alias("was"), F.least("label", "least").alias("label"))
         jump = labels.select(F.col("v").alias("label"), F.col("label").alias("next"))
-        moved = cut(least.join(jump, "label", "left").select("v", "was", F.least("label", "next").alias("label")))
+        moved = cut(least.join(jump, "label", "left").select("v", "was", F.least("label", "next").alias("label")), release=False)
         if moved.filter("label <> was").isEmpty():
             return labels
         labels = moved.select("v", "label")
@@ -291,10 +290,10 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     members = cut(keys.join(shared, "key").distinct())
     points = members.join(classes.select("c", "n", "point"), "c").select("key", "n", "c", "point")
     forests = _forests(points.repartition("key").sortWithinPartitions("key", "n", "c"), percent)
-    clusters = components(cut(forests.distinct())).withColumnRenamed("label", "cluster")
+    clusters = components(cut(forests.distinct(), release=False)).withColumnRenamed("label", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     wanted = clusters.join(sizes, "cluster").join(classes.select(F.col("c").alias("v"), "d"), "v").select("d", F.col("v").alias("c"), "cluster", "blocks")
-    links = cut(_links(own, cut(wanted), shingle, percent))
+    links = cut(_links(own, cut(wanted, release=False), shingle, percent))
     labels = components(links).select(F.col("v").alias("c"), "label")
     grouped = classes.select("c", "d").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
     least = grouped.groupBy("label").agg(F.min("d").alias("component"))

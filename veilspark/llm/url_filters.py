@@ -72,14 +72,14 @@ def page_rank(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     ends = seeds.join(links.select("kind", F.col("src").alias("host")).distinct(), ["kind", "host"], "left_anti")
     whole = links.unionByName(ends.select("kind", F.col("host").alias("src"), F.col("host").alias("dst"), F.lit(1).cast("long").alias("weight")))
     out = whole.groupBy("kind", "src").agg(F.sum("weight").alias("_all"))
-    share = cut(whole.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (damping * F.col("weight") / F.col("_all")).alias("share")))
+    share = cut(whole.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (damping * F.col("weight") / F.col("_all")).alias("share")), release=False)
     kept = seeds.select("kind", "host", ((1 - damping) * F.col("seed")).alias("mass"))
     mass = seeds.select("kind", "host", F.col("seed").cast("double").alias("mass"))
     for i in range(rounds):
         moved = mass.join(share, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share")).alias("mass"))
         mass = moved.unionByName(kept).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
         if i % 4 == 3:
-            mass = cut(mass)
+            mass = cut(mass, release=False)
     return mass
 
 
@@ -87,9 +87,9 @@ def judge_pages(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, thr
     """One row per page: page_id, host, path, rule, verdict, trust and distrust of its host."""
     placed = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     ruled = with_rules(placed, rules)
-    links = cut(host_links(pages))
+    links = cut(host_links(pages), release=False)
     evidence = ruled.filter("host <> '' and rule_verdict is not null")
-    seeds = cut(evidence.groupBy(F.when(F.col("rule_verdict") == "allow", "trust").otherwise("distrust").alias("kind"), "host").agg(F.count("*").alias("seed")))
+    seeds = cut(evidence.groupBy(F.when(F.col("rule_verdict") == "allow", "trust").otherwise("distrust").alias("kind"), "host").agg(F.count("*").alias("seed")), release=False)
     both = links.select(F.lit("trust").alias("kind"), "*").unionByName(links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
     mass = page_rank(both, seeds)
     scores = mass.groupBy("host").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")])
