@@ -6,7 +6,7 @@ an earlier place) is within ``edits`` edits of it. Equal lines are first reduced
 1. *Segments.* A line of length n is cut into ``edits + 1`` segments; any line within ``edits`` edits holds one of them
    unchanged. The index has (length, segment, content) of each line; the probes are the substrings of a line that could be a
    segment of an equally long or shorter one: for each such length and segment only the starts that the edits left and right
-   of it allow.
+   of it allow. A pair's packed letter counts have to fit too, before it leaves the join.
 2. *Verification.* Common ends of a pair are cut off by bisection; the rest goes through a banded bit-parallel automaton: one
    register of ``2 * edits + 1`` bits for each number of edits, moved along the diagonals of the band, one character a step.
 
@@ -30,6 +30,8 @@ EDITS = 2
 MIN_CHARS = 20
 _LEAST = -(2**63)
 _SEED = "line"
+#: Letters whose counts a pair has to agree on nearly before its lines are compared.
+COUNTED = "etanoisrhdlu"
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -78,6 +80,24 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def letter_counts(line: Column) -> Column:
+    """Counts of twelve letters, modulo 32, packed into one number."""
+    out = F.lit(0).cast("long")
+    for i, letter in enumerate(COUNTED):
+        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 32
+        out = out.bitwiseOR(F.shiftleft(n.cast("long"), 5 * i))
+    return out
+
+
+def counts_fit(a: Column, b: Column, edits: int) -> Column:
+    """Whether two packed counts can belong to lines within ``edits`` edits: an edit moves two counts by one at most."""
+    total = F.lit(0).cast("long")
+    for i in range(len(COUNTED)):
+        d = F.abs(F.shiftright(a, 5 * i).bitwiseAND(F.lit(31)) - F.shiftright(b, 5 * i).bitwiseAND(F.lit(31)))
+        total = total + F.least(d, 32 - d)
+    return total <= 2 * edits
+
+
 def _common(a: Column, b: Column, left: bool) -> Column:
     """Number of characters that a and b share at an end, by bisection."""
     part = (lambda s, n: F.substring(s, F.lit(1), n)) if left else (lambda s, n: F.right(s, n))
@@ -113,7 +133,8 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
             return F.aggregate(F.sequence(F.lit(1), F.lit(edits)), first, add) if edits else first
 
-        return _let(match, registers)
+        # A later register holds all that an earlier one does: once the last is empty, so are all, and stay so.
+        return F.when(F.get(s, F.lit(edits)) == 0, s).otherwise(_let(match, registers))
 
     end = F.aggregate(F.slice(F.sequence(F.lit(1), F.size(b) + 1), F.lit(1), F.size(b)), start, step)
     mask = F.get(F.array(*[F.lit(1 << j) for j in range(width)]), F.size(a) - F.size(b) + edits)  # null outside the band
@@ -132,16 +153,20 @@ def similar(a: Column, b: Column, edits: int) -> Column:
 def dropped_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(d, gone): for each document that loses lines, the places of those lines."""
     lines = _lines(docs, min_chars).withColumn("h", F.xxhash64("line")).withColumn("g", F.xxhash64(F.lit(_SEED), "line"))
-    known = cut(lines.groupBy("h", "g").agg(F.min(F.struct("d", "pos")).alias("at"), F.count("*").alias("copies"), F.first("line").alias("line")).withColumn("n", F.length("line")))
-    index = known.select("h", F.explode(index_keys(edits)).alias("key"))
-    probe = known.select(F.col("h").alias("h2"), F.explode(probe_keys(edits)).alias("key"))
-    found = probe.join(index.hint("shuffle_hash"), "key").filter("h <> h2")
+    known = lines.groupBy("h", "g").agg(F.min(F.struct("d", "pos")).alias("at"), F.count("*").alias("copies"), F.first("line").alias("line"))
+    known = cut(known.withColumn("n", F.length("line")).withColumn("counts", letter_counts(F.col("line"))))
+    index = known.select("h", "counts", F.explode(index_keys(edits)).alias("key"))
+    probe = known.select(F.col("h").alias("h2"), F.col("counts").alias("counts2"), F.explode(probe_keys(edits)).alias("key"))
+    fits = counts_fit(F.col("counts"), F.col("counts2"), edits)
+    found = probe.join(index.hint("shuffle_hash"), (probe.key == index.key) & (F.col("h") != F.col("h2")) & fits)
     found = cut(found.select(F.least("h", "h2").alias("h"), F.greatest("h", "h2").alias("h2")).distinct())
-    one = known.select("h", F.col("g").alias("g1"), F.col("at").alias("at1"), F.col("line").alias("line1"))
-    two = known.select(F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("at").alias("at2"), F.col("line").alias("line2"))
+    ids = cut(found.select("h").unionByName(found.select(F.col("h2").alias("h"))).distinct(), release=False)
+    texts = cut(known.join(ids, "h", "left_semi").select("h", "g", "at", "line"))
+    one = texts.select("h", F.col("g").alias("g1"), F.col("at").alias("at1"), F.col("line").alias("line1"))
+    two = texts.select(F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("at").alias("at2"), F.col("line").alias("line2"))
     near = found.join(one, "h").join(two, "h2").filter("at1 <> at2").filter(similar(F.col("line1"), F.col("line2"), edits))
     later = near.select(F.when(F.col("at1") < F.col("at2"), F.struct("h2", "g2")).otherwise(F.struct(F.col("h").alias("h2"), F.col("g1").alias("g2"))).alias("x")).select(F.col("x.h2").alias("h"), F.col("x.g2").alias("g")).distinct()
-    later = cut(later.withColumn("near", F.lit(True)))
+    later = cut(later.withColumn("near", F.lit(True)), release=False)
     marked = known.select("h", "g", "at", "copies").join(later, ["h", "g"], "left").filter("copies > 1 or near").select("h", "g", "at", F.coalesce("near", F.lit(False)).alias("near"))
     gone = lines.select("d", "pos", "h", "g").join(marked, ["h", "g"]).filter(F.col("near") | (F.struct("d", "pos") > F.col("at")))
     return gone.groupBy("d").agg(F.collect_set("pos").alias("gone"))
