@@ -81,20 +81,22 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of twelve letters, modulo 32, packed into one number."""
-    out = F.lit(0).cast("long")
-    for i, letter in enumerate(COUNTED):
-        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))) % 32
-        out = out.bitwiseOR(F.shiftleft(n.cast("long"), 5 * i))
+    """Counts of twelve letters, modulo 32, and of all other characters, modulo 16, packed into one number."""
+    counts = [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit(""))) for letter in COUNTED]
+    rest = (F.length(line) - sum(counts[1:], counts[0])) % 16
+    out = F.shiftleft(rest.cast("long"), 5 * len(COUNTED))
+    for i, n in enumerate(counts):
+        out = out.bitwiseOR(F.shiftleft((n % 32).cast("long"), 5 * i))
     return out
 
 
 def counts_fit(a: Column, b: Column, edits: int) -> Column:
     """Whether two packed counts can belong to lines within ``edits`` edits: an edit moves two counts by one at most."""
     total = F.lit(0).cast("long")
-    for i in range(len(COUNTED)):
-        d = F.abs(F.shiftright(a, 5 * i).bitwiseAND(F.lit(31)) - F.shiftright(b, 5 * i).bitwiseAND(F.lit(31)))
-        total = total + F.least(d, 32 - d)
+    for i in range(len(COUNTED) + 1):
+        most = 32 if i < len(COUNTED) else 16
+        d = F.abs(F.shiftright(a, 5 * i).bitwiseAND(F.lit(most - 1)) - F.shiftright(b, 5 * i).bitwiseAND(F.lit(most - 1)))
+        total = total + F.least(d, most - d)
     return total <= 2 * edits
 
 
