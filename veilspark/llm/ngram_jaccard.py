@@ -74,8 +74,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), F.col("text"))
 
 
-def _heads(docs: DataFrame, shingle: int) -> DataFrame:
-    """(d, n, c, point) of each document: set size, class and group counts (255: that many or more)."""
+def _heads(docs: DataFrame, shingle: int, percent: int, frequent) -> DataFrame:
+    """(d, n, c, point, keys) of each document: set size, class, group counts (255: that many or more), and the first hashes of
+    the set, frequent ones last."""
 
     def work(data, offsets, _):
         doc, value, name = gram_sets(data, offsets, shingle)
@@ -84,9 +85,19 @@ def _heads(docs: DataFrame, shingle: int) -> DataFrame:
         counts = np.bincount(doc * GROUPS + group, minlength=rows * GROUPS).reshape(rows, GROUPS)
         points = np.minimum(counts, 255).astype(np.uint8).tobytes()
         point = pa.array([points[i * GROUPS : (i + 1) * GROUPS] for i in range(rows)], pa.binary())
-        return None, {"n": np.bincount(doc, minlength=rows).astype(np.int64), "c": name.view(np.int64), "point": point}
+        often = frequent.value
+        late = np.zeros(len(value), dtype=bool)
+        if len(often) and len(value):
+            late = often[np.minimum(np.searchsorted(often, value), len(often) - 1)] == value
+        n = np.bincount(doc, minlength=rows).astype(np.int64)
+        order = np.argsort(doc * 2 + late, kind="stable")  # values are sorted within a document
+        rank = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+        size = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
+        own = order[rank < np.repeat(size, n)]
+        keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(value[own].view(np.int64)))
+        return None, {"n": n, "c": name.view(np.int64), "point": point, "keys": keys}
 
-    return map_texts(docs, work, [("n", "long"), ("c", "long"), ("point", "binary")], keep={"d": F.col("d")})
+    return map_texts(docs, work, [("n", "long"), ("c", "long"), ("point", "binary"), ("keys", "array<long>")], keep={"d": F.col("d")})
 
 
 def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
@@ -105,24 +116,6 @@ def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
     return np.sort(often["g"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-def _keys(docs: DataFrame, shingle: int, percent: int, frequent) -> DataFrame:
-    """(key, c): the first hashes of each document's set, frequent ones last."""
-
-    def work(data, offsets, _):
-        doc, value, name = gram_sets(data, offsets, shingle)
-        often = frequent.value
-        late = np.zeros(len(value), dtype=bool)
-        if len(often) and len(value):
-            late = often[np.minimum(np.searchsorted(often, value), len(often) - 1)] == value
-        order = np.lexsort((value, late, doc))
-        n = np.bincount(doc, minlength=len(offsets) - 1)
-        rank = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-        own = order[rank < np.repeat(n - -(-percent * n // 100) + 1, n)]
-        return doc[own], {"key": value[own].view(np.int64), "c": name[doc[own]].view(np.int64)}
-
-    return map_texts(docs, work, [("key", "long"), ("c", "long")], keep={"d": F.col("d")}).select("key", "c")
-
-
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Least overlap of a link between sets of sizes a and b."""
     return -(-percent * (a + b) // (100 + percent))
@@ -282,10 +275,10 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     reachable by links)."""
     spark = docs.sparkSession
     own = _keyed(docs)
-    heads = cut(_heads(own, shingle))
-    classes = heads.filter("n > 0").groupBy("c").agg(F.min("d").alias("d"), F.first("n").alias("n"), F.first("point").alias("point"))
     frequent = spark.sparkContext.broadcast(_frequent(own, shingle))
-    keys = _keys(own, shingle, percent, frequent)
+    heads = cut(_heads(own, shingle, percent, frequent))
+    classes = heads.filter("n > 0").groupBy("c").agg(F.min("d").alias("d"), F.first("n").alias("n"), F.first("point").alias("point"))
+    keys = heads.select(F.explode("keys").alias("key"), "c")
     shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     members = cut(keys.join(shared, "key").distinct())
     points = members.join(classes.select("c", "n", "point"), "c").select("key", "n", "c", "point")
