@@ -10,8 +10,9 @@ classes, and each document gets its class back. For sets with ``100 * shared >=
    size into leaves that keep their coordinates' maxima. A leaf, then a point, is dropped where the summed coordinate minima
    with the query stay below the overlap that a link needs. What survives is reduced in the task to a spanning forest, so a key
    gives fewer rows than it has points.
-3. *Verification.* Components of the forests hold all links inside. Their sets are dealt in blocks of bounded size, and every
-   pair of blocks of a component is one task, which counts the exact overlaps and returns a spanning forest of the links.
+3. *Verification.* Components of the forests hold all links inside. Large ones are cut into bands of set sizes so wide that a
+   link stays in a band or joins two neighbours, and bands into blocks of bounded size. Every pair of blocks of a band or of
+   neighbours is one task, which counts the exact overlaps and returns a spanning forest of the links.
 
 No group is gathered whole: keys stream through tasks in sorted order, blocks are bounded, and components come from joins that
 spread the least label, with tables written to the shared folder between rounds. A key or a component with N points that no
@@ -24,11 +25,12 @@ repeat a doc_id are reported once each. Sets are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .lineage import cut
@@ -37,7 +39,8 @@ from .text_kernels import SPACED, combine, map_texts, mix, runs, split_words, wi
 SHINGLE, PERCENT = 4, 85
 GROUPS = 64
 LEAF = 32
-BLOCK = 512
+#: Sets and hashes of a block, about.
+BLOCK, BLOCK_HASHES = 512, 2_000_000
 SAMPLE_DOCS, SAMPLE_HITS = 5_000, 25
 _LEAST = -(2**63)
 _OTHER = np.uint64(0x5851F42D4C957F2D)
@@ -216,8 +219,39 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("v", "label")
 
 
+def _blocks(clusters: DataFrame, percent: int) -> DataFrame:
+    """``clusters`` (cluster, c, d, n) with the band of each set and the blocks of its band and of both neighbours."""
+    all_of = clusters.groupBy("cluster").agg((F.count("*") <= BLOCK).alias("small"), F.sum("n").alias("hashes"))
+    small = all_of.select("cluster", (F.col("small") & (F.col("hashes") <= BLOCK_HASHES)).alias("small"))
+    width = math.log(100 / percent) + 0.001  # sizes of a link differ by less than this in their logarithms
+    banded = clusters.join(small, "cluster").withColumn("band", F.when(F.col("small"), 0).otherwise(F.floor(F.log(F.col("n")) / width)).cast("int")).drop("small")
+    sizes = banded.groupBy("cluster", "band").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_HASHES)).cast("int").alias("blocks"))
+    plan = sizes.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("plan"))  # a few bands for each power of two
+    at = lambda step: F.coalesce(F.try_element_at("plan", F.col("band") + step), F.lit(0))
+    return banded.join(plan, "cluster").select("d", "c", "cluster", "band", at(0).alias("blocks"), at(-1).alias("below"), at(1).alias("above"))
+
+
+def _deals() -> Column:
+    """The tasks (lo, hi, i, j) that a set goes to, with its side there: the pairs of its block with each of its band's and of
+    the neighbours' blocks."""
+    own, band = F.col("own"), F.col("band")
+
+    def each(blocks: str, make) -> Column:
+        some = F.col(blocks) > 0
+        return F.when(some, F.transform(F.sequence(F.lit(0), F.greatest(F.col(blocks), F.lit(1)) - 1), make)).otherwise(F.array())
+
+    def one(lo, hi, i, j, side) -> Column:
+        return F.struct(lo.alias("lo"), hi.alias("hi"), i.alias("i"), j.alias("j"), side.alias("side"))
+
+    return F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: one(band, band, F.least(own, o), F.greatest(own, o), own)),
+        each("above", lambda o: one(band, band + 1, own, o, band)),
+        each("below", lambda o: one(band - 1, band, o, own, band)),
+    )
+
+
 def _links(docs: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(a, b): spanning forests of the true links. ``wanted``: (d, c, cluster, blocks) of one document of each class."""
+    """(a, b): spanning forests of the true links. ``wanted``: one document of each class, with its cluster and blocks."""
 
     def work(data, offsets, part):
         doc, value, name = gram_sets(data, offsets, shingle)
@@ -227,11 +261,10 @@ def _links(docs: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> Da
         flat = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], end)), pa.int32()), pa.array(value.view(np.int64)))
         return own, {"grams": flat.take(pa.array(own, pa.int64()))}
 
-    keep = {x: F.col(x) for x in ("d", "c", "cluster", "blocks")}
+    keep = {x: F.col(x) for x in ("d", "c", "cluster", "band", "blocks", "below", "above")}
     sets = map_texts(docs.join(wanted.hint("shuffle_hash"), "d"), work, [("grams", "array<long>")], keep=keep)
-    own = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("long")
-    dealt = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "c", "grams")
+    dealt = sets.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")).withColumn("at", F.explode(_deals()))
+    dealt = dealt.select("cluster", "at.lo", "at.hi", "at.i", "at.j", F.col("at.side").alias("own"), "c", "grams")
 
     def task(table: pa.Table) -> pa.Table:
         c, own = table["c"].to_numpy(), table["own"].to_numpy()
@@ -267,7 +300,7 @@ def _links(docs: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> Da
                 label[label == max(label[x], label[y])] = min(label[x], label[y])
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    return dealt.groupBy("cluster", "i", "j").applyInArrow(task, "a long, b long")
+    return dealt.groupBy("cluster", "lo", "hi", "i", "j").applyInArrow(task, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -284,8 +317,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     points = members.join(classes.select("c", "n", "point"), "c").select("key", "n", "c", "point")
     forests = _forests(points.repartition("key").sortWithinPartitions("key", "n", "c"), percent)
     clusters = components(cut(forests.distinct(), release=False)).withColumnRenamed("label", "cluster")
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    wanted = clusters.join(sizes, "cluster").join(classes.select(F.col("c").alias("v"), "d"), "v").select("d", F.col("v").alias("c"), "cluster", "blocks")
+    wanted = _blocks(clusters.withColumnRenamed("v", "c").join(classes.select("c", "d", "n"), "c"), percent)
     links = cut(_links(own, cut(wanted, release=False), shingle, percent))
     labels = components(links).select(F.col("v").alias("c"), "label")
     grouped = classes.select("c", "d").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
