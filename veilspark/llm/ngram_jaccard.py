@@ -10,9 +10,11 @@ classes, and each document gets its class back. For sets with ``100 * shared >=
    size into leaves that keep their coordinates' maxima. A leaf, then a point, is dropped where the summed coordinate minima
    with the query stay below the overlap that a link needs. What survives is reduced in the task to a spanning forest, so a key
    gives fewer rows than it has points.
-3. *Verification.* Components of the forests hold all links inside. Large ones are cut into bands of set sizes so wide that a
+3. *Finer points.* Components of the forests hold all links inside. Their classes get points of ``FINE`` groups, which tell long
+   sets apart, and the same bounds split the components again. Only what is still tied ships its sets.
+4. *Verification.* In both of these steps large components are cut into bands of set sizes so wide that a
    link stays in a band or joins two neighbours, and bands into blocks of bounded size. Every pair of blocks of a band or of
-   neighbours is one task, which counts the exact overlaps and returns a spanning forest of the links.
+   neighbours is one task, which at last counts the exact overlaps and returns a spanning forest of the links.
 
 No group is gathered whole: keys stream through tasks in sorted order, blocks are bounded, and components come from joins that
 spread the least label, with tables written to the shared folder between rounds. A key or a component with N points that no
@@ -37,7 +39,7 @@ from .lineage import cut
 from .text_kernels import SPACED, combine, map_texts, mix, runs, split_words, windows
 
 SHINGLE, PERCENT = 4, 85
-GROUPS = 64
+GROUPS, FINE = 64, 1024
 LEAF = 32
 #: Sets and hashes of a block, about.
 BLOCK, BLOCK_HASHES = 512, 2_000_000
@@ -250,21 +252,50 @@ def _deals() -> Column:
     )
 
 
-def _links(docs: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(a, b): spanning forests of the true links. ``wanted``: one document of each class, with its cluster and blocks."""
+def _dealt(docs: DataFrame, wanted: DataFrame, shingle: int, fields: list[tuple[str, str]], make) -> DataFrame:
+    """The rows of each task: (cluster, lo, hi, i, j), own (the side), c and what ``make(doc, value, rows)`` gives for each text."""
 
     def work(data, offsets, part):
         doc, value, name = gram_sets(data, offsets, shingle)
-        n = np.bincount(doc, minlength=len(offsets) - 1)
+        rows = len(offsets) - 1
+        n = np.bincount(doc, minlength=rows)
         own = np.flatnonzero((name.view(np.int64) == part.column(1).to_numpy()) & (n > 0))
-        end = np.cumsum(n)
-        flat = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], end)), pa.int32()), pa.array(value.view(np.int64)))
-        return own, {"grams": flat.take(pa.array(own, pa.int64()))}
+        return own, {name: column.take(pa.array(own, pa.int64())) for name, column in make(doc, value, n).items()}
 
     keep = {x: F.col(x) for x in ("d", "c", "cluster", "band", "blocks", "below", "above")}
-    sets = map_texts(docs.join(wanted.hint("shuffle_hash"), "d"), work, [("grams", "array<long>")], keep=keep)
-    dealt = sets.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")).withColumn("at", F.explode(_deals()))
-    dealt = dealt.select("cluster", "at.lo", "at.hi", "at.i", "at.j", F.col("at.side").alias("own"), "c", "grams")
+    made = map_texts(docs.join(wanted.hint("shuffle_hash"), "d"), work, fields, keep=keep)
+    dealt = made.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")).withColumn("at", F.explode(_deals()))
+    return dealt.select("cluster", "at.lo", "at.hi", "at.i", "at.j", F.col("at.side").alias("own"), "c", *[f for f, _ in fields])
+
+
+def _fine_forests(docs: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(a, b): spanning forests of the classes of ``wanted`` that the bounds on fine points let pass."""
+
+    def make(doc, value, n):
+        counts = np.bincount(doc * FINE + (value >> np.uint64(54)).astype(np.int64), minlength=len(n) * FINE)
+        points = np.minimum(counts, 255).astype(np.uint8).tobytes()
+        return {"n": pa.array(n.astype(np.int64)), "point": pa.array([points[i * FINE : (i + 1) * FINE] for i in range(len(n))], pa.binary())}
+
+    def task(table: pa.Table) -> pa.Table:
+        c, n = table["c"].to_numpy(), table["n"].to_numpy()
+        order = np.lexsort((c, n))
+        order = order[np.append(True, c[order][1:] != c[order][:-1])]  # a document that stands in several rows
+        c, n = c[order], n[order]
+        point = np.frombuffer(b"".join(table["point"].take(pa.array(order)).to_pylist()), dtype=np.uint8).reshape(-1, FINE)
+        label = survivors(point, n, percent)
+        other = label != np.arange(len(label))
+        return pa.table({"a": pa.array(c[label[other]], pa.int64()), "b": pa.array(c[other], pa.int64())})
+
+    return _dealt(docs, wanted, shingle, [("n", "long"), ("point", "binary")], make).groupBy("cluster", "lo", "hi", "i", "j").applyInArrow(task, "a long, b long")
+
+
+def _links(docs: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(a, b): spanning forests of the true links. ``wanted``: one document of each class, with its cluster and blocks."""
+
+    def make(doc, value, n):
+        return {"grams": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(value.view(np.int64)))}
+
+    dealt = _dealt(docs, wanted, shingle, [("grams", "array<long>")], make)
 
     def task(table: pa.Table) -> pa.Table:
         c, own = table["c"].to_numpy(), table["own"].to_numpy()
@@ -316,9 +347,9 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     members = cut(keys.join(shared, "key").distinct())
     points = members.join(classes.select("c", "n", "point"), "c").select("key", "n", "c", "point")
     forests = _forests(points.repartition("key").sortWithinPartitions("key", "n", "c"), percent)
-    clusters = components(cut(forests.distinct(), release=False)).withColumnRenamed("label", "cluster")
-    wanted = _blocks(clusters.withColumnRenamed("v", "c").join(classes.select("c", "d", "n"), "c"), percent)
-    links = cut(_links(own, cut(wanted, release=False), shingle, percent))
+    of = lambda edges: _blocks(components(cut(edges.distinct(), release=False)).select(F.col("v").alias("c"), F.col("label").alias("cluster")).join(classes.select("c", "d", "n"), "c"), percent)
+    fine = _fine_forests(own, cut(of(forests)), shingle, percent)
+    links = cut(_links(own, cut(of(fine)), shingle, percent))
     labels = components(links).select(F.col("v").alias("c"), "label")
     grouped = classes.select("c", "d").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
     least = grouped.groupBy("label").agg(F.min("d").alias("component"))
