@@ -163,6 +163,16 @@ def redact_columns(spark, sf_dir):
     return redaction.redact_columns(o, RuleSet(effective_rules().fields, rules_named(["email"])), KEY)
 
 
+def redact_nested_columns(spark, sf_dir):
+    """Field and value rules at depth: lines of documents as an array, structs in one, and maps by source and by fixed keys."""
+    docs = table(spark, sf_dir, "documents")
+    lines = F.split("text", "\n")
+    turns = F.transform(lines, lambda x: F.struct(F.col("source").alias("session_token"), x.alias("note")))
+    maps = F.create_map(F.lit("Password"), F.col("source"), F.lit("note"), F.col("text"))
+    nested = docs.select("doc_id", lines.alias("lines"), turns.alias("turns"), maps.alias("props"))
+    return redaction.redact_columns(nested, RuleSet(effective_rules().fields, ALL_VALUES), KEY)
+
+
 # ---- mapping table and restoring
 
 
@@ -310,7 +320,7 @@ QUERIES |= {
     f.__name__: f
     for f in (
         count_by_rule, detect_text, detect_pages, first_finding, block_reason, summarize_findings, has_secret, block_documents, pass_documents, rule_catalog,
-        make_token, redact_field, redact_email, redact_documents, redact_twice, redact_columns, vault_rows, live_mapping, compact_vault, dedupe_vault, round_trip,
+        make_token, redact_field, redact_email, redact_documents, redact_twice, redact_columns, redact_nested_columns, vault_rows, live_mapping, compact_vault, dedupe_vault, round_trip,
         collect_tokens, restore_gate, forged_tokens, luhn_check, china_id_check, ascii_lower, field_names, token_shapes, media_routes, request_regions, redact_requests,
         stitch_text, chunk_order, late_events,
     )
