@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,22 @@ def test_text_rules():
     assert ON("a" * 200_000)[1] == []
 
 
+ADJOINING = ["joe@ex.com2ann@ex.com", "a@x.com_b@y.com", "a@x.com-b@y.com.c@z.org d%e@f.gh+i@jk.lm", "@a@b.co..x@y.zz", "a@b@c.de_f@g.hi", "1@2.33 x@y.com9", ""]
+
+
+def test_adjoining_addresses(spark):
+    email = R.rules_named(["email"])[0]
+    work = TextRedactor((email,), KEY, "REDACTED")
+    df = spark.createDataFrame(list(enumerate(ADJOINING)), "i int, text string")
+    found = {r.i: r.h for r in df.select("i", C.hits(F.col("text"), email).alias("h")).collect()}
+    for i, text in enumerate(ADJOINING):
+        want = re.findall(email.pattern, text, re.ASCII)
+        assert found[i] == want and work(text)[0] == re.sub(email.pattern, lambda m: ALL.make(m[0]), text, flags=re.ASCII), text
+    assert work("a" * 200_000)[1] == [] and work("a@b." * 50_000)[1] == []
+    own = TextRedactor((R.ValueRule("own", "to-[A-Za-z0-9._%+-]+@x"),), KEY, "REDACTED")
+    assert own("to-a@x")[1] == ["own"]
+
+
 def test_tokens_agree(spark):
     row = spark.range(1).select(C.make_token(F.lit("hé"), KEY).alias("t"), C.china_id(F.lit("11010519491231002x")).alias("c"), C.luhn(F.lit("4242424242424242")).alias("l")).first()
     assert row.t == ALL.make("hé") and row.c and row.l

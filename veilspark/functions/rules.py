@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,14 +52,21 @@ PREFILTER = {
     "config_token": "token", "config_credential": "credential", "github_token": "gh",
 }
 _BACKTRACK = "(?:[\\w.-]*[_.-])?"
+_ADDRESS, _ADDRESS_START = "[A-Za-z0-9._%+-]+@", "(?<![A-Za-z0-9._%+-])"
 _LABEL = re.compile(r"[A-Za-z][A-Za-z0-9_-]{0,63}\Z")
 
 
+def is_address(pattern: str) -> bool:
+    """Whether a pattern starts with an address's local part; with alternatives it may hit without one."""
+    return pattern.startswith(_ADDRESS) and "|" not in pattern
+
+
 def linear(pattern: str) -> str:
     """The same hits from an engine that backtracks: the optional prefix of config rules starts only where a name can start, the
-    local part of an address likewise, and word borders and digits are ASCII."""
+    local part of an address there or where the hit before ended, and word borders and digits are ASCII."""
     pattern = pattern.replace(_BACKTRACK, "(?:(?<![\\w.-])[\\w.-]*[_.-])?")
-    pattern = pattern.replace("[A-Za-z0-9._%+-]+@", "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@")
+    if is_address(pattern):
+        pattern = f"(?:\\G|{_ADDRESS_START}){pattern}"
     if pattern.startswith("\\b") and pattern.endswith("\\b"):
         pattern = f"(?<![0-9A-Za-z_]){pattern[2:-2]}(?![0-9A-Za-z_])"
     return pattern
@@ -83,6 +90,21 @@ class ValueRule:
     def java(self) -> str:
         return linear(self.pattern)
 
+    @property
+    def python(self) -> Callable[[str], Iterator[re.Match]]:
+        r"""All hits in a text, as ``java`` finds them. Python's re has no \G: an address is tried where the last hit ended first."""
+        if not is_address(self.pattern):
+            return re.compile(self.java, re.ASCII).finditer
+        here, ahead = re.compile(self.pattern, re.ASCII), re.compile(_ADDRESS_START + self.pattern, re.ASCII)
+
+        def find(text: str) -> Iterator[re.Match]:
+            at = 0
+            while m := here.match(text, at) or ahead.search(text, at):
+                yield m
+                at = m.end()
+
+        return find
+
 
 @dataclass(frozen=True)
 class FieldRule:
