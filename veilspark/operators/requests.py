@@ -8,6 +8,7 @@ never quote content.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -19,7 +20,7 @@ from ..functions.scan import TextRedactor
 
 # The known formats.
 FORMATS = ["openai", "openai-response", "claude", "gemini", "openai-image", "openai-video"]
-RESULT = "struct<body:string,rules:array<string>,tokens:map<string,string>,error_path:string,error:string>"
+RESULT = "struct<body:string,rules:array<string>,tokens:map<string,string>,read_only:array<string>,error_path:string,error:string>"
 # Keys of the blocks whose value is text.
 TEXT_KEYS = ("text", "refusal", "reasoning_content", "thinking", "transcript")
 
@@ -69,11 +70,15 @@ def write_json(value: object) -> str:
 class RequestRedactor:
     def __init__(self, rules: RuleSet, key: bytes, label: str):
         self.text = TextRedactor(rules.values, key, label)
-        self.keys = {k.lower(): r for r in reversed(rules.fields) if not r.pattern for k in r.keys}
+        self.keys: dict[str, list] = {}
+        for r in rules.fields:
+            for k in {k.lower() for k in r.keys}:
+                self.keys.setdefault(k, []).append((r.name, re.compile(r.pattern) if r.pattern else None))
 
     def __call__(self, source_format: str, body: str) -> tuple:
         self.fired: dict[str, None] = {}
         self.made: dict[str, str] = {}
+        self.read_only: dict[str, None] = {}
         try:
             if source_format not in FORMATS:
                 raise Malformed("$", "unknown format")
@@ -81,8 +86,8 @@ class RequestRedactor:
             for region in self.regions(source_format, tree):
                 region()
         except Malformed as e:
-            return None, None, None, e.path, e.detail
-        return (write_json(tree) if self.fired else body), list(self.fired), self.made, None, None
+            return None, None, None, None, e.path, e.detail
+        return (write_json(tree) if self.fired else body), list(self.fired), self.made, list(self.read_only), None, None
 
     def plain(self, s: str) -> str:
         out, fired, made = self.text(s)
@@ -92,26 +97,33 @@ class RequestRedactor:
 
     def walk(self, value: object, name: str | None = None) -> object:
         """Field rules by key, value rules on other strings, at any depth."""
-        rule = self.keys.get((name or "").lower())
-        if rule:
-            said = value if isinstance(value, str) and not isinstance(value, Number) else write_json(value)
+        is_text = isinstance(value, str) and not isinstance(value, Number)
+        # A pattern can't be tried on a value that isn't a string.
+        rule = next((r for r, p in self.keys.get((name or "").lower(), ()) if p is None or is_text and p.search(value)), None)
+        if rule is not None:
+            said = value if is_text else write_json(value)
             if self.text.token.fullmatch(said):
                 return said
             token = self.text.make(said)
-            self.fired[rule.name] = None
+            self.fired[rule] = None
             self.made[token] = said
             return token
         if isinstance(value, dict):
             return {k: self.walk(v, k) for k, v in value.items()}
         if isinstance(value, list):
             return [self.walk(v) for v in value]
-        return self.plain(value) if isinstance(value, str) and not isinstance(value, Number) else value
+        return self.plain(value) if is_text else value
 
     def arguments(self, owner: dict, key: str) -> None:
-        """JSON inside a string; text that doesn't parse stays as it is."""
+        """JSON inside a string; text that doesn't parse stays as it is, and what value rules find there is read-only."""
+
+        def refuse(_: str):
+            raise ValueError
+
         try:
-            tree = json.loads(owner[key], parse_int=Number, parse_float=Number)
+            tree = json.loads(owner[key], parse_int=Number, parse_float=Number, parse_constant=refuse)
         except (ValueError, RecursionError):
+            self.read_only.update(dict.fromkeys(self.text(owner[key])[1]))
             return
         before = len(self.fired)
         walked = self.walk(tree)
@@ -139,11 +151,64 @@ class RequestRedactor:
                         yield self.set_text(block, k, at)
                 if isinstance(block.get("input"), (dict, list)):
                     yield lambda b=block: b.__setitem__("input", self.walk(b["input"]))
+                for k, inner in (("functionCall", "args"), ("functionResponse", "response"), ("toolCall", "args"), ("toolResponse", "response")):
+                    if block.get(k) is not None:
+                        yield from self.tool_part(block[k], inner, f"{at}.{k}")
                 if block.get("type") in ("tool_result", "message", "document"):
                     yield from self.content(block, "content", at)
         else:
             raise Malformed(f"{path}.{key}", "neither a string nor a list")
 
+    def tool_part(self, part: object, inner: str, path: str) -> Iterator[Callable[[], None]]:
+        """The arguments or the answer of a tool in a gemini part."""
+        if not isinstance(part, dict):
+            raise Malformed(path, "not an object")
+        if inner in part:
+            yield lambda: part.__setitem__(inner, self.walk(part[inner]))
+        partial = part.get("partialArgs")
+        if partial is not None and not isinstance(partial, list):
+            raise Malformed(f"{path}.partialArgs", "not a list")
+        for i, p in enumerate(partial or []):
+            at = f"{path}.partialArgs[{i}]"
+            if not isinstance(p, dict):
+                raise Malformed(at, "not an object")
+            if p.get("stringValue") is not None:
+                yield self.set_text(p, "stringValue", at)
+
+    def response_item(self, item: dict, path: str) -> Iterator[Callable[[], None]]:
+        """Calls and answers of tools among a response's input items; content and text keys are seen apart."""
+        kind = item.get("type")
+        if kind in ("function_call", "mcp_call", "mcp_approval_request", "tool_search_call"):
+            if isinstance(item.get("arguments"), str) and not isinstance(item["arguments"], Number) and kind != "tool_search_call":
+                yield lambda: self.arguments(item, "arguments")
+            elif kind == "tool_search_call" and "arguments" in item:
+                yield lambda: item.__setitem__("arguments", self.walk(item["arguments"]))
+            elif kind != "tool_search_call":
+                raise Malformed(f"{path}.arguments", "not a string")
+        if kind in ("function_call_output", "custom_tool_call_output"):
+            if item.get("output") is None:
+                raise Malformed(f"{path}.output", "missing")
+            yield from self.content(item, "output", path)
+        if kind == "local_shell_call_output":
+            if not isinstance(item.get("output"), str) or isinstance(item["output"], Number):
+                raise Malformed(f"{path}.output", "not a string")
+            try:
+                json.loads(item["output"])
+            except (ValueError, RecursionError):
+                raise Malformed(f"{path}.output", "not JSON") from None
+            yield lambda: self.arguments(item, "output")
+        if kind == "shell_call_output" and isinstance(item.get("output"), list):
+            for i, part in enumerate(item["output"]):
+                for k in ("stdout", "stderr"):
+                    if isinstance(part, dict) and part.get(k) is not None:
+                        yield self.set_text(part, k, f"{path}.output[{i}]")
+        texts = {"custom_tool_call": ["input"], "apply_patch_call_output": ["output"], "mcp_call": ["output", "error"], "mcp_list_tools": ["error"], "mcp_approval_response": ["reason"], "program": ["code"], "program_output": ["result"]}
+        for k in texts.get(kind, []) if isinstance(kind, str) else []:
+            if item.get(k) is not None:
+                yield self.set_text(item, k, path)
+        if kind == "reasoning":
+            yield from self.content(item, "summary", path)
+
     def regions(self, kind: str, tree: dict) -> list[Callable[[], None]]:
         """All regions, found and checked before anything is rewritten."""
         out: list[Callable[[], None]] = []
@@ -157,12 +222,18 @@ class RequestRedactor:
                 if not isinstance(item, dict):
                     raise Malformed(at, "not an object")
                 out += self.content(item, "parts" if kind == "gemini" else "content", at)
-                for k in ("refusal", "reasoning_content"):
+                if kind == "openai-response":
+                    out += self.response_item(item, at)
+                for k in ("refusal", "reasoning_content") if kind != "openai-response" else ("refusal", "reasoning_content", "text"):
                     if item.get(k) is not None:
                         out.append(self.set_text(item, k, at))
-                for call in [c.get("function") for c in item.get("tool_calls") or [] if isinstance(c, dict)] + [item.get("function_call")] + ([item] if item.get("type") == "function_call" else []):
+                for call in [c.get("function") for c in item.get("tool_calls") or [] if isinstance(c, dict)] + [item.get("function_call")]:
                     if isinstance(call, dict) and isinstance(call.get("arguments"), str):
                         out.append(lambda c=call: self.arguments(c, "arguments"))
+                for j, c in enumerate(item.get("tool_calls") or []):
+                    custom = c.get("custom") if isinstance(c, dict) else None
+                    if isinstance(custom, dict) and custom.get("input") is not None:
+                        out.append(self.set_text(custom, "input", f"{at}.tool_calls[{j}].custom"))
         elif required or not (items is None or isinstance(items, str)):
             raise Malformed(f"$.{listed}", "not a list")
         elif isinstance(items, str):
@@ -177,21 +248,22 @@ class RequestRedactor:
 
 def redact_requests(df: DataFrame, rules: RuleSet, key: bytes, label: str = "REDACTED") -> DataFrame:
     """``df`` (source_format, body, ...) with the struct ``result``: the body (as it came where nothing was found; null where it
-    is rejected), the rules that fired, token -> original, and the error's path and reason. Rows are worked on where they are."""
+    is rejected), the rules that fired, token -> original, the rules that found something that can't be rewritten, and the error's path and reason. Rows are worked on where they are."""
     work = RequestRedactor(rules, key, label)
 
     @F.pandas_udf(RESULT)
     def run(kinds: pd.Series, bodies: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([work(k, b) for k, b in zip(kinds, bodies, strict=True)], columns=["body", "rules", "tokens", "error_path", "error"])
+        return pd.DataFrame([work(k, b) for k, b in zip(kinds, bodies, strict=True)], columns=["body", "rules", "tokens", "read_only", "error_path", "error"])
 
     return df.withColumn("result", run("source_format", "body"))
 
 
 def split_results(done: DataFrame, mode: str = "filter") -> tuple[DataFrame, DataFrame]:
-    """(passed, rejected): in block mode any finding rejects a row."""
+    """(passed, rejected): in block mode any finding, read-only ones too, rejects a row."""
     bad = F.col("result.error").isNotNull()
-    hit = F.coalesce(F.size("result.rules") > 0, F.lit(False)) if mode == "block" else F.lit(False)
-    reason = F.coalesce("result.error", F.concat(F.lit("blocked by "), F.get("result.rules", F.lit(0))))
+    found = F.concat("result.rules", "result.read_only")
+    hit = F.coalesce(F.size(found) > 0, F.lit(False)) if mode == "block" else F.lit(False)
+    reason = F.coalesce("result.error", F.concat(F.lit("blocked by "), F.get(found, F.lit(0))))
     return done.filter(~bad & ~hit), done.filter(bad | hit).select("request_id", "source_format", reason.alias("reason"), F.coalesce("result.error_path", F.lit("$")).alias("path"))
 
 
