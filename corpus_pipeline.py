@@ -28,8 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier line equals within the edits; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    """Documents without the lines that an earlier line equals within the edits, short ones exactly; n_chars follows the text."""
+    out = line_dedup.dedup_lines(docs, short_copies=True)
     return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 

@@ -66,6 +66,14 @@ def test_line_dedup_is_brute_force(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_copies_of_short_lines_go(spark):
+    long = prose(1, 8)
+    docs = [(2, f"menu\n{long}\n\nmenu\nmenus\n \t", "en"), (1, "top\nmenu\n\n \t", "en"), (3, "menu", "en"), (4, f"x\n{long}", "en"), (5, None, "en"), (5, "a\nx", "en"), (5, "top\ny", "en")]
+    out = {(r.doc_id, r.text, r.n_lines_removed) for r in line_dedup.dedup_lines(table(spark, docs), short_copies=True).collect()}
+    assert out == {(2, f"{long}\n\nmenus\n \t", 2), (1, "top\nmenu\n\n \t", 0), (3, "", 1), (4, "x", 1), (5, None, 0), (5, "a", 1), (5, "y", 1)}
+    assert {r.n_lines_removed for r in line_dedup.dedup_lines(table(spark, docs)).collect()} == {0, 1}
+
+
 PAGES = [
     (0, "http://A.Example.org/es/1?q", ""), (1, "https://example.org/en/1x#y", ""), (2, "http://x.org/", ""), (3, "http://x.org", ""), (4, None, None), (5, "no url", ""),
     (6, "http://b.com/de/", '<a href="http://bad.net/x">'), (7, "http://b.com/fr/", "<a href='//good.net/'>"), (8, "http://bad.net/q", '<a href=/own>'), (9, "http://good.net/", None),

@@ -12,8 +12,11 @@ an earlier place) is within ``edits`` edits of it. Equal lines are first reduced
 
 Copies of a line and popular segments are pre-aggregated or meet in equi-joins that adaptive execution splits.
 
-Defined results: a null text stays null and an empty one empty. Lines shorter than ``min_chars`` stay, copies included. A
-document whose lines all go keeps its row with an empty text. A null doc_id is the least of all; rows that share a doc_id and
+Two edits make another line of a short one, so lines under ``min_chars`` never meet in the edit join. With ``short_copies``
+exact copies of them go as well: each such line that holds more than white space stays at its first place alone.
+
+Defined results: a null text stays null and an empty one empty. Lines shorter than ``min_chars`` stay, copies included, unless
+``short_copies`` is set; blank lines always stay. A document whose lines all go keeps its row with an empty text. A null doc_id is the least of all; rows that share a doc_id and
 a place are not earlier than each other. Extra columns pass through unchanged.
 """
 
@@ -174,16 +177,32 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     return gone.groupBy("d").agg(F.collect_set("pos").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dropped_short_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(d, short): for each document with later copies of lines under ``min_chars``, their places and lines."""
+    lines = _lines(docs, 1).filter((F.length("line") < min_chars) & F.col("line").rlike(r"\S"))
+    first = lines.groupBy("line").agg(F.min(F.struct("d", "pos")).alias("at"), F.count("*").alias("copies")).filter("copies > 1")
+    gone = lines.join(first.select("line", "at"), "line").filter(F.struct("d", "pos") > F.col("at"))
+    return gone.groupBy("d").agg(F.collect_set(F.struct("pos", "line")).alias("short"))
+
+
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short_copies: bool = False) -> DataFrame:
     """All rows and columns of ``docs`` with the lines gone from ``text``, and ``n_lines_removed``."""
     gone = dropped_lines(docs, edits, min_chars)
+    if short_copies:
+        gone = gone.join(dropped_short_copies(docs, min_chars), "d", "full")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))
-    joined = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), key.alias("_d")).join(gone.select(F.col("d").alias("_d"), "gone").hint("shuffle_hash"), "_d", "left")
+    joined = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), key.alias("_d")).join(gone.withColumnRenamed("d", "_d").hint("shuffle_hash"), "_d", "left")
     text = F.col("_row.text")
     counts = lambda x, i: ~F.array_contains(F.col("gone"), i) | (F.length(x) < max(min_chars, 1))
+    some = F.col("gone").isNotNull()
+    if short_copies:
+        some = some | F.col("short").isNotNull()
+        long = counts
+        here = lambda x, i: F.array_contains("short", F.struct(i.alias("pos"), x.alias("line")))
+        counts = lambda x, i: F.coalesce(long(x, i), F.lit(True)) & ~F.coalesce(here(x, i), F.lit(False))
     kept = F.filter(F.split(text, "\n"), counts)
-    cutout = F.when(F.col("gone").isNotNull() & text.isNotNull(), F.array_join(kept, "\n")).otherwise(text)
-    removed = F.when(F.col("gone").isNotNull() & text.isNotNull(), F.size(F.split(text, "\n")) - F.size(kept)).otherwise(0).cast("long")
+    cutout = F.when(some & text.isNotNull(), F.array_join(kept, "\n")).otherwise(text)
+    removed = F.when(some & text.isNotNull(), F.size(F.split(text, "\n")) - F.size(kept)).otherwise(0).cast("long")
     columns = [cutout.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
     return joined.select(*columns, removed.alias("n_lines_removed"))
 
@@ -193,6 +212,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op6_line_dedup_short_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup with exact copies of short lines."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return dedup_lines(docs, short_copies=True).select("doc_id", "n_lines_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 SQL = """
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL),
 e AS (SELECT * FROM l WHERE length(line) >= 20),
@@ -206,3 +231,11 @@ g AS (SELECT e.doc_id, e.pos FROM e JOIN u ON e.line = u.line WHERE (e.doc_id, e
 k AS (SELECT l.doc_id, string_agg(CASE WHEN g.pos IS NULL THEN l.line END, chr(10) ORDER BY l.pos) AS t, count(g.pos) AS n FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_lines_removed, sha256(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t, '') END) AS text_sha256 FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id
 """
+#: The same with later copies of short lines that aren't blank.
+SHORT_COPIES_SQL = SQL.replace(
+    "\nk AS (",
+    r"""
+x AS (SELECT line, min((doc_id, pos)) AS fst FROM l WHERE length(line) < 20 AND regexp_matches(line, '[^ \t\n\x0B\f\r]') GROUP BY line),
+y AS (SELECT * FROM g UNION ALL SELECT l.doc_id, l.pos FROM l JOIN x ON l.line = x.line WHERE (l.doc_id, l.pos) > x.fst),
+k AS (""",
+).replace("LEFT JOIN g ON l.doc_id = g.doc_id AND l.pos = g.pos", "LEFT JOIN y AS g ON l.doc_id = g.doc_id AND l.pos = g.pos")

@@ -20,6 +20,7 @@ QUERIES = {
     "op4_chat_formatting": op4.op4_chat_formatting,
     "op5_sentencepiece_codec": op5.op5_sentencepiece_codec,
     "op6_line_dedup": op6.op6_line_dedup,
+    "op6_line_dedup_short_copies": op6.op6_line_dedup_short_copies,
     "op7_url_filters": op7.op7_url_filters,
     "op8_quality_rules": op8.op8_quality_rules,
     "op9_license_scans": op9.op9_license_scans,
@@ -30,5 +31,6 @@ SQL = {
     "op2_ngram_jaccard_join": op2.SQL,
     "op4_chat_formatting": op4.SQL,
     "op6_line_dedup": op6.SQL,
+    "op6_line_dedup_short_copies": op6.SHORT_COPIES_SQL,
     "op10_benchmark_decontamination": op10.SQL,
 }
