@@ -1,4 +1,4 @@
-"""Redaction of a stream of requests, and restoring of streamed chunks."""
+"""Redaction of a stream of requests. Restoring of streamed chunks is not built."""
 
 from __future__ import annotations
 
