@@ -187,3 +187,17 @@ def test_queries_match_their_sql(spark):
         columns = sorted(got.columns)
         want = con.sql(f"select {', '.join(columns)} from ({jobs.SQL[name]})").fetchall()
         assert sorted(map(repr, map(tuple, got.select(columns).collect()))) == sorted(map(repr, want)), name
+
+
+def test_mappings_of_all_events_and_rules(spark, tmp_path):
+    from veilspark.jobs import queries
+
+    events = [(1, 7, "signup", "2024-01-01 00:00:00"), (2, 7, "view", "2024-01-01 01:00:00"), (4, 8, "view", "2024-01-01 02:00:00")]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, at string").withColumn("ts", F.to_timestamp("at")).write.parquet(f"{tmp_path}/events.parquet")
+    docs = [(1, "a", "an@ex.com 10.0.0.1"), (2, "b", "an@ex.com 10.0.0.1"), (3, "b", "bo@ex.com 10.0.0.2")]
+    spark.createDataFrame(docs, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    own = TextRedactor(R.ALL_VALUES, queries.KEY, "REDACTED")
+    rows = lambda name, *c: sorted(tuple(r[x] for x in c) for r in queries.QUERIES[name](spark, str(tmp_path)).collect())
+    assert rows("live_mapping_by_signup", "event_id", "original") == [(1, "7"), (2, "7")]
+    assert rows("compact_vault_all_events", "original") == [("7",), ("8",)]
+    assert rows("forged_tokens_by_source", "doc_id", "token") == sorted((3, own.make(x)) for x in ("bo@ex.com", "10.0.0.2"))

@@ -209,6 +209,21 @@ def compact_vault(spark, sf_dir):
     return vault.compact(own, F.col("now"), 100).select("token", "original")
 
 
+def live_mapping_by_signup(spark, sf_dir):
+    """Users' tokens: a mapping is put by the user's last signup of all and read by each event of theirs."""
+    events = table(spark, sf_dir, "events").withColumn("v", F.col("user_id").cast("string"))
+    puts = vault.vault_rows(events.filter("event_type = 'signup'"), "v", F.col("ts"), 86400, KEY)
+    reads = events.select("event_id", C.make_token(F.col("v"), KEY).alias("token"), F.col("ts").alias("read_ts"))
+    return vault.live(reads, puts).select("event_id", "token", "original")
+
+
+def compact_vault_all_events(spark, sf_dir):
+    """The mappings used last where every event is a put."""
+    events = table(spark, sf_dir, "events").withColumn("v", F.col("user_id").cast("string"))
+    own = vault.vault_rows(events, "v", F.col("ts"), 86400, KEY).crossJoin(events.agg(F.max("ts").alias("now")))  # one row
+    return vault.compact(own, F.col("now"), 100).select("token", "original")
+
+
 def dedupe_vault(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     raw = events.select(C.make_token(F.col("user_id").cast("string"), KEY).alias("token"), F.col("user_id").cast("string").alias("original"), F.col("ts").alias("put_ts"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("expires_at"))
@@ -243,6 +258,15 @@ def forged_tokens(spark, sf_dir):
     return vault.forged(done.select("doc_id", "r.text"), known, "doc_id", "text")
 
 
+def forged_tokens_by_source(spark, sf_dir):
+    """Tokens of all rules that the mappings of the least source don't have."""
+    docs = table(spark, sf_dir, "documents")
+    least = docs.agg(F.min("source").alias("least"))  # one row
+    done = docs.crossJoin(least).select("doc_id", (F.col("source") == F.col("least")).alias("is_known"), redaction.redact_text(F.col("text"), ALL_VALUES, KEY).alias("r"))
+    known = done.filter("is_known").select(F.explode("r.tokens").alias("token", "original"))
+    return vault.forged(done.select("doc_id", "r.text"), known, "doc_id", "text")
+
+
 # ---- scalar functions
 
 
@@ -261,7 +285,7 @@ def ascii_lower(spark, sf_dir):
 
 
 def field_names(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", C.field_name(F.substring("text", 1, 90)).alias("name"), C.field_excerpt(F.col("lang")).alias("shown"))
+    return table(spark, sf_dir, "documents").select("doc_id", C.field_name(F.col("text")).alias("name"), C.field_excerpt(F.col("lang")).alias("shown"))
 
 
 def token_shapes(spark, sf_dir):
@@ -320,13 +344,14 @@ QUERIES |= {
     f.__name__: f
     for f in (
         count_by_rule, detect_text, detect_pages, first_finding, block_reason, summarize_findings, has_secret, block_documents, pass_documents, rule_catalog,
-        make_token, redact_field, redact_email, redact_documents, redact_twice, redact_columns, redact_nested_columns, vault_rows, live_mapping, compact_vault, dedupe_vault, round_trip,
-        collect_tokens, restore_gate, forged_tokens, luhn_check, china_id_check, ascii_lower, field_names, token_shapes, media_routes, request_regions, redact_requests,
+        make_token, redact_field, redact_email, redact_documents, redact_twice, redact_columns, redact_nested_columns, vault_rows, live_mapping, live_mapping_by_signup, compact_vault, compact_vault_all_events, dedupe_vault, round_trip,
+        collect_tokens, restore_gate, forged_tokens, forged_tokens_by_source, luhn_check, china_id_check, ascii_lower, field_names, token_shapes, media_routes, request_regions, redact_requests,
         stitch_text, chunk_order, late_events,
     )
 }
 _AT = f"({START} + to_minutes(CAST(doc_id AS BIGINT)))"
 _VAULT = f"SELECT {_sql_hmac('CAST(user_id AS VARCHAR)')} AS token, CAST(user_id AS VARCHAR) AS original, max(ts) AS put_ts, max(ts) + INTERVAL 86400 SECOND AS expires_at FROM events WHERE event_id % 3 = 0 GROUP BY user_id"
+_SIGNUP = "event_type = 'signup'"
 _EMAIL = next(r[1] for r in VALUE_RULES if r[0] == "email")
 _IPV4 = next(r[1] for r in VALUE_RULES if r[0] == "ipv4")
 SQL |= {
@@ -349,6 +374,8 @@ SELECT doc_id, sha256(coalesce(array_to_string(list_transform(p, lambda x: CASE
 FROM (SELECT unnest({_sql_hits('text', _EMAIL, None)}) AS original, {_AT} AS put_ts FROM documents) GROUP BY original""",
     "live_mapping": f"WITH v AS ({_VAULT}) SELECT event_id, token, original FROM events JOIN v ON v.original = CAST(user_id AS VARCHAR) WHERE put_ts <= ts AND ts <= expires_at",
     "compact_vault": f"WITH v AS ({_VAULT}) SELECT token, original FROM v WHERE expires_at >= (SELECT max(ts) FROM events) ORDER BY put_ts DESC, token LIMIT 100",
+    "live_mapping_by_signup": f"WITH v AS ({_VAULT.replace('event_id % 3 = 0', _SIGNUP)}) SELECT event_id, token, original FROM events JOIN v ON v.original = CAST(user_id AS VARCHAR) WHERE put_ts <= ts AND ts <= expires_at",
+    "compact_vault_all_events": f"WITH v AS ({_VAULT.replace('WHERE event_id % 3 = 0 ', '')}) SELECT token, original FROM v WHERE expires_at >= (SELECT max(ts) FROM events) ORDER BY put_ts DESC, token LIMIT 100",
     "dedupe_vault": f"SELECT DISTINCT {_sql_hmac('CAST(user_id AS VARCHAR)')} AS token, CAST(user_id AS VARCHAR) AS original FROM events",
     "forged_tokens": f"""WITH h AS (SELECT DISTINCT doc_id, unnest({_sql_hits('text', _IPV4, None)}) AS x FROM documents)
 SELECT doc_id, {_sql_hmac('x')} AS token FROM h WHERE x NOT IN (SELECT x FROM h WHERE doc_id % 2 = 0)""",
