@@ -117,6 +117,15 @@ def test_page_rank_is_power_iteration(spark):
     assert all(abs(got[h] - m) < 1e-9 for h, m in mass.items() if m)
 
 
+def test_evidence_travels_far(spark):
+    n = 13
+    chain = [(i, f"http://h{i}.net/", f'<a href="http://h{i + 1}.net/">' if i < n - 1 else '<a href="http://b.com/de/2">') for i in range(n)]
+    pages = spark.createDataFrame([*chain, (n, "http://b.com/de/", ""), (n + 1, "http://h99.net/", "")], "page_id long, url string, html string")
+    out = {r.page_id: r for r in url_filters.judge_pages(pages).collect()}
+    assert [out[i].verdict for i in range(n + 2)] == ["block"] * (n + 1) + ["allow"]
+    assert all(abs(out[n - i].distrust - 0.15 * 0.85**i) < 1e-9 for i in range(1, n + 1))
+
+
 def test_chat_pairs(spark):
     turns = [
         (0, 0, "system", "s"), (0, 1, "user", "q"), (0, 2, "assistant", "good"), (1, 0, "system", "s"), (1, 1, "user", "q"), (1, 2, "assistant", "bad"), (1, 3, "user", None),
