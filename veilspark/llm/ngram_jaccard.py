@@ -16,9 +16,9 @@ classes, and each document gets its class back. For sets with ``100 * shared >=
    link stays in a band or joins two neighbours, and bands into blocks of bounded size. Every pair of blocks of a band or of
    neighbours is one task, which at last counts the exact overlaps and returns a spanning forest of the links.
 
-No group is gathered whole: keys stream through tasks in sorted order, blocks are bounded, and components come from joins that
-spread the least label, with tables written to the shared folder between rounds. A key or a component with N points that no
-bound parts costs N * N comparisons in its tasks, as any exact join does.
+Keys stream through tasks in sorted order, blocks are bounded, and components come from joins that spread the least label, with
+tables written to the shared folder between rounds. All points of one key, though, are held and compared in one task, before
+bands and blocks begin: N points that no bound parts are N * N comparisons there. A component's are dealt to its blocks' tasks.
 
 Defined results: a null text or one without words has an empty set and links with nothing, copies included. With fewer words
 than the n-gram has, the whole sequence is the one gram. A null doc_id is the least of all and comes back as null. Rows that
