@@ -4,15 +4,19 @@ The vocabulary is a SentencePiece BPE model with byte fallback; its pieces and s
 are read on the driver and broadcast. In each pass of a task:
 
 1. Texts get the model's leading space and are cut into units before each run of spaces: no piece reaches across such a
-   border. Equal units of the pass are worked on once.
-2. The units' bytes are indexed: all suffixes, sorted by the next ``longest`` bytes up to the unit's end.
+   border. Equal units are worked on once; a bounded table of a task's units is kept between passes.
+2. The units' bytes are indexed a segment at a time: all suffixes, sorted by the next ``longest`` bytes up to the unit's end.
 3. Every piece is looked up in the sorted suffixes by binary search; its range holds all its occurrences, the edges.
-4. Edges are put in order of position and length; relaxing them starts from single characters and takes, in each unit, the
-   edge over two neighbours with the best score (the leftmost of equals) until none is left. Bytes that no edge covers become
-   byte pieces.
+4. Edges are sorted by position and length and kept sparse: each byte has a bit for every length that starts there, and the
+   pieces follow in that order. Relaxing them starts from single characters and takes, in each unit, the edge over two
+   neighbours with the best score (the leftmost of equals) until none is left. Bytes that no edge covers become byte pieces.
 
 The model file merges by score, so relaxing follows that order; a best-path sum over the edges, as for unigram models, would not
-give the ids of this model. Units of more than ``LONG_UNIT`` characters are relaxed with a heap.
+give the ids of this model. Units of more than ``LONG_UNIT`` characters are relaxed one at a time, with a sorted queue of their
+first edges and a heap of those that merging makes.
+
+Memory: a pass holds ``PASS_BYTES`` of text, and some 30 numbers for each of them at most. A longer text is a pass of its own; a
+unit beyond a pass, such as a text of megabytes without a space, takes about 100 bytes for each of its own.
 
 Defined results: null gives null ids, '' no ids. Decoding gives the text back, except that U+2581 comes back as a space and
 that the model has no way to tell it apart. Unknown ids decode to nothing. Repeated rows are encoded once each.
@@ -21,6 +25,7 @@ that the model has no way to tell it apart. Unknown ids decode to nothing. Repea
 from __future__ import annotations
 
 import heapq
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,11 +35,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .text_kernels import _BYTE_HASH, _power, lists, map_texts, mix
+from .text_kernels import pieces as cuts
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-LONG_UNIT = 200
-PASS_BYTES = 4 << 20
+LONG_UNIT, LONG_BYTES = 200, 1024
+PASS_BYTES = 1 << 20
+#: Suffixes that are sorted at once, and ids of the units that a task remembers.
+SEGMENT, MEMORY = 1 << 16, 1 << 20
+#: A byte's edges are bits of one number.
+LONGEST = 63
+U = np.uint64
 
 
 @dataclass
@@ -61,7 +72,9 @@ def load_pieces(path: str) -> Pieces:
         else:
             merged.append(i)
             text.append(said.replace(SPACE, " ").encode())
-    merged = np.array(merged)
+    merged = np.array(list({text[i]: i for i in reversed(merged)}.values())[::-1])  # of equal texts the first
+    if max(len(text[i]) for i in merged) > LONGEST:
+        raise ValueError(f"a piece of more than {LONGEST} bytes")
     return Pieces(text, np.array([m.get_score(i) for i in range(len(text))]), merged, byte, max(len(text[i]) for i in merged))
 
 
@@ -84,6 +97,32 @@ def _keys(data: np.ndarray, at: np.ndarray, end: np.ndarray, longest: int) -> li
     return out
 
 
+@dataclass
+class Edges:
+    """Occurrences of pieces in order of position and length. Bit n of mask[p]: a piece of n bytes starts at byte p; the ids of
+    those of byte p start at first[p]."""
+
+    mask: np.ndarray
+    first: np.ndarray
+    ids: np.ndarray
+
+    def pieces(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Ids of the pieces that reach from start to end, -1 where none does."""
+        if not len(self.ids):
+            return np.full(len(start), -1, dtype=np.int32)
+        size = end - start
+        size = np.where(size <= LONGEST, size, 0).astype(U)  # no piece has 0 bytes
+        mask = self.mask[start]
+        at = self.first[start] + np.bitwise_count(mask & ((U(1) << size) - U(1)))
+        return np.where((mask >> size) & U(1), self.ids[np.minimum(at, len(self.ids) - 1)], np.int32(-1))
+
+    def piece(self, start: int, end: int) -> int:
+        size, mask = end - start, self.mask.item(start)
+        if size > LONGEST or not mask >> size & 1:
+            return -1
+        return self.ids.item(self.first.item(start) + (mask & ((1 << size) - 1)).bit_count())
+
+
 class Matcher:
     """Finds the pieces' occurrences in the suffixes of a run of units."""
 
@@ -99,19 +138,50 @@ class Matcher:
             free = np.clip(8 * (part + 1) - self.length, 0, 8)
             fill = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
             key |= fill[free]
-
-    def edges(self, data: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Table (place, length) of piece ids, -1 where none matches; the edges in order of position and length."""
+        # Place of each id's score, best first; equal scores share one.
+        self.rank = np.unique(-pieces.score, return_inverse=True)[1]
+        self.known = np.zeros(0, dtype=U)
+        self.begin = self.count = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.int32)
+
+    def edges(self, data: np.ndarray, at: np.ndarray, end: np.ndarray) -> Edges:
+        """The edges that start at the places ``at``, in units that end at ``end``."""
+        mask = np.zeros(len(data), dtype=U)
+        ids = [np.zeros(0, dtype=np.int32)]
+        for k in range(0, len(at), SEGMENT):
+            place, which = self._occurrences(data, at[k : k + SEGMENT], end[k : k + SEGMENT])
+            if len(place):
+                length = self.length[which]
+                by = np.argsort(place * (LONGEST + 1) + length)
+                place, bit = place[by], U(1) << length[by].astype(U)
+                head = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+                mask[place[head]] = np.bitwise_or.reduceat(bit, head)
+                ids.append(self.pieces.merged[which[by]].astype(np.int32))
+        n = np.bitwise_count(mask).astype(np.int64)
+        return Edges(mask, np.cumsum(n) - n, np.concatenate(ids))
+
+    def _occurrences(self, data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, index of the piece) of every occurrence among the suffixes at ``at``."""
         keys = _keys(data, at, end, self.pieces.longest)
         order = np.lexsort(keys[::-1])
         keys = [k[order] for k in keys]
         lo, hi = self._search(keys, self.low, False), self._search(keys, self.high, True)
         count = hi - lo
         which = np.repeat(np.arange(len(count)), count)
-        place = at[order[np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)]]
-        table = np.full((len(data), self.pieces.longest + 1), -1, dtype=np.int32)
-        table[place, self.length[which]] = self.pieces.merged[which]
-        return table
+        return at[order[np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)]], which
+
+    def remember(self, h: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        """Adds units by hash; what is known so far goes where it would grow beyond its bound."""
+        old = len(self.ids) + len(ids) <= MEMORY
+        before = (self.known, self.begin, self.count, self.ids) if old else (h[:0], count[:0], count[:0], ids[:0])
+        known, begin = np.concatenate((before[0], h)), np.concatenate((before[1], np.cumsum(count) - count + len(before[3])))
+        order = np.argsort(known)
+        self.known, self.begin, self.count = known[order], begin[order], np.concatenate((before[2], count))[order]
+        self.ids = np.concatenate((before[3], ids))
+
+    def knows(self, h: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.known, h), max(len(self.known) - 1, 0))
+        return self.known[at] == h if len(self.known) else np.zeros(len(h), dtype=bool)
 
     @staticmethod
     def _search(keys: list[np.ndarray], wanted: list[np.ndarray], after: bool) -> np.ndarray:
@@ -130,20 +200,18 @@ class Matcher:
         return hi if len(keys) == 1 and after else lo
 
 
-def _relax(table: np.ndarray, score: np.ndarray, start: np.ndarray, end: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _relax(edges: Edges, rank: np.ndarray, start: np.ndarray, end: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols (start, end, unit) after all merges; one merge in each unit a round."""
-    longest = table.shape[1] - 1
     done = []
+    none = np.iinfo(np.int64).max
     while len(start):
-        size = end[1:] - start[:-1]
-        fits = (unit[1:] == unit[:-1]) & (size <= longest)
-        found = np.where(fits, table[start[:-1], np.minimum(size, longest)], -1)
-        value = np.where(found >= 0, score[np.maximum(found, 0)], -np.inf)
-        value = np.append(value, -np.inf)
-        head = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1])))
-        best = np.maximum.reduceat(value, head)
-        group = np.cumsum(np.concatenate(([0], (unit[1:] != unit[:-1]).astype(np.int64))))
-        active = best > -np.inf
+        found = edges.pieces(start[:-1], end[1:])
+        value = np.where((found >= 0) & (unit[1:] == unit[:-1]), rank[np.maximum(found, 0)], none)
+        value = np.append(value, none)
+        new = np.concatenate(([True], unit[1:] != unit[:-1]))
+        best = np.minimum.reduceat(value, np.flatnonzero(new))
+        group = np.cumsum(new) - 1
+        active = best < none
         hit = np.flatnonzero((value == best[group]) & active[group])
         hit = hit[np.concatenate(([True], group[hit][1:] != group[hit][:-1]))] if len(hit) else hit
         stay = ~active[group]
@@ -157,54 +225,68 @@ def _relax(table: np.ndarray, score: np.ndarray, start: np.ndarray, end: np.ndar
     return tuple(np.concatenate([d[i] for d in done]) if done else np.zeros(0, dtype=np.int64) for i in range(3))
 
 
-def _relax_long(table: np.ndarray, score: np.ndarray, starts: list[int], stop: int) -> list[tuple[int, int]]:
-    """The same for one long unit, with a heap."""
-    longest = table.shape[1] - 1
+def _relax_long(edges: Edges, rank: np.ndarray, starts: np.ndarray, stop: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for one long unit: (start, end) of its symbols. Merges come from the sorted first edges and from a heap of later
+    ones, as numbers of rank and place; ``now`` has the rank of each symbol's pair at the time, so that outdated ones are seen."""
     n = len(starts)
-    end = [*starts[1:], stop]
-    after, before, alive = [*range(1, n), -1], [*range(-1, n - 1)], [True] * n
-
-    def push(heap, i):
-        j = after[i]
-        if j >= 0 and end[j] - starts[i] <= longest and (x := table[starts[i], end[j] - starts[i]]) >= 0:
-            heapq.heappush(heap, (-score[x], i, end[j]))
-
-    heap: list = []
-    for i in range(n):
-        push(heap, i)
-    while heap:
-        _, i, to = heapq.heappop(heap)
+    end = array("q", np.append(starts[1:], stop).tobytes())
+    start = array("q", starts.astype(np.int64).tobytes())
+    after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+    found = edges.pieces(starts[:-1], np.append(starts[2:], stop)[: n - 1])
+    first = np.append(np.where(found >= 0, rank[np.maximum(found, 0)], -1), -1)
+    now = array("q", first.astype(np.int64).tobytes())
+    some = np.flatnonzero(first >= 0)
+    queue = np.sort((first[some] << 40) | some)
+    heap: list[int] = []
+    at, last, low = 0, len(queue), (1 << 40) - 1
+
+    def look(i: int) -> None:
         j = after[i]
-        if not alive[i] or j < 0 or end[j] != to:
+        x = edges.piece(start[i], end[j]) if j < n else -1
+        now[i] = -1 if x < 0 else rank.item(x)
+        if x >= 0:
+            heapq.heappush(heap, now[i] << 40 | i)
+
+    while at < last or heap:
+        if at < last and (not heap or queue.item(at) <= heap[0]):
+            key = queue.item(at)
+            at += 1
+        else:
+            key = heapq.heappop(heap)
+        i = key & low
+        if now[i] != key >> 40:
             continue
-        alive[j] = False
-        end[i], after[i] = to, after[j]
-        if after[i] >= 0:
+        j = after[i]
+        now[j], end[i], after[i] = -2, end[j], after[j]  # -2: part of the symbol before
+        if after[i] < n:
             before[after[i]] = i
         if before[i] >= 0:
-            push(heap, before[i])
-        push(heap, i)
-    return [(starts[i], end[i]) for i in range(n) if alive[i]]
+            look(before[i])
+        look(i)
+    kept = np.frombuffer(now, dtype=np.int64) != -2
+    return starts[kept], np.frombuffer(end, dtype=np.int64)[kept]
 
 
 def encode_units(m: Matcher, data: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of units that lie one behind another in ``data``, and how many each has."""
+    if not len(first):
+        return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
     at = np.flatnonzero((data & 0xC0) != 0x80)
     unit = np.searchsorted(first, at, side="right") - 1
     end = np.append(at[1:], len(data))
-    table = m.edges(data, at, stop[unit])
+    edges = m.edges(data, at, stop[unit])
     chars = np.bincount(unit, minlength=len(first))
-    long = chars > LONG_UNIT
-    short = ~long[unit]
-    s, e, u = _relax(table, m.pieces.score, at[short], end[short], unit[short])
-    more = [(a, b, i) for i in np.flatnonzero(long) for a, b in _relax_long(table, m.pieces.score, at[unit == i].tolist(), int(stop[i]))]
-    if more:
-        x = np.array(more)
-        s, e, u = np.concatenate((s, x[:, 0])), np.concatenate((e, x[:, 1])), np.concatenate((u, x[:, 2]))
+    long = np.flatnonzero(chars > LONG_UNIT)
+    short = chars[unit] <= LONG_UNIT
+    s, e, u = _relax(edges, m.rank, at[short], end[short], unit[short])
+    if len(long):
+        place = np.concatenate(([0], np.cumsum(chars)))
+        more = [_relax_long(edges, m.rank, at[place[i] : place[i + 1]], int(stop[i])) for i in long]
+        s, e, u = np.concatenate((s, *[x for x, _ in more])), np.concatenate((e, *[x for _, x in more])), np.concatenate((u, *[np.full(len(x), i) for i, (x, _) in zip(long, more, strict=True)]))
     order = np.argsort(s, kind="stable")
     s, e, u = s[order], e[order], u[order]
     size = e - s
-    ids = np.where(size <= m.pieces.longest, table[s, np.minimum(size, m.pieces.longest)], -1)
+    ids = edges.pieces(s, e)
     n = np.where(ids >= 0, 1, size)
     out = np.repeat(ids, n)
     place = np.repeat(s, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
@@ -212,6 +294,39 @@ def encode_units(m: Matcher, data: np.ndarray, first: np.ndarray, stop: np.ndarr
     return out.astype(np.int32), np.bincount(u, weights=n, minlength=len(first)).astype(np.int64)
 
 
+def _units(m: Matcher, buffer: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, begin, count): ids of all units of a pass, and where those of each one begin and how many they are."""
+    step = np.arange(len(buffer), dtype=np.int32)
+    step -= np.repeat(first.astype(np.int32), size)
+    np.minimum(step, LONG_BYTES - 1, out=step)
+    h = _BYTE_HASH[buffer]
+    h *= _power(LONG_BYTES)[step]
+    del step
+    h = mix(np.add.reduceat(h, first) + size.astype(U))
+    short = size <= LONG_BYTES
+    own, one = np.unique(h[short], return_index=True)
+    one = np.flatnonzero(short)[one]
+    new = ~m.knows(own)
+    if len(m.ids) + int(size[one[new]].sum()) > MEMORY:
+        new[:] = True  # the units known so far go, so that those of this pass have room
+        m.known, m.begin, m.count, m.ids = m.known[:0], m.begin[:0], m.count[:0], m.ids[:0]
+    some = one[new]
+    length = size[some]
+    begin = np.cumsum(length) - length
+    data = buffer[np.repeat(first[some] - begin, length) + np.arange(int(length.sum()))]
+    m.remember(own[new], *encode_units(m, data, begin, begin + length))
+    ids, starts, counts = [m.ids], np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
+    at = np.searchsorted(m.known, h[short])
+    starts[short], counts[short] = m.begin[at], m.count[at]
+    total = len(m.ids)
+    for i in np.flatnonzero(~short):
+        more, n = encode_units(m, buffer[first[i] : first[i] + size[i]], np.zeros(1, dtype=np.int64), size[i : i + 1])
+        ids.append(more)
+        starts[i], counts[i] = total, n[0]
+        total += len(more)
+    return np.concatenate(ids), starts, counts
+
+
 def _with_spaces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts with a leading space each (but empty ones), the space mark as a space."""
     mark = SPACE.encode()
@@ -233,7 +348,9 @@ def encode(docs: DataFrame, pieces: Pieces, keep: dict[str, Column] | None = Non
     state: dict[str, Matcher] = {}
 
     def work(data, offsets, part):
-        m = state.setdefault("m", Matcher(shared.value))
+        if "m" not in state:
+            state["m"] = Matcher(shared.value)
+        m = state["m"]
         null = np.array(part.column(part.num_columns - 1).is_null())
         buffer, to = _with_spaces(data, offsets)
         if not len(buffer):
@@ -242,18 +359,8 @@ def encode(docs: DataFrame, pieces: Pieces, keep: dict[str, Column] | None = Non
         head = space & ~np.concatenate(([False], space[:-1]))
         head[to[:-1][np.diff(to) > 0]] = True
         first = np.flatnonzero(head)
-        stop = np.append(first[1:], len(buffer))
-        size = stop - first
-        place = np.arange(len(buffer)) - np.repeat(first, size)
-        h = mix(np.add.reduceat(_BYTE_HASH[buffer] * _power(int(size.max()))[place], first) + size.astype(np.uint64))
-        _, one, which = np.unique(h, return_index=True, return_inverse=True)
-        length = size[one]
-        own_first = np.cumsum(length) - length
-        own = buffer[np.repeat(first[one] - own_first, length) + np.arange(int(length.sum()))]
-        ids, n = encode_units(m, own, own_first, own_first + length)
-        begin = np.cumsum(n) - n
-        count = n[which]
-        all_ids = ids[np.repeat(begin[which] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+        ids, begin, count = _units(m, buffer, first, np.diff(np.append(first, len(buffer))))
+        all_ids = ids[np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
         doc = np.searchsorted(to, first, side="right") - 1
         tokens = np.bincount(doc, weights=count, minlength=len(null)).astype(np.int64)
         column = lists(all_ids, tokens, pa.int32())
@@ -280,10 +387,10 @@ def decode(encoded: DataFrame, pieces: Pieces, keep: list[str] | None = None, id
         begin = np.cumsum(length) - length
         raw = np.frombuffer(b"".join(text), dtype=np.uint8)
         for batch in batches:
-            for lo in range(0, len(batch), 500):
-                part = batch.slice(lo, 500)
+            per_row = batch.column(len(keep)).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi in cuts(np.concatenate(([0], np.cumsum(per_row))), PASS_BYTES // 8):
+                part, per = batch.slice(lo, hi - lo), per_row[lo:hi]
                 column = part.column(len(keep))
-                per = np.array(column.value_lengths().fill_null(0))
                 own = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 own = np.where((own >= 0) & (own < len(text)), own, len(text))
                 size = length[own]
