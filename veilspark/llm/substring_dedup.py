@@ -14,8 +14,10 @@ Repeats inside one document are found in its own task. No text or group of occur
 minima and maxima, and each document gets back the hashes that it has to drop. Joins back are equi-joins on a hash that
 adaptive execution splits where it is hot.
 
+Lists of hashes are kept by doc_id and a hash of the text, so rows that share a doc_id gather nothing of each other.
+
 Defined results: a null text has no words; a null doc_id is the least of all. Rows that share a doc_id are one document as
-far as others go: neither is earlier than the other. An empty table gives an empty result. Only doc_id and text are read.
+far as others go: neither is earlier than the other, whether their texts are equal or not. An empty table gives an empty result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -85,7 +87,7 @@ def _first_of_each(*keys: np.ndarray) -> np.ndarray:
 
 
 def _key(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), "doc_id", "text")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), F.xxhash64("text").alias("k"), "doc_id", "text")
 
 
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
@@ -94,56 +96,59 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
         own = _first_of_each(c.anchor, c.content, c.chunk_doc)
         return c.chunk_doc[own], {"anchor": c.anchor[own].view(np.int64), "content": c.content[own].view(np.int64)}
 
-    return map_texts(docs, work, [("anchor", "long"), ("content", "long")], keep={"d": F.col("d")})
+    return map_texts(docs, work, [("anchor", "long"), ("content", "long")], keep={"d": F.col("d"), "k": F.col("k")})
 
 
 def _windows(docs: DataFrame, window: int) -> DataFrame:
-    """(d, left, right) of the windows under the anchors in the column ``open``."""
+    """(d, k, left, right) of the windows under the anchors in the column ``open``."""
 
     def work(data, offsets, part):
         c = Chunks(split_words(data, offsets, SPACED), window)
-        inside = _listed(part.column(1), c.chunk_doc, c.anchor)[c.chunk]
+        inside = _listed(part.column(2), c.chunk_doc, c.anchor)[c.chunk]
         at = np.flatnonzero(inside)
         at = at[_first_of_each(c.whole[at], c.doc[at])]
         return c.doc[at], {"left": c.left_half[at].view(np.int64), "right": c.right_half[at].view(np.int64)}
 
-    return map_texts(docs, work, [("left", "long"), ("right", "long")], keep={"d": F.col("d"), "open": F.col("open")}).drop("open")
+    return map_texts(docs, work, [("left", "long"), ("right", "long")], keep={x: F.col(x) for x in ("d", "k", "open")}).drop("open")
 
 
 def _listed(column: pa.Array, doc: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Whether each value stands in the list of its document."""
-    if column.null_count:
-        column = pa.array([x or [] for x in column.to_pylist()], column.type)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    owner = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy(zero_copy_only=False))
-    return np.isin(combine(value, doc.astype(np.uint64)), combine(flat, owner.astype(np.uint64)))
+    flat, owner = _flat(column)
+    return np.isin(combine(value, doc.astype(np.uint64)), combine(flat, owner))
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column, null lists left out, and the row of each."""
+    size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), np.repeat(np.arange(len(column)), size).astype(np.uint64)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS) -> tuple[DataFrame, DataFrame]:
-    """Two tables by ``d`` (doc_id, null as the least number): hashes of anchors whose whole chunks repeat an earlier
+    """Two tables by ``d`` (doc_id, null as the least number) and ``k`` (the text's hash): hashes of anchors whose whole chunks repeat an earlier
     document (``closed``) and of those to extend (``open``); and hashes of single windows that repeat one (``again``)."""
     own = _key(docs)
     span = [F.min("d").alias("least"), F.max("d").alias("most")]
     anchors = _anchors(own, window)
     shared = anchors.groupBy("anchor").agg(*span, F.min("content").alias("one"), F.max("content").alias("other")).filter("least < most")
     shared = shared.select("anchor", "least", (F.col("one") != F.col("other")).alias("differs"))
-    hit = anchors.select("anchor", "d").join(shared, "anchor").filter("differs or d > least")
-    level = hit.groupBy("d").agg(
+    hit = anchors.select("anchor", "d", "k").join(shared, "anchor").filter("differs or d > least")
+    level = hit.groupBy("d", "k").agg(
         F.collect_set(F.when(~F.col("differs"), F.col("anchor"))).alias("closed"), F.collect_set(F.when(F.col("differs"), F.col("anchor"))).alias("open")
     )
     level = cut(level)
-    pairs = _windows(own.join(level.filter(F.size("open") > 0).select("d", "open").hint("shuffle_hash"), "d"), window)
+    pairs = _windows(own.join(level.filter(F.size("open") > 0).select("d", "k", "open").hint("shuffle_hash"), ["d", "k"]), window)
     both = pairs.groupBy("left", "right").agg(*span).filter("least < most").select("left", "right", "least")
     again = pairs.join(both, ["left", "right"]).filter("d > least")
     # A window's own hash is made from its two halves in the task, as Chunks does.
-    return level, cut(again.groupBy("d").agg(F.collect_list("left").alias("left"), F.collect_list("right").alias("right")))
+    return level, cut(again.groupBy("d", "k").agg(F.collect_list("left").alias("left"), F.collect_list("right").alias("right")))
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, and text: the kept words joined by one space."""
     level, again = repeated_windows(docs, window)
-    marks = level.select("d", "closed").join(again, "d", "full")
-    joined = _key(docs).join(marks.hint("shuffle_hash"), "d", "left")
+    marks = level.select("d", "k", "closed").join(again, ["d", "k"], "full")
+    joined = _key(docs).join(marks.hint("shuffle_hash"), ["d", "k"], "left")
 
     def work(data, offsets, part):
         w = split_words(data, offsets, SPACED)
@@ -164,11 +169,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
 
 
 def _pair_listed(left: pa.Array, right: pa.Array, c: Chunks) -> np.ndarray:
-    if left.null_count:
-        left, right = (pa.array([x or [] for x in z.to_pylist()], z.type) for z in (left, right))
-    a, b = (z.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for z in (left, right))
-    owner = np.repeat(np.arange(len(left)), left.value_lengths().to_numpy(zero_copy_only=False))
-    return np.isin(combine(c.whole, c.doc.astype(np.uint64)), combine(combine(a, b), owner.astype(np.uint64)))
+    (a, owner), (b, _) = _flat(left), _flat(right)
+    return np.isin(combine(c.whole, c.doc.astype(np.uint64)), combine(combine(a, b), owner))
 
 
 def join_words(w: Words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

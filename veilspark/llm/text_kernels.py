@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one numpy pass works on; a single longer text is one pass of its own.
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 19
 
 U = np.uint64
 _K1, _K2, _K3 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -105,9 +105,11 @@ def split_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower:
     value = np.zeros(len(start), dtype=U)
     if hashed and len(start):
         length = end - start
-        place = np.arange(len(data)) - np.repeat(np.concatenate(([0], start)), np.diff(np.concatenate(([0], start, [len(data)]))))
+        place = np.arange(len(data), dtype=np.int32)
+        place -= np.repeat(np.concatenate(([0], start)).astype(np.int32), np.diff(np.concatenate(([0], start, [len(data)]))))
         np.minimum(place, int(length.max()) - 1, out=place)
-        weighted = _BYTE_HASH[data] * _power(int(length.max()))[place]
+        weighted = _BYTE_HASH[data]
+        weighted *= _power(int(length.max()))[place]
         weighted[~inside] = 0
         value = np.add.reduceat(weighted, start)
         value = mix(value + length.astype(U) * _K1)
