@@ -16,8 +16,10 @@ Two edits make another line of a short one, so lines under ``min_chars`` never m
 exact copies of them go as well: each such line that holds more than white space stays at its first place alone.
 
 Defined results: a null text stays null and an empty one empty. Lines shorter than ``min_chars`` stay, copies included, unless
-``short_copies`` is set; blank lines always stay. A document whose lines all go keeps its row with an empty text. A null doc_id is the least of all; rows that share a doc_id and
-a place are not earlier than each other. Extra columns pass through unchanged.
+``short_copies`` is set; blank lines always stay. A document whose lines all go keeps its row with an empty text. A null
+doc_id is the least of all; rows that share a doc_id and a place are not earlier than each other. Places to drop are kept by
+doc_id and a hash of the text, so rows that share a doc_id lose and gather nothing of each other. Extra columns pass through
+unchanged, but for one with the name of the count, which takes its place.
 """
 
 from __future__ import annotations
@@ -37,10 +39,14 @@ _SEED = "line"
 COUNTED = "etanoisrhdlu"
 
 
+def _row_key() -> list[Column]:
+    """d and k: the doc_id, null as the least number, and the text's hash."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), F.xxhash64("text").alias("k")]
+
+
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(d, pos, line) of the lines that count."""
-    d = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d")
-    return docs.select(d, F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter(F.length("line") >= max(min_chars, 1))
+    """(d, k, pos, line) of the lines that count."""
+    return docs.select(*_row_key(), F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter(F.length("line") >= max(min_chars, 1))
 
 
 def _segment(n: Column, i: int, edits: int) -> tuple[Column, Column]:
@@ -156,7 +162,7 @@ def similar(a: Column, b: Column, edits: int) -> Column:
 
 
 def dropped_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(d, gone): for each document that loses lines, the places of those lines."""
+    """(d, k, gone): for each document that loses lines, the places of those lines."""
     lines = _lines(docs, min_chars).withColumn("h", F.xxhash64("line")).withColumn("g", F.xxhash64(F.lit(_SEED), "line"))
     known = lines.groupBy("h", "g").agg(F.min(F.struct("d", "pos")).alias("at"), F.count("*").alias("copies"), F.first("line").alias("line"))
     known = cut(known.withColumn("n", F.length("line")).withColumn("counts", letter_counts(F.col("line"))))
@@ -173,38 +179,31 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     later = near.select(F.when(F.col("at1") < F.col("at2"), F.struct("h2", "g2")).otherwise(F.struct(F.col("h").alias("h2"), F.col("g1").alias("g2"))).alias("x")).select(F.col("x.h2").alias("h"), F.col("x.g2").alias("g")).distinct()
     later = cut(later.withColumn("near", F.lit(True)), release=False)
     marked = known.select("h", "g", "at", "copies").join(later, ["h", "g"], "left").filter("copies > 1 or near").select("h", "g", "at", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = lines.select("d", "pos", "h", "g").join(marked, ["h", "g"]).filter(F.col("near") | (F.struct("d", "pos") > F.col("at")))
-    return gone.groupBy("d").agg(F.collect_set("pos").alias("gone"))
+    gone = lines.select("d", "k", "pos", "h", "g").join(marked, ["h", "g"]).filter(F.col("near") | (F.struct("d", "pos") > F.col("at")))
+    return gone.groupBy("d", "k").agg(F.collect_set("pos").alias("gone"))
 
 
 def dropped_short_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(d, short): for each document with later copies of lines under ``min_chars``, their places and lines."""
+    """(d, k, short): for each document with later copies of lines under ``min_chars``, their places."""
     lines = _lines(docs, 1).filter((F.length("line") < min_chars) & F.col("line").rlike(r"\S"))
     first = lines.groupBy("line").agg(F.min(F.struct("d", "pos")).alias("at"), F.count("*").alias("copies")).filter("copies > 1")
     gone = lines.join(first.select("line", "at"), "line").filter(F.struct("d", "pos") > F.col("at"))
-    return gone.groupBy("d").agg(F.collect_set(F.struct("pos", "line")).alias("short"))
+    return gone.groupBy("d", "k").agg(F.collect_set("pos").alias("short"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short_copies: bool = False) -> DataFrame:
-    """All rows and columns of ``docs`` with the lines gone from ``text``, and ``n_lines_removed``."""
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short_copies: bool = False, removed: str | None = "n_lines_removed") -> DataFrame:
+    """All rows and columns of ``docs`` with the lines gone from ``text``, and their number in the column ``removed``, if named."""
     gone = dropped_lines(docs, edits, min_chars)
     if short_copies:
-        gone = gone.join(dropped_short_copies(docs, min_chars), "d", "full")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))
-    joined = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), key.alias("_d")).join(gone.withColumnRenamed("d", "_d").hint("shuffle_hash"), "_d", "left")
-    text = F.col("_row.text")
-    counts = lambda x, i: ~F.array_contains(F.col("gone"), i) | (F.length(x) < max(min_chars, 1))
-    some = F.col("gone").isNotNull()
-    if short_copies:
-        some = some | F.col("short").isNotNull()
-        long = counts
-        here = lambda x, i: F.array_contains("short", F.struct(i.alias("pos"), x.alias("line")))
-        counts = lambda x, i: F.coalesce(long(x, i), F.lit(True)) & ~F.coalesce(here(x, i), F.lit(False))
-    kept = F.filter(F.split(text, "\n"), counts)
-    cutout = F.when(some & text.isNotNull(), F.array_join(kept, "\n")).otherwise(text)
-    removed = F.when(some & text.isNotNull(), F.size(F.split(text, "\n")) - F.size(kept)).otherwise(0).cast("long")
-    columns = [cutout.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
-    return joined.select(*columns, removed.alias("n_lines_removed"))
+        gone = gone.join(dropped_short_copies(docs, min_chars), ["d", "k"], "full").select("d", "k", F.array_distinct(F.concat(*[F.coalesce(c, F.array().cast("array<int>")) for c in ("gone", "short")])).alias("gone"))
+    given = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *_row_key())
+    joined = given.join(gone.hint("shuffle_hash"), ["d", "k"], "left")
+    text = F.col("row.text")
+    kept = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("gone"), i))
+    some = F.col("gone").isNotNull() & text.isNotNull()
+    columns = [(F.when(some, F.array_join(kept, "\n")).otherwise(text) if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns if c != removed]
+    count = [F.when(some, F.size("gone")).otherwise(0).cast("long").alias(removed)] if removed else []
+    return joined.select(*columns, *count)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
