@@ -5,8 +5,10 @@ item are a window; an item with fewer words is one shorter window. Each task sca
 sorted hash table of the windows, verifies each hit against the window's words, and reports the hit words, the spans and the
 items. No document text is shuffled.
 
-The table is broadcast only up to ``max_windows`` windows. A larger benchmark is cut into slices by window hash, each of which
-keeps that bound; the documents are scanned once for each slice and the hits of a document are joined again by an aggregation.
+The table is broadcast only up to ``max_bytes`` of words and ids, and never becomes Python objects as a whole. A larger
+benchmark is cut into slices by window, each of about that size; the documents are scanned once for each slice. Hits of slices
+meet by hashes of doc_id and text, spans that touch or overlap become one, and the rows are joined to them, so both ways give the
+same texts.
 
 Defined results: null or empty text has no words and no hits. Items without words never match. A null item id counts as an
 item with the id ``''``; rows that share an item id are one item. Rows of documents that repeat are reported once each.
@@ -14,16 +16,20 @@ item with the id ``''``; rows that share an item id are one item. Rows of docume
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text_kernels import ALNUM, cover, lists, map_texts, split_words, sums, windows
+from .lineage import cut
+from .text_kernels import ALNUM, cover, map_texts, runs, split_words, windows
 
 WINDOW_WORDS = 10
-MAX_WINDOWS = 2_000_000
+MAX_BYTES = 128 << 20
+SPANS = "array<struct<first:bigint,last:bigint,start:bigint,end:bigint>>"
 _BITS = 22
 
 
@@ -50,103 +56,118 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFra
     return map_texts(benchmark, work, [("words", "string"), ("n_words", "int"), ("hash", "long")], keep=item).distinct()
 
 
-def _tables(rows: list) -> dict[int, tuple]:
-    """For each window size: sorted hashes, word sequences, item numbers by window, and a bitmap of the hashes' low bits."""
+@dataclass
+class Table:
+    """Windows of one size, sorted by hash: their words, their items, and a bitmap of the hashes' low bits."""
+
+    hashes: np.ndarray
+    words: pa.Array
+    items: pa.Array  # a list of ids for each window
+    bits: np.ndarray
+
+
+def _tables(rows: pa.Table) -> dict[int, Table]:
+    """A table for each window size. ``rows`` (n_words, hash, words, items) comes sorted; it stays in Arrow buffers."""
     out = {}
-    for k in sorted({r.n_words for r in rows}):
-        own = sorted((r for r in rows if r.n_words == k), key=lambda r: (r.hash % 2**64, r.words, r.item_id))
-        words: list[str] = []
-        items: list[list[str]] = []
-        hashes: list[int] = []
-        for r in own:
-            if not words or words[-1] != r.words or hashes[-1] != r.hash % 2**64:
-                words.append(r.words)
-                items.append([])
-                hashes.append(r.hash % 2**64)
-            items[-1].append(r.item_id)
-        h = np.array(hashes, dtype=np.uint64)
+    size, h = rows["n_words"].to_numpy(), rows["hash"].to_numpy().astype(np.int64).view(np.uint64)
+    edge = runs(size)
+    for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+        own = h[lo:hi]
+        order = np.argsort(own, kind="stable")
         bits = np.zeros(1 << _BITS, dtype=bool)
-        bits[(h & np.uint64((1 << _BITS) - 1)).astype(np.int64)] = True
-        out[k] = (h, [x.encode() for x in words], items, bits)
+        bits[(own & np.uint64((1 << _BITS) - 1)).astype(np.int64)] = True
+        part = rows.slice(lo, hi - lo).take(pa.array(order)).combine_chunks()
+        out[int(size[lo])] = Table(own[order], *(part[c].chunk(0) for c in ("words", "items")), bits)
     return out
 
 
-def _scan(docs: DataFrame, rows: list, keep: dict | None) -> DataFrame:
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(_tables(rows))
+def _scan(docs: DataFrame, rows: pa.Table, keep: dict) -> DataFrame:
+    """The ``keep`` columns, n_words, items and spans of each text. A span is a run of hit words: the indexes of its first and last
+    word, and its byte range."""
+    shared = docs.sparkSession.sparkContext.broadcast(_tables(rows))
 
     def work(data, offsets, _):
         w = split_words(data, offsets, ALNUM, lower=True)
         left = w.left()
-        starts, ends, pairs = [], [], []
-        for k, (h, words, items, bits) in shared.value.items():
+        n = len(offsets) - 1
+        starts, ends = [], []
+        found: list[set] = [set() for _ in range(n)]
+        for k, t in shared.value.items():
             own = windows(w.hash, k)
-            maybe = np.flatnonzero((left >= k) & bits[(own & np.uint64((1 << _BITS) - 1)).astype(np.int64)])
-            at = np.searchsorted(h, own[maybe])
-            for p, i in zip(maybe, at, strict=True):
-                said = None
-                while i < len(h) and h[i] == own[p]:
-                    said = b" ".join(w.bytes(j) for j in range(p, p + k)) if said is None else said
-                    if words[i] == said:
+            maybe = np.flatnonzero((left >= k) & t.bits[(own & np.uint64((1 << _BITS) - 1)).astype(np.int64)])
+            at = np.searchsorted(t.hashes, own[maybe])
+            there = at < len(t.hashes)
+            there[there] = t.hashes[at[there]] == own[maybe[there]]
+            for p, i in zip(maybe[there].tolist(), at[there].tolist(), strict=True):
+                said = b" ".join(w.bytes(j) for j in range(p, p + k)).decode("utf-8", "replace")
+                while i < len(t.hashes) and t.hashes[i] == own[p]:
+                    if t.words[i].as_py() == said:
                         starts.append(p)
                         ends.append(p + k)
-                        pairs += [(int(w.doc[p]), x) for x in items[i]]
+                        found[int(w.doc[p])].update(t.items[i].as_py())
                     i += 1
         hit = cover(np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64), len(w.doc))
-        n = len(offsets) - 1
-        found: list[set] = [set() for _ in range(n)]
-        for d, x in pairs:
-            found[d].add(x)
         at = np.flatnonzero(hit)
         edge = (at[1:] != at[:-1] + 1) | (w.doc[at[1:]] != w.doc[at[:-1]]) if len(at) else np.zeros(0, dtype=bool)
         head = at[np.concatenate(([True], edge))] if len(at) else at
         tail = at[np.concatenate((edge, [True]))] if len(at) else at
-        per = np.bincount(w.doc[head], minlength=n)
-        return None, {
-            "n_words": w.counts,
-            "n_hit": sums(hit, w.first),
-            "items": pa.array([sorted(x) for x in found], pa.list_(pa.string())),
-            "span_starts": lists(w.start[head] - offsets[w.doc[head]], per, pa.int64()),
-            "span_ends": lists(w.end[tail] - offsets[w.doc[tail]], per, pa.int64()),
-            "hit_words": lists(at - w.first[w.doc[at]], np.bincount(w.doc[at], minlength=n), pa.int64()),
-        }
-
-    fields = [("n_words", "long"), ("n_hit", "long"), ("items", "array<string>"), ("span_starts", "array<long>"), ("span_ends", "array<long>"), ("hit_words", "array<long>")]
-    return map_texts(docs, work, fields, keep=keep)
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, max_windows: int = MAX_WINDOWS, keep: dict | None = None) -> DataFrame:
-    """One row per document: the ``keep`` columns (doc_id), n_words, n_hit, items (sorted ids of items with an occurring window),
-    span_starts and span_ends (byte ranges of the UTF-8 text covered by hit words) and hit_words (their indexes).
-    """
-    found = benchmark_windows(benchmark, size)
-    n = found.count()
-    if n <= max_windows:
-        return _scan(docs, found.collect(), keep)
-    slices = -(-n // max_windows)
-    key = {"_row": F.struct(F.xxhash64("doc_id", "text").alias("h"), F.monotonically_increasing_id().alias("i")), **(keep or {"doc_id": F.col("doc_id")})}
-    parts = None
-    for s in range(slices):
-        own = found.filter(F.pmod(F.col("hash"), F.lit(slices)) == s).collect()
-        part = _scan(docs, own, key)
-        parts = part if parts is None else parts.unionByName(part)
-    names = list(keep or {"doc_id": 0})
-    union = lambda c: F.sort_array(F.array_distinct(F.flatten(F.collect_list(c))))
-    whole = parts.groupBy("_row", *names).agg(F.max("n_words").alias("n_words"), union("items").alias("items"), union("hit_words").alias("hit_words"), F.flatten(F.collect_list("span_starts")).alias("span_starts"), F.flatten(F.collect_list("span_ends")).alias("span_ends"))
-    return whole.select(*names, "n_words", F.size("hit_words").cast("long").alias("n_hit"), "items", "span_starts", "span_ends", "hit_words")
-
-
-def clean_texts(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, max_windows: int = MAX_WINDOWS) -> DataFrame:
+        doc = w.doc[head]
+        values = [head - w.first[doc], tail - w.first[doc], w.start[head] - offsets[doc], w.end[tail] - offsets[doc]]
+        spans = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in values], names=["first", "last", "start", "end"])
+        edges = pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=n)))), pa.int32())
+        return None, {"n_words": w.counts, "items": pa.array([sorted(x) for x in found], pa.list_(pa.string())), "spans": pa.ListArray.from_arrays(edges, spans)}
+
+    return map_texts(docs, work, [("n_words", "long"), ("items", "array<string>"), ("spans", SPANS)], keep=keep)
+
+
+def _merged(spans: Column) -> Column:
+    """Spans in order of their places, those that touch or overlap as one."""
+
+    def step(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        both = F.struct(last["first"].alias("first"), F.greatest(last["last"], x["last"]).alias("last"), last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
+        joins = (F.size(done) > 0) & (x["first"] <= F.coalesce(F.try_element_at(done, F.lit(-1))["last"], F.lit(-2)) + 1)
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(both))).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(SPANS), lambda done, x: F.when(F.size(done) == 0, F.array(x)).otherwise(step(done, x)))
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, size: int, max_bytes: int, keep: dict) -> DataFrame:
+    """The ``keep`` columns, n_words, items and spans of every row of ``docs``."""
+    found = benchmark_windows(benchmark, size).groupBy("n_words", "hash", "words").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    found = cut(found, release=False)
+    total = found.agg(F.sum(F.octet_length("words") + F.octet_length(F.array_join("items", "")) + 16 * F.size("items") + 32).alias("n")).first()[0] or 0
+    ordered = found.orderBy("n_words", "hash", "words")
+    if total <= max_bytes:
+        return _scan(docs, ordered.toArrow(), keep)
+    slices = -(-total // max_bytes)
+    key = {"_x": F.xxhash64("doc_id", "text"), "_y": F.xxhash64(F.lit("row"), "text", "doc_id")}
+    parts = [_scan(docs, ordered.filter(F.pmod(F.xxhash64("hash", "words"), F.lit(slices)) == s).toArrow(), key) for s in range(slices)]
+    union = reduce(DataFrame.unionByName, parts).groupBy(*key).agg(F.max("n_words").alias("n_words"), *[F.array_distinct(F.flatten(F.collect_set(c))).alias(c) for c in ("items", "spans")])
+    whole = union.select("_x", "_y", "n_words", F.sort_array("items").alias("items"), _merged(F.col("spans")).alias("spans"))
+    given = docs.select(*[c.alias(f"_k{i}") for i, c in enumerate(keep.values())], *[c.alias(x) for x, c in key.items()])
+    return given.join(whole, [*key]).select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "n_words", "items", "spans")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, max_bytes: int = MAX_BYTES, keep: dict | None = None) -> DataFrame:
+    """One row per document: the ``keep`` columns (doc_id), n_words, n_hit, items (sorted ids of items with an occurring window) and
+    spans (first and last word of each run of hit words, start and end of its bytes in the UTF-8 text)."""
+    keep = {"doc_id": F.col("doc_id")} if keep is None else keep
+    hits = _hits(docs, benchmark, size, max_bytes, keep)
+    n = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["last"] - x["first"] + 1)
+    return hits.select(*keep, "n_words", n.alias("n_hit"), "items", "spans")
+
+
+def clean_texts(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """All rows and columns of ``docs``; each run of hit words is cut out of ``text`` and leaves a space. The text travels with
-    its spans, so nothing is joined or shuffled."""
-    keep = {f"c{i}": F.col(c) for i, c in enumerate(docs.columns)}
-    hits = decontaminate(docs, benchmark, size, max_windows, keep=keep)
+    its spans, so nothing is joined or shuffled while the benchmark fits its bound."""
+    hits = decontaminate(docs, benchmark, size, max_bytes, keep={f"c{i}": F.col(c) for i, c in enumerate(docs.columns)})
     text = F.col(f"c{docs.columns.index('text')}")
     raw = text.cast("binary")
-    begin = F.concat(F.array(F.lit(0).cast("long")), F.array_sort("span_ends"))
-    end = F.concat(F.array_sort("span_starts"), F.array(F.length(raw).cast("long")))
-    kept = F.zip_with(begin, end, lambda a, b: F.substring(raw, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int")).cast("string"))
-    cut_text = F.when(F.col("n_hit") > 0, F.array_join(kept, " ")).otherwise(text)
+    begin = F.concat(F.array(F.lit(0).cast("long")), F.col("spans.end"))
+    end = F.concat(F.col("spans.start"), F.array(F.length(raw).cast("long")))
+    kept = F.zip_with(begin, end, lambda a, b: F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")).cast("string"))
+    cut_text = F.when(F.size("spans") > 0, F.array_join(kept, " ")).otherwise(text)
     return hits.select(*[cut_text.alias(c) if c == "text" else F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
