@@ -81,7 +81,7 @@ def test_codec_gives_the_model_s_own_ids(spark):
     path = sentencepiece_codec.default_model()
     pieces = sentencepiece_codec.load_pieces(path)
     own = sentencepiece.SentencePieceProcessor(model_file=path)
-    docs = [*awkward(), (20, "▁mark <s> <0x0A>", None), (21, "x" * 700 + "   y", None), (22, "\ttab\r\n", None), (23, "é" * 300, None)]
+    docs = [*awkward(), (20, "▁mark <s> <0x0A>", None), (21, "x" * 700 + "   y", None), (22, "\ttab\r\n", None), (23, "é" * 300, None), (24, "bcbcabcaaa" * 90, None), (25, prose(4, 900).replace(" ", ""), None)]
     encoded = sentencepiece_codec.encode(table(spark, docs), pieces)
     got = sorted(((r.doc_id, None if r.ids is None else list(r.ids), r.n_tokens) for r in encoded.collect()), key=repr)
     want = sorted(((i, None if t is None else own.encode(t), 0 if t is None else len(own.encode(t))) for i, t, _ in docs), key=repr)
@@ -91,27 +91,81 @@ def test_codec_gives_the_model_s_own_ids(spark):
     assert sentencepiece_codec.encode(spark.createDataFrame([], DOCS), pieces).collect() == []
 
 
+def test_codec_of_long_texts_without_a_space(spark):
+    import random
+    import resource
+
+    import numpy as np
+    import sentencepiece
+
+    path = sentencepiece_codec.default_model()
+    own = sentencepiece.SentencePieceProcessor(model_file=path)
+    m = sentencepiece_codec.Matcher(sentencepiece_codec.load_pieces(path))
+    r = random.Random(3)
+    text = "".join(r.choice("abcdeéß日本_=/") for _ in range(60_000))
+    data = np.frombuffer((" " + text).encode(), dtype=np.uint8)
+    ids, n = sentencepiece_codec.encode_units(m, data, np.zeros(1, dtype=np.int64), np.array([len(data)]))
+    assert ids.tolist() == own.encode(text) and n.tolist() == [len(ids)]
+    data = np.frombuffer(b" " + "".join(r.choice("abcdefgh0123") for _ in range(5_000_000)).encode(), dtype=np.uint8)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    _, _, count = sentencepiece_codec._units(m, data, np.zeros(1, dtype=np.int64), np.array([len(data)]))
+    assert count[0] > 0 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_300_000  # KB
+
+
+def test_codec_forgets_units_within_its_bound(spark, monkeypatch):
+    pieces = sentencepiece_codec.load_pieces(sentencepiece_codec.default_model())
+    docs = table(spark, [(i, prose(i, 60), None) for i in range(40)]).coalesce(1)
+    want = [tuple(r.ids) for r in sentencepiece_codec.encode(docs, pieces).orderBy("doc_id").collect()]
+    m = sentencepiece_codec.Matcher(pieces)
+    import numpy as np
+
+    monkeypatch.setattr(sentencepiece_codec, "MEMORY", 600)
+    for _, t, ids in ((i, prose(i, 60), x) for i, x in enumerate(want)):
+        buffer = np.frombuffer(b" " + t.encode(), dtype=np.uint8)
+        first = np.flatnonzero(buffer == 0x20)
+        pool, begin, count = sentencepiece_codec._units(m, buffer, first, np.diff(np.append(first, len(buffer))))
+        assert tuple(np.concatenate([pool[b : b + n] for b, n in zip(begin, count, strict=True)]).tolist()) == ids
+
+
 def test_every_document_makes_the_round_trip(spark):
     out = sentencepiece_codec.op5_sentencepiece_codec(spark, "/root/testdata/sf0.001")
     assert out.filter("not round_trip").count() == 0 < out.count()
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b = prose(60), prose(61)
+    near = b + " zz"
+    given = [(1, a), (5, a), (5, b), (6, near), (6, near), (9, prose(62)), (9, prose(62)), (None, prose(63)), (None, prose(63)), (3, prose(63)), (4, ""), (4, ""), (None, None), (7, "w"), (8, "W")]
+    docs = table(spark, [(i, t, "en") for i, t in given]).withColumn("_gone", F.lit(1))
+    out = ngram_jaccard.keep_one(docs, 5, 80)
+    assert out.columns == docs.columns
+    want = [(1, a), (5, b), (9, prose(62)), (None, prose(63)), (4, ""), (4, ""), (None, None), (7, "w")]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
+CLASHES = ["kept", "n_lines_removed", "_gone", "row", "d", "score", "c0", "spans", "gone", "items"]
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as p
 
     sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("k0", F.lit("extra"))
-    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = [(10**6, prose(70), None, None, None), (10**6, prose(71), None, None, None), (None, prose(72), None, None, None), (None, prose(72), None, None, None), (None, None, None, None, None), (10**6 + 1, "", None, None, None)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema)).select("*", *[F.lit(c).alias(c) for c in CLASHES])
+    docs.write.parquet(f"{tmp_path}/given")
+    docs = spark.read.parquet(f"{tmp_path}/given")
+    counts = Counter((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
     for i, (name, stage) in enumerate(p.STAGES):
         out = stage(spark, docs, sf)
         if name != "tokens":
-            assert out.columns == docs.columns
+            assert out.columns == docs.columns, name
+            assert all(r[c] == c for r in out.select(*CLASHES).limit(20).collect() for c in CLASHES), name
         out.write.parquet(f"{tmp_path}/{i}")
         docs = spark.read.parquet(f"{tmp_path}/{i}")
-        counts = Counter(r.doc_id for r in docs.select("doc_id").collect())
-        assert set(counts) <= ids and max(counts.values()) == 1, name
-        ids = set(counts)
-    assert docs.filter("n_tokens > 0").count() > 0.5 * len(ids)
+        ids = Counter(r.doc_id for r in docs.select("doc_id").collect())
+        assert all(n <= sum(m for (d, _), m in counts.items() if d == k) for k, n in ids.items()), name
+    assert docs.filter("n_tokens > 0").count() > 0.4 * len(counts)
     empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
-    for name, stage in p.STAGES[1:]:
+    for name, stage in p.STAGES:
         assert stage(spark, empty, sf).collect() == [], name

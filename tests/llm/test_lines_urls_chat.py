@@ -74,6 +74,17 @@ def test_copies_of_short_lines_go(spark):
     assert {r.n_lines_removed for r in line_dedup.dedup_lines(table(spark, docs)).collect()} == {0, 1}
 
 
+def test_rows_that_share_an_id_lose_their_own_lines(spark):
+    line, other, third = "the same long line in two", "another quite different second line", "a third line nobody else has"
+    docs = [(1, line, "en"), (7, f"x\n{line}", "en"), (7, f"y\n{other}", "en"), (None, f"z\n{prose(5, 9)}", "en"), (None, f"q\n{third}", "en"), (9, f"a\n{prose(5, 9)}", "en")]
+    for short in (False, True):
+        out = {(r.doc_id, r.text, r.n_lines_removed) for r in line_dedup.dedup_lines(table(spark, docs), short_copies=short).collect()}
+        assert out == {(1, line, 0), (7, "x", 1), (7, f"y\n{other}", 0), (None, docs[3][1], 0), (None, docs[4][1], 0), (9, "a", 1)}
+    given = table(spark, docs).withColumn("n_lines_removed", F.lit("z"))
+    out = line_dedup.dedup_lines(given)
+    assert out.columns.count("n_lines_removed") == 1 and dict(out.dtypes)["n_lines_removed"] == "bigint"
+
+
 PAGES = [
     (0, "http://A.Example.org/es/1?q", ""), (1, "https://example.org/en/1x#y", ""), (2, "http://x.org/", ""), (3, "http://x.org", ""), (4, None, None), (5, "no url", ""),
     (6, "http://b.com/de/", '<a href="http://bad.net/x">'), (7, "http://b.com/fr/", "<a href='//good.net/'>"), (8, "http://bad.net/q", '<a href=/own>'), (9, "http://good.net/", None),

@@ -68,12 +68,12 @@ def brute_decontamination(docs, items, size=10):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("most", [10**6, 50])
+@pytest.mark.parametrize("most", [10**8, 3000])
 def test_decontamination_is_brute_force(spark, most):
     docs = awkward()
     items = [(1, prose(1, 40)), (2, "zz"), (3, None), (4, ""), (5, "..."), (None, prose(2, 15)), (6, "ONE"), (6, prose(1, 30)), (7, prose(77))]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    out = decontamination.decontaminate(table(spark, docs), bench, max_windows=most)
+    out = decontamination.decontaminate(table(spark, docs), bench, max_bytes=most)
     assert sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in out.collect()), key=repr) == brute_decontamination(docs, items)
 
 
@@ -86,6 +86,24 @@ def test_decontamination_cuts_spans(spark):
     assert decontamination.decontaminate(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_slices_cut_the_same_texts(spark):
+    w = [f"w{i}" for i in range(40)]
+    said = lambda a, b: " ".join(w[a:b])
+    items = spark.createDataFrame([(1, said(5, 20)), (2, said(18, 30)), (3, "alone"), (4, said(33, 36))], "item_id long, text string")
+    docs = table(spark, [(1, "aa " + said(0, 40) + " bb alone", None), (1, said(5, 20), None), (None, "alone, " + said(18, 30), None), (2, None, None), (2, None, None), (3, said(0, 10), None), (3, said(0, 10), None)])
+    own = lambda most: sorted(((r.doc_id, r.text, r.k0) for r in decontamination.clean_texts(docs, items, max_bytes=most).collect()), key=repr)
+    assert own(10**8) == own(400) == own(90)
+    spans = lambda most: rows(decontamination.decontaminate(docs, items, max_bytes=most))
+    assert spans(10**8) == spans(200)
+
+
+def test_rows_that_share_an_id_keep_their_own_windows(spark):
+    a, b, c = prose(1, 30), prose(2, 30), prose(3, 30)
+    given = [(7, a, None), (7, b, None), (None, c, None), (None, a + " x", None), (8, b, None), (9, c + " " + c, None), (7, a, None)]
+    out = {(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.dedup_substrings(table(spark, given)).collect()}
+    assert out == {(7, 30, 30), (7, 30, 0), (None, 30, 0), (None, 31, 0), (8, 30, 30), (9, 60, 60)}
+
+
 def test_quality_counts_are_brute_force(spark):
     docs = [*awkward(), (20, "a b\na b\n\n x\na b", "en"), (21, "#* $%& <|> a", "en"), (22, "a b c a b c a b", "en")]
     out = {}

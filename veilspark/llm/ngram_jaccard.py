@@ -76,11 +76,11 @@ def _sum_by(value: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), F.col("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), F.xxhash64("text").alias("x"), F.col("text"))
 
 
 def _heads(docs: DataFrame, shingle: int, percent: int, frequent) -> DataFrame:
-    """(d, n, c, point, keys) of each document: set size, class, group counts (255: that many or more), and the first hashes of
+    """(d, x, n, c, point, keys) of each document: doc_id, the text's hash, set size, class, group counts (255: that many or more), and the first hashes of
     the set, frequent ones last."""
 
     def work(data, offsets, _):
@@ -102,7 +102,8 @@ def _heads(docs: DataFrame, shingle: int, percent: int, frequent) -> DataFrame:
         keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(value[own].view(np.int64)))
         return None, {"n": n, "c": name.view(np.int64), "point": point, "keys": keys}
 
-    return map_texts(docs, work, [("n", "long"), ("c", "long"), ("point", "binary"), ("keys", "array<long>")], keep={"d": F.col("d")})
+    keep = {x: F.col(x) for x in docs.columns if x != "text"}
+    return map_texts(docs, work, [("n", "long"), ("c", "long"), ("point", "binary"), ("keys", "array<long>")], keep=keep)
 
 
 def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
@@ -222,7 +223,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _blocks(clusters: DataFrame, percent: int) -> DataFrame:
-    """``clusters`` (cluster, c, d, n) with the band of each set and the blocks of its band and of both neighbours."""
+    """``clusters`` (cluster, c, d, x, n) with the band of each set and the blocks of its band and of both neighbours."""
     all_of = clusters.groupBy("cluster").agg((F.count("*") <= BLOCK).alias("small"), F.sum("n").alias("hashes"))
     small = all_of.select("cluster", (F.col("small") & (F.col("hashes") <= BLOCK_HASHES)).alias("small"))
     width = math.log(100 / percent) + 0.001  # sizes of a link differ by less than this in their logarithms
@@ -230,7 +231,7 @@ def _blocks(clusters: DataFrame, percent: int) -> DataFrame:
     sizes = banded.groupBy("cluster", "band").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_HASHES)).cast("int").alias("blocks"))
     plan = sizes.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("plan"))  # a few bands for each power of two
     at = lambda step: F.coalesce(F.try_element_at("plan", F.col("band") + step), F.lit(0))
-    return banded.join(plan, "cluster").select("d", "c", "cluster", "band", at(0).alias("blocks"), at(-1).alias("below"), at(1).alias("above"))
+    return banded.join(plan, "cluster").select("d", "x", "c", "cluster", "band", at(0).alias("blocks"), at(-1).alias("below"), at(1).alias("above"))
 
 
 def _deals() -> Column:
@@ -263,7 +264,7 @@ def _dealt(docs: DataFrame, wanted: DataFrame, shingle: int, fields: list[tuple[
         return own, {name: column.take(pa.array(own, pa.int64())) for name, column in make(doc, value, n).items()}
 
     keep = {x: F.col(x) for x in ("d", "c", "cluster", "band", "blocks", "below", "above")}
-    made = map_texts(docs.join(wanted.hint("shuffle_hash"), "d"), work, fields, keep=keep)
+    made = map_texts(docs.join(wanted.hint("shuffle_hash"), ["d", "x"]), work, fields, keep=keep)
     dealt = made.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")).withColumn("at", F.explode(_deals()))
     return dealt.select("cluster", "at.lo", "at.hi", "at.i", "at.j", F.col("at.side").alias("own"), "c", *[f for f, _ in fields])
 
@@ -334,24 +335,28 @@ def _links(docs: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> Da
     return dealt.groupBy("cluster", "lo", "hi", "i", "j").applyInArrow(task, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, class_id (least doc_id with an equal set) and component_id (least doc_id
-    reachable by links)."""
-    spark = docs.sparkSession
-    own = _keyed(docs)
+def _grouped(own: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The heads of all documents, and (c, d, label) of all classes: the least doc_id and the least class reachable by links."""
+    spark = own.sparkSession
     frequent = spark.sparkContext.broadcast(_frequent(own, shingle))
     heads = cut(_heads(own, shingle, percent, frequent))
-    classes = heads.filter("n > 0").groupBy("c").agg(F.min("d").alias("d"), F.first("n").alias("n"), F.first("point").alias("point"))
+    classes = heads.filter("n > 0").groupBy("c").agg(F.min(F.struct("d", "x")).alias("at"), F.first("n").alias("n"), F.first("point").alias("point")).select("c", "at.d", "at.x", "n", "point")
     keys = heads.select(F.explode("keys").alias("key"), "c")
     shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     members = cut(keys.join(shared, "key").distinct())
     points = members.join(classes.select("c", "n", "point"), "c").select("key", "n", "c", "point")
     forests = _forests(points.repartition("key").sortWithinPartitions("key", "n", "c"), percent)
-    of = lambda edges: _blocks(components(cut(edges.distinct(), release=False)).select(F.col("v").alias("c"), F.col("label").alias("cluster")).join(classes.select("c", "d", "n"), "c"), percent)
+    of = lambda edges: _blocks(components(cut(edges.distinct(), release=False)).select(F.col("v").alias("c"), F.col("label").alias("cluster")).join(classes.select("c", "d", "x", "n"), "c"), percent)
     fine = _fine_forests(own, cut(of(forests)), shingle, percent)
     links = cut(_links(own, cut(of(fine)), shingle, percent))
     labels = components(links).select(F.col("v").alias("c"), "label")
-    grouped = classes.select("c", "d").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    return heads, classes.select("c", "d").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+
+
+def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, class_id (least doc_id with an equal set) and component_id (least doc_id
+    reachable by links)."""
+    heads, grouped = _grouped(_keyed(docs), shingle, percent)
     least = grouped.groupBy("label").agg(F.min("d").alias("component"))
     named = grouped.join(least, "label").select("c", F.col("d").alias("class"), "component")
     some = F.col("n") > 0
@@ -362,6 +367,22 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     )
 
 
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` with one alone of each group of linked documents: the least doc_id, of equal ones the least hash of the
+    text. Rows with an empty set stay. Rows are told apart by doc_id and text; of rows that share both one stays."""
+    key = ["d", "x", "y"]
+    text = F.col("text")
+    of_text = [F.xxhash64(text).alias("x"), F.xxhash64(F.lit("row"), text).alias("y")]
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), *of_text)
+    heads, grouped = _grouped(_keyed(docs).withColumn("y", of_text[1]), shingle, percent)
+    rows = heads.filter("n > 0").groupBy(*key, "c").agg(F.count("*").alias("copies")).join(grouped.select("c", "label"), "c")
+    first = rows.groupBy("label").agg(F.min(F.struct(*key)).alias("first"), F.sum("copies").alias("rows")).filter("rows > 1")
+    marks = cut(rows.join(first, "label").select(*key, (F.struct(*key) != F.col("first")).alias("gone"), (F.col("copies") > 1).alias("many")).filter("gone or many"))
+    stay = keyed.join(marks.select(*key), key, "left_anti")
+    again = keyed.join(marks.filter("many and not gone").select(*key), key).dropDuplicates(key)
+    return stay.unionByName(again).select("row.*")
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
 
