@@ -21,23 +21,20 @@ SHINGLE, PERCENT = 5, 80
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the trees keep."""
     trees = quality_rules.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    keep = {c: F.col(c) for c in docs.columns if c != "kept"}
-    judged = quality_rules.judge(docs, trees, keep={f"c{i}": c for i, c in enumerate(keep.values())})
-    kept = judged.filter("kept")
-    return kept.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(keep)])
+    judged = quality_rules.judge(docs, trees, keep={f"c{i}": F.col(c) for i, c in enumerate(docs.columns)})
+    return judged.filter("kept").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier line equals within the edits, short ones exactly; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs, short_copies=True)
+    out = line_dedup.dedup_lines(docs, short_copies=True, removed=None)
     return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least doc_id. Empty texts link with nothing and stay."""
-    found = ngram_jaccard.jaccard_components(docs, SHINGLE, PERCENT)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of each group of near copies: the one with the least doc_id, of equal ones the text with the least hash. Empty texts
+    link with nothing and stay."""
+    return ngram_jaccard.keep_one(docs, SHINGLE, PERCENT)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
