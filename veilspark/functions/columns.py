@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .rules import PREFILTER, ValueRule
+from .rules import ValueRule
 
 TOKEN = r"<[^<>\r\n]+_[0-9a-f]{16}>"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,12 +43,23 @@ def is_whole_token(text: Column) -> Column:
 
 def canonical_tokens(text: Column) -> Column:
     """Escaped angle brackets around tokens as plain ones."""
-    return F.regexp_replace(text, r"\\u003[cC]([^<>\r\n\\]+_[0-9a-f]{16})\\u003[eE]", r"<$1>")
+    return F.regexp_replace(text, r"(?<!\\)\\u003[cC]([^<>\r\n\\]+_[0-9a-f]{16})\\u003[eE]", r"<$1>")
+
 
+def all_tokens(text: Column) -> Column:
+    """Token-shaped parts as they stand, then those with escaped brackets."""
+    none = F.array().cast("array<string>")
+    return F.concat(tokens_in(text), F.when(F.contains(text, F.lit("\\u003")), tokens_in(canonical_tokens(text))).otherwise(none))
 
-def token_tail(text: Column) -> Column:
-    """Length of a trailing start of a token: an open bracket and no closing one behind it."""
-    return F.length(F.regexp_extract(text, r"<[^<>\r\n]*\z", 0))
+
+def token_tail(text: Column, label: str | None = None) -> Column:
+    """Length of a trailing start of a token: of any with an open bracket and no closing one behind it, or of one of a label."""
+    if label is None:
+        return F.length(F.regexp_extract(text, r"<[^<>\r\n]*\z", 0))
+    start = ""
+    for atom in reversed(["<", *[f"[{c}]" for c in f"{label}_"], *["[0-9a-f]"] * 16]):
+        start = f"(?:{atom}{start})?"
+    return F.length(F.regexp_extract(text, start[3:-2] + r"\z", 0))
 
 
 def ascii_lower(text: Column) -> Column:
@@ -67,17 +80,20 @@ def china_id(number: Column) -> Column:
 VALIDATORS = {"luhn": luhn, "china_id": china_id}
 
 
-def hits(text: Column, rule: ValueRule) -> Column:
+def hits(text: Column, rule: ValueRule, lowered: Column | None = None) -> Column:
     """The sensitive parts that a rule finds in a text, in order: group 1 where it took part, else the whole hit; empty ones and
-    those that the validator refuses are left out."""
+    those that the validator refuses are left out. ``lowered`` is the text in lower case where the caller has it."""
     found = F.regexp_extract_all(text, F.lit(rule.java), F.lit(1 if rule.has_group else 0))
     check = VALIDATORS.get(rule.validator or "")
-    kept = F.filter(found, lambda x: (x != "") & check(x)) if check else F.filter(found, lambda x: x != "")
-    literal = PREFILTER.get(rule.name)
-    if literal is None:
+    kept = F.filter(found, lambda x: (x != "") & check(x)) if check else F.array_remove(found, F.lit(""))
+    if rule.literals:
+        where = (F.lower(text) if lowered is None else lowered) if rule.is_config else text
+        may = reduce(Column.__or__, [F.contains(where, F.lit(x)) for x in rule.literals])
+    elif rule.gate:
+        may = text.rlike(rule.gate)
+    else:
         return kept
-    has = F.contains(F.lower(text), F.lit(literal)) if rule.is_config else F.contains(text, F.lit(literal))
-    return F.when(has, kept).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
+    return F.when(may, kept).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
 
 
 def has_hit(text: Column, rule: ValueRule) -> Column:
@@ -96,12 +112,18 @@ def field_name(name: Column) -> Column:
 
 
 def excerpt(text: Column, focus: Column, width: int = 160) -> Column:
-    """A window of ``width`` characters around the focus, with dots where it cuts; every token is masked."""
-    masked = clean(F.regexp_replace(F.replace(text, focus, F.lit("\x01")), TOKEN, "[REDACTED]"))
-    at = F.greatest(F.instr(F.regexp_replace(F.replace(text, focus, F.lit("\x01")), TOKEN, "[REDACTED]"), "\x01"), F.lit(1))
-    start = F.greatest(at - width // 2, F.lit(1))
-    part = F.substring(masked, start, F.lit(width))
-    return F.concat(F.when(start > 1, "...").otherwise(""), part, F.when(start + width <= F.length(masked), "...").otherwise(""))
+    """At most ``width`` characters around the focus, with dots where it cuts; the focus and every token are masked."""
+    mask = lambda x: F.regexp_replace(x, TOKEN, "[REDACTED]")
+    at = F.instr(text, focus)
+    before = mask(F.substring(text, F.lit(1), at - 1))
+    masked = clean(F.concat(before, F.lit("[REDACTED]"), mask(F.substring(text, at + F.length(focus), F.length(text)))))
+    n, inner = F.length(masked), width - 6
+    start = F.least(F.greatest(F.length(before) - (inner - 10) // 2, F.lit(0)), n - inner)
+    shown = (
+        F.when(n <= width, masked).when(start == 0, F.concat(F.substring(masked, 1, width - 3), F.lit("...")))
+        .when(start + inner == n, F.concat(F.lit("..."), F.right(masked, F.lit(width - 3)))).otherwise(F.concat(F.lit("..."), F.substring(masked, start + 1, F.lit(inner)), F.lit("...")))
+    )
+    return F.when(at > 0, shown).otherwise(F.lit(""))
 
 
 def field_excerpt(name: Column) -> Column:
@@ -115,4 +137,34 @@ def media_route(content_type: Column) -> Column:
 
 
 def looks_like_json(body: Column) -> Column:
-    return body.rlike(r"\A[ \t\r\n]*[\[{]")
+    """Whether a body starts like a JSON value."""
+    return body.rlike(r'\A[ \t\r\n]*(?:[{\["0-9-]|true|false|null|(?:t|tr|tru|f|fa|fal|fals|n|nu|nul)[ \t\r\n]*\z)')
+
+
+def is_sse(body: Column) -> Column:
+    """Whether a body has a ``data:`` field of an event stream."""
+    return body.rlike(r"(?:\A|[\r\n])data:")
+
+
+def config_key(before: Column) -> Column:
+    """The name in front of a config value (``before`` is all of a hit up to its value); empty where it is no plain name."""
+    return field_name(F.regexp_extract(before, r"\A\s*([A-Za-z0-9_.-]+)\s*[:=]\s*\z", 1))
+
+
+def mask_path(steps: Column) -> Column:
+    """A path from an array of steps: ``[i]`` stays, keys become ``.*``."""
+    return F.array_join(F.transform(steps, lambda x: F.when(x.rlike(r"\A\[[0-9]+\]\z"), x).otherwise(".*")), "")
+
+
+def json_string_content(text: Column) -> Column:
+    """A text as it stands between the quotes of a JSON string."""
+    said = F.to_json(F.struct(text.alias("a")))
+    return F.when(text.isNotNull(), F.substring(said, F.lit(7), F.length(said) - 8))
+
+
+def sse_split(body: Column) -> Column:
+    """Array of struct(event, data): the events of a stream with any line ends, several data lines joined by line feeds."""
+    lines = F.split(body, r"\r\n\r\n|\n\n|\r\r")
+    field = lambda e, name: F.regexp_extract_all(e, F.lit(rf"(?:\A|[\r\n]){name}: ?([^\r\n]*)"), F.lit(1))
+    own = F.transform(lines, lambda e: F.struct(F.coalesce(F.get(field(e, "event"), F.lit(0)), F.lit("")).alias("event"), F.array_join(field(e, "data"), "\n").alias("data")))
+    return F.filter(own, lambda e: (e["event"] != "") | (e["data"] != ""))

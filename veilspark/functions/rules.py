@@ -45,11 +45,16 @@ VALUE_RULES = [
     ("config_private_key", r"(?i)(?:[\w.-]*[_.-])?private[_-]?key\s*[:=]\s*(\S+)", None, True),
     ("config_credential", r"(?i)(?:[\w.-]*[_.-])?credentials?\s*[:=]\s*(\S+)", None, True),
 ]
-#: A literal that any hit of a rule holds, for a cheap test before its pattern; lower-cased where the rule ignores case.
-PREFILTER = {
-    "openai_key": "sk-", "anthropic_key": "sk-ant-", "google_api_key": "AIza", "slack_token": "xox", "jwt": "eyJ", "bearer": "Bearer",
-    "ssh_private_key": "-----BEGIN OPENSSH", "pem_block": "-----BEGIN ", "email": "@", "phone_e164": "+", "config_secret": "secret",
-    "config_token": "token", "config_credential": "credential", "github_token": "gh",
+#: Literals one of which any hit of a rule holds, for a cheap test before its pattern; lower-cased where the rule ignores case.
+LITERALS = {
+    "openai_key": ("sk-",), "anthropic_key": ("sk-ant-",), "aws_access_key": ("AKIA", "ASIA"), "google_api_key": ("AIza",), "github_token": ("gh",), "slack_token": ("xox",),
+    "jwt": ("eyJ",), "bearer": ("Bearer",), "ssh_private_key": ("-----BEGIN OPENSSH",), "pem_block": ("-----BEGIN ",), "email": ("@",), "phone_e164": ("+",),
+    "config_password": ("password", "passwd", "pwd"), "config_secret": ("secret",), "config_api_key": ("key",), "config_token": ("token",), "config_private_key": ("private",),
+    "config_credential": ("credential",),
+}
+#: A shorter pattern that finds a part of any hit.
+GATES = {
+    "aws_secret_key": "[A-Za-z0-9/+]{40}", "phone_cn": "[0-9]{11}", "id_card_cn": "[0-9]{11}", "credit_card": "[0-9]{11}", "ipv4": "[0-9]\\.[0-9]{1,3}\\.[0-9]",
 }
 _BACKTRACK = "(?:[\\w.-]*[_.-])?"
 _ADDRESS, _ADDRESS_START = "[A-Za-z0-9._%+-]+@", "(?<![A-Za-z0-9._%+-])"
@@ -78,9 +83,22 @@ class ValueRule:
     pattern: str
     validator: str | None = None
 
+    @property
+    def built_in(self) -> bool:
+        """Whether this is the catalog's rule of the name, and not a custom one that shares it."""
+        return any(r[0] == self.name and r[1] == self.pattern for r in VALUE_RULES)
+
     @property
     def is_config(self) -> bool:
-        return self.name.startswith("config_")
+        return self.built_in and self.name.startswith("config_")
+
+    @property
+    def literals(self) -> tuple[str, ...] | None:
+        return LITERALS.get(self.name) if self.built_in else None
+
+    @property
+    def gate(self) -> str | None:
+        return GATES.get(self.name) if self.built_in else None
 
     @property
     def has_group(self) -> bool:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import has_hit, is_whole_token, make_token
+from ..functions.columns import has_hit, make_token
 from ..functions.rules import FieldRule, RuleSet, ValueRule
 from ..functions.scan import TextRedactor
 
@@ -30,9 +30,11 @@ def redact_text(text: Column, rules: tuple[ValueRule, ...], key: bytes, label: s
     return run(text, F.lit(None).cast("array<string>") if known is None else known)
 
 
-def redact_field(value: Column, key: bytes, label: str = "REDACTED") -> Column:
-    """The whole value as one token, unless it is one."""
-    return F.when(is_whole_token(value), value).otherwise(make_token(value, key, label))
+def redact_field(value: Column, key: bytes, label: str = "REDACTED", known: Column | None = None) -> Column:
+    """The whole value as one token, unless it is one of ``known`` (an array of tokens that have a mapping). What only looks like a
+    token is redacted."""
+    token = make_token(value, key, label)
+    return token if known is None else F.when(F.coalesce(F.array_contains(known, value), F.lit(False)), value).otherwise(token)
 
 
 def field_rules_for(name: str, rules: tuple[FieldRule, ...]) -> list[FieldRule]:
@@ -58,11 +60,12 @@ def _unmark(a: pa.Array, work: TextRedactor) -> pa.Array:
     return a
 
 
-def redact_columns(df: DataFrame, rules: RuleSet, key: bytes, label: str = "REDACTED") -> DataFrame:
+def redact_columns(df: DataFrame, rules: RuleSet, key: bytes, label: str = "REDACTED", known: Column | None = None) -> DataFrame:
     """Field rules on the names of columns, struct fields and map keys, value rules on every other string, at any depth of
     structs, arrays and map values. Of the field rules that have a name the first whose pattern, if any, finds the value takes
     it. Values that aren't strings become tokens of their JSON text under a field rule without a pattern and stay elsewhere;
-    such values of a map, whose type has no room for a token, become null. Map keys stay.
+    such values of a map, whose type has no room for a token, become null. Map keys stay. Of token-shaped values under a field rule
+only those in ``known`` (an array of tokens that have a mapping) stay.
 
     Python functions can't run inside functions of arrays and maps, so strings there are first marked with whether a value rule
     hits, and one Arrow pass over the column redacts the marked ones."""
@@ -94,7 +97,7 @@ def redact_columns(df: DataFrame, rules: RuleSet, key: bytes, label: str = "REDA
 
     def string(value: Column, fits: list[tuple[Column, FieldRule]], mark: bool) -> Column:
         """The value under the first of the rules that fits and whose pattern finds it, else under value rules."""
-        whole = redact_field(value, key, label)
+        whole = redact_field(value, key, label, known)
         whole = F.concat(F.lit(_DONE), whole) if mark else whole
         out = plain(value, mark)
         for fit, r in reversed(fits):
@@ -103,13 +106,13 @@ def redact_columns(df: DataFrame, rules: RuleSet, key: bytes, label: str = "REDA
         return out
 
     def plain(value: Column, mark: bool) -> Column:
-        # Rules with disjoint hits need no order; one expression for each keeps the rows inside the JVM where nothing is found.
+        # Spark runs a Python function on all rows, whatever the branch: rows without a hit send it null.
         found = F.lit(False)
         for r in rules.values:
             found = found | F.coalesce(has_hit(value, r), F.lit(False))
         if mark:
             return F.concat(F.when(found, _HIT).otherwise(_DONE), value)
-        return F.when(found, redact_text(value, rules.values, key, label)["text"]).otherwise(value) if rules.values else value
+        return F.coalesce(redact_text(F.when(found, value), rules.values, key, label)["text"], value) if rules.values else value
 
     work = TextRedactor(rules.values, key, label)
 

@@ -1,270 +1,209 @@
-"""Chat requests as JSON: strict reading, content regions, redaction of the regions alone.
+"""Chat requests as JSON: strict reading, content regions as rows, redaction of the regions alone, findings.
 
 A body is one JSON object. Only the regions that hold conversation text are rewritten; every other key and value stays. A body
 that isn't one object, whose regions have the wrong shape, or whose format is unknown is rejected with a path and a reason that
-never quote content.
+never quote content. So is one on which reading fails in any other way.
 """
 
 from __future__ import annotations
 
-import json
 import re
-from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import all_tokens
+from ..functions.regions import FORMATS, SHAPES, Listing, Malformed, See, is_text, read_json, read_request, write_json
 from ..functions.rules import RuleSet
-from ..functions.scan import TextRedactor
+from ..functions.scan import TextRedactor, field_name
 
-# The known formats.
-FORMATS = ["openai", "openai-response", "claude", "gemini", "openai-image", "openai-video"]
-RESULT = "struct<body:string,rules:array<string>,tokens:map<string,string>,read_only:array<string>,error_path:string,error:string>"
-# Keys of the blocks whose value is text.
-TEXT_KEYS = ("text", "refusal", "reasoning_content", "thinking", "transcript")
-
-
-class Number(str):
-    """A JSON number with its own digits."""
-
-
-class Malformed(ValueError):
-    def __init__(self, path: str, detail: str):
-        super().__init__(detail)
-        self.path, self.detail = path, detail
+FINDING = "struct<rule:string,rule_type:string,path:string,field:string,fields:array<string>,omitted_fields:int,context:string,excerpt:string,read_only:boolean>"
+RESULT = f"struct<body:string,rules:array<string>,tokens:map<string,string>,findings:array<{FINDING}>,error_path:string,error:string>"
+REGION = "array<struct<path:string,kind:string,text:string>>"
 
 
 def classify(source_format: Column) -> Column:
     return F.when(source_format.isin(FORMATS), "redact").otherwise("reject")
 
 
-def read_object(body: str) -> dict:
-    """Exactly one JSON object; numbers keep their digits."""
-
-    def refuse(_: str):
-        raise Malformed("$", "not JSON")
-
-    try:
-        value = json.loads(body, parse_int=Number, parse_float=Number, parse_constant=refuse)
-    except Malformed:
-        raise
-    except (ValueError, RecursionError):
-        raise Malformed("$", "not one JSON value") from None
-    if not isinstance(value, dict):
-        raise Malformed("$", "not an object")
-    return value
+class _Stop(Exception):
+    """Block mode has its first finding."""
 
 
-def write_json(value: object) -> str:
-    """Canonical text: sorted keys, no spaces, numbers as they came."""
-    if isinstance(value, Number):
-        return str.__str__(value)
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{write_json(value[k])}" for k in sorted(value)) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(map(write_json, value)) + "]"
-    return json.dumps(value, ensure_ascii=False)
+class RequestRedactor(See):
+    """Redacts the regions of one body at a time. With ``block`` it stops at the first finding and makes no tokens."""
 
-
-class RequestRedactor:
-    def __init__(self, rules: RuleSet, key: bytes, label: str):
-        self.text = TextRedactor(rules.values, key, label)
+    def __init__(self, rules: RuleSet, key: bytes, label: str, block: bool = False):
+        self.redact, self.block = TextRedactor(rules.values, key, label), block
         self.keys: dict[str, list] = {}
         for r in rules.fields:
             for k in {k.lower() for k in r.keys}:
                 self.keys.setdefault(k, []).append((r.name, re.compile(r.pattern) if r.pattern else None))
 
-    def __call__(self, source_format: str, body: str) -> tuple:
-        self.fired: dict[str, None] = {}
-        self.made: dict[str, str] = {}
-        self.read_only: dict[str, None] = {}
+    def __call__(self, source_format: str | None, body: str | None, known: frozenset[str] = frozenset()) -> tuple:
+        self.known, self.findings, self.made = known, [], {}
         try:
-            if source_format not in FORMATS:
-                raise Malformed("$", "unknown format")
-            tree = read_object(body or "")
-            for region in self.regions(source_format, tree):
-                region()
+            tree = read_request(source_format, body)
+            try:
+                SHAPES[source_format](tree, "", self)
+            except _Stop:
+                pass
         except Malformed as e:
             return None, None, None, None, e.path, e.detail
-        return (write_json(tree) if self.fired else body), list(self.fired), self.made, list(self.read_only), None, None
-
-    def plain(self, s: str) -> str:
-        out, fired, made = self.text(s)
-        self.fired.update(dict.fromkeys(fired))
+        except Exception:  # noqa: BLE001  whatever it is, the row is rejected and the others go on
+            return None, None, None, None, "", "could not be scanned"
+        fired = list(dict.fromkeys(f[0] for f in self.findings if not f[-1]))
+        return (write_json(tree) if fired else body), fired, {} if self.block else self.made, self.findings, None, None
+
+    def note(self, *finding) -> None:
+        self.findings.append(finding)
+        if self.block:
+            raise _Stop
+
+    def text(self, value: str, path: str) -> str:
+        out, hits, made = self.redact.scan(value, self.known)
         self.made.update(made)
+        for hit in hits:
+            self.note(hit.rule, "value", path, None, hit.fields, hit.omitted, hit.context, hit.excerpt, False)
         return out
 
-    def walk(self, value: object, name: str | None = None) -> object:
-        """Field rules by key, value rules on other strings, at any depth."""
-        is_text = isinstance(value, str) and not isinstance(value, Number)
+    def tree(self, value: object, path: str, name: str | None = None) -> object:
+        """Field rules by key, value rules on other strings, at any depth. Keys are masked in paths."""
+        plain = is_text(value)
         # A pattern can't be tried on a value that isn't a string.
-        rule = next((r for r, p in self.keys.get((name or "").lower(), ()) if p is None or is_text and p.search(value)), None)
+        rule = next((r for r, p in self.keys.get((name or "").lower(), ()) if p is None or plain and p.search(value)), None)
         if rule is not None:
-            said = value if is_text else write_json(value)
-            if self.text.token.fullmatch(said):
+            said = value if plain else write_json(value)
+            if plain and said in self.known:
                 return said
-            token = self.text.make(said)
-            self.fired[rule] = None
+            token = self.redact.make(said)
             self.made[token] = said
+            self.note(rule, "field", path, field_name(name), None, 0, token, f'{write_json(field_name(name))}: "[REDACTED]"', False)
             return token
         if isinstance(value, dict):
-            return {k: self.walk(v, k) for k, v in value.items()}
+            return {k: self.tree(v, f"{path}.*", k) for k, v in value.items()}
         if isinstance(value, list):
-            return [self.walk(v) for v in value]
-        return self.plain(value) if is_text else value
+            return [self.tree(v, f"{path}[{i}]") for i, v in enumerate(value)]
+        return self.text(value, path) if plain else value
 
-    def arguments(self, owner: dict, key: str) -> None:
-        """JSON inside a string; text that doesn't parse stays as it is, and what value rules find there is read-only."""
-
-        def refuse(_: str):
-            raise ValueError
+    def strict(self, value: str, path: str) -> str:
+        before = len(self.findings)
+        walked = self.tree(read_json(value, path), path)
+        return write_json(walked) if len(self.findings) > before else value
 
+    def arguments(self, value: str, path: str) -> str:
+        """JSON inside a string. Text that doesn't parse stays as it is; what value rules find there is read-only."""
         try:
-            tree = json.loads(owner[key], parse_int=Number, parse_float=Number, parse_constant=refuse)
-        except (ValueError, RecursionError):
-            self.read_only.update(dict.fromkeys(self.text(owner[key])[1]))
-            return
-        before = len(self.fired)
-        walked = self.walk(tree)
-        if len(self.fired) > before or walked != tree:
-            owner[key] = write_json(walked)
-
-    def set_text(self, owner: dict, key: str, path: str) -> Callable[[], None]:
-        if not isinstance(owner[key], str) or isinstance(owner[key], Number):
-            raise Malformed(f"{path}.{key}", "not a string")
-        return lambda: owner.__setitem__(key, self.plain(owner[key]))
-
-    def content(self, owner: dict, key: str, path: str) -> Iterator[Callable[[], None]]:
-        value = owner.get(key)
-        if value is None:
-            return
-        if isinstance(value, str) and not isinstance(value, Number):
-            yield self.set_text(owner, key, path)
-        elif isinstance(value, list):
-            for i, block in enumerate(value):
-                at = f"{path}.{key}[{i}]"
-                if not isinstance(block, dict):
-                    raise Malformed(at, "not an object")
-                for k in TEXT_KEYS:
-                    if block.get(k) is not None:
-                        yield self.set_text(block, k, at)
-                if isinstance(block.get("input"), (dict, list)):
-                    yield lambda b=block: b.__setitem__("input", self.walk(b["input"]))
-                for k, inner in (("functionCall", "args"), ("functionResponse", "response"), ("toolCall", "args"), ("toolResponse", "response")):
-                    if block.get(k) is not None:
-                        yield from self.tool_part(block[k], inner, f"{at}.{k}")
-                if block.get("type") in ("tool_result", "message", "document"):
-                    yield from self.content(block, "content", at)
-        else:
-            raise Malformed(f"{path}.{key}", "neither a string nor a list")
-
-    def tool_part(self, part: object, inner: str, path: str) -> Iterator[Callable[[], None]]:
-        """The arguments or the answer of a tool in a gemini part."""
-        if not isinstance(part, dict):
-            raise Malformed(path, "not an object")
-        if inner in part:
-            yield lambda: part.__setitem__(inner, self.walk(part[inner]))
-        partial = part.get("partialArgs")
-        if partial is not None and not isinstance(partial, list):
-            raise Malformed(f"{path}.partialArgs", "not a list")
-        for i, p in enumerate(partial or []):
-            at = f"{path}.partialArgs[{i}]"
-            if not isinstance(p, dict):
-                raise Malformed(at, "not an object")
-            if p.get("stringValue") is not None:
-                yield self.set_text(p, "stringValue", at)
-
-    def response_item(self, item: dict, path: str) -> Iterator[Callable[[], None]]:
-        """Calls and answers of tools among a response's input items; content and text keys are seen apart."""
-        kind = item.get("type")
-        if kind in ("function_call", "mcp_call", "mcp_approval_request", "tool_search_call"):
-            if isinstance(item.get("arguments"), str) and not isinstance(item["arguments"], Number) and kind != "tool_search_call":
-                yield lambda: self.arguments(item, "arguments")
-            elif kind == "tool_search_call" and "arguments" in item:
-                yield lambda: item.__setitem__("arguments", self.walk(item["arguments"]))
-            elif kind != "tool_search_call":
-                raise Malformed(f"{path}.arguments", "not a string")
-        if kind in ("function_call_output", "custom_tool_call_output"):
-            if item.get("output") is None:
-                raise Malformed(f"{path}.output", "missing")
-            yield from self.content(item, "output", path)
-        if kind == "local_shell_call_output":
-            if not isinstance(item.get("output"), str) or isinstance(item["output"], Number):
-                raise Malformed(f"{path}.output", "not a string")
-            try:
-                json.loads(item["output"])
-            except (ValueError, RecursionError):
-                raise Malformed(f"{path}.output", "not JSON") from None
-            yield lambda: self.arguments(item, "output")
-        if kind == "shell_call_output" and isinstance(item.get("output"), list):
-            for i, part in enumerate(item["output"]):
-                for k in ("stdout", "stderr"):
-                    if isinstance(part, dict) and part.get(k) is not None:
-                        yield self.set_text(part, k, f"{path}.output[{i}]")
-        texts = {"custom_tool_call": ["input"], "apply_patch_call_output": ["output"], "mcp_call": ["output", "error"], "mcp_list_tools": ["error"], "mcp_approval_response": ["reason"], "program": ["code"], "program_output": ["result"]}
-        for k in texts.get(kind, []) if isinstance(kind, str) else []:
-            if item.get(k) is not None:
-                yield self.set_text(item, k, path)
-        if kind == "reasoning":
-            yield from self.content(item, "summary", path)
-
-    def regions(self, kind: str, tree: dict) -> list[Callable[[], None]]:
-        """All regions, found and checked before anything is rewritten."""
-        out: list[Callable[[], None]] = []
-        if kind in ("openai-image", "openai-video"):
-            return [self.set_text(tree, "prompt", "$")] if tree.get("prompt") is not None else []
-        listed, required = {"openai": ("messages", True), "claude": ("messages", True), "gemini": ("contents", True), "openai-response": ("input", False)}[kind]
-        items = tree.get(listed)
-        if isinstance(items, list):
-            for i, item in enumerate(items):
-                at = f"$.{listed}[{i}]"
-                if not isinstance(item, dict):
-                    raise Malformed(at, "not an object")
-                out += self.content(item, "parts" if kind == "gemini" else "content", at)
-                if kind == "openai-response":
-                    out += self.response_item(item, at)
-                for k in ("refusal", "reasoning_content") if kind != "openai-response" else ("refusal", "reasoning_content", "text"):
-                    if item.get(k) is not None:
-                        out.append(self.set_text(item, k, at))
-                for call in [c.get("function") for c in item.get("tool_calls") or [] if isinstance(c, dict)] + [item.get("function_call")]:
-                    if isinstance(call, dict) and isinstance(call.get("arguments"), str):
-                        out.append(lambda c=call: self.arguments(c, "arguments"))
-                for j, c in enumerate(item.get("tool_calls") or []):
-                    custom = c.get("custom") if isinstance(c, dict) else None
-                    if isinstance(custom, dict) and custom.get("input") is not None:
-                        out.append(self.set_text(custom, "input", f"{at}.tool_calls[{j}].custom"))
-        elif required or not (items is None or isinstance(items, str)):
-            raise Malformed(f"$.{listed}", "not a list")
-        elif isinstance(items, str):
-            out.append(self.set_text(tree, listed, "$"))
-        for k in ("system", "instructions"):
-            out += self.content(tree, k, "$")
-        for k in ("systemInstruction", "system_instruction"):
-            if isinstance(tree.get(k), dict):
-                out += self.content(tree[k], "parts", f"$.{k}")
-        return out
+            return self.strict(value, path)
+        except Malformed:
+            for rule, field in self.redact.detect(value, self.known):
+                self.note(rule, "value", path, field or None, None, 0, "[redacted]", "", True)
+            return value
 
 
-def redact_requests(df: DataFrame, rules: RuleSet, key: bytes, label: str = "REDACTED") -> DataFrame:
-    """``df`` (source_format, body, ...) with the struct ``result``: the body (as it came where nothing was found; null where it
-    is rejected), the rules that fired, token -> original, the rules that found something that can't be rewritten, and the error's path and reason. Rows are worked on where they are."""
-    work = RequestRedactor(rules, key, label)
+def with_known(requests: DataFrame, vault: DataFrame) -> DataFrame:
+    """``requests`` with ``known``: those tokens of each body that the vault (token) has. Tokens are looked for as they stand and
+    with escaped brackets. Bodies don't take part in the joins but the last, which is by request_id."""
+    found = requests.select("request_id", F.explode(F.array_distinct(all_tokens(F.col("body")))).alias("token"))
+    lists = found.join(vault.select("token").distinct(), "token", "left_semi").groupBy("request_id").agg(F.collect_set("token").alias("known"))
+    return requests.join(lists, "request_id", "left")
+
+
+def redact_requests(df: DataFrame, rules: RuleSet, key: bytes, label: str = "REDACTED", vault: DataFrame | None = None, mode: str = "filter") -> DataFrame:
+    """``df`` (request_id, source_format, body, ...) with the struct ``result``: the body (as it came where nothing was found; null
+    where it is rejected), the rules that fired, token -> original, the findings in order, and the error's path and reason.
+
+    Tokens that ``vault`` has stay as they are; all else of a token's shape is plain text. Without a vault rows are worked on
+    where they are. In block mode a row ends at its first finding, and no token is made."""
+    work = RequestRedactor(rules, key, label, mode == "block")
+    given = df.withColumn("known", F.lit(None).cast("array<string>")) if vault is None else with_known(df, vault)
 
     @F.pandas_udf(RESULT)
-    def run(kinds: pd.Series, bodies: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([work(k, b) for k, b in zip(kinds, bodies, strict=True)], columns=["body", "rules", "tokens", "read_only", "error_path", "error"])
+    def run(kinds: pd.Series, bodies: pd.Series, known: pd.Series) -> pd.DataFrame:
+        done = [work(k, b, frozenset(t) if t is not None else frozenset()) for k, b, t in zip(kinds, bodies, known, strict=True)]
+        return pd.DataFrame(done, columns=["body", "rules", "tokens", "findings", "error_path", "error"])
 
-    return df.withColumn("result", run("source_format", "body"))
+    return given.withColumn("result", run("source_format", "body", "known")).drop("known")
+
+
+def findings_of(done: DataFrame, *keep: str) -> DataFrame:
+    """The findings table: request_id, the ``keep`` columns, seq, and the members of a finding, read-only ones included."""
+    return done.select("request_id", *keep, F.posexplode("result.findings").alias("seq", "f")).select("request_id", *keep, "seq", "f.*")
 
 
 def split_results(done: DataFrame, mode: str = "filter") -> tuple[DataFrame, DataFrame]:
     """(passed, rejected): in block mode any finding, read-only ones too, rejects a row."""
     bad = F.col("result.error").isNotNull()
-    found = F.concat("result.rules", "result.read_only")
-    hit = F.coalesce(F.size(found) > 0, F.lit(False)) if mode == "block" else F.lit(False)
-    reason = F.coalesce("result.error", F.concat(F.lit("blocked by "), F.get(found, F.lit(0))))
-    return done.filter(~bad & ~hit), done.filter(bad | hit).select("request_id", "source_format", reason.alias("reason"), F.coalesce("result.error_path", F.lit("$")).alias("path"))
+    hit = F.coalesce(F.size("result.findings") > 0, F.lit(False)) if mode == "block" else F.lit(False)
+    first = F.get("result.findings", F.lit(0))
+    reason = F.coalesce("result.error", F.concat(F.lit("blocked by "), first["rule"]))
+    return done.filter(~bad & ~hit), done.filter(bad | hit).select("request_id", "source_format", reason.alias("reason"), F.coalesce("result.error_path", first["path"]).alias("path"))
+
+
+def regions(df: DataFrame) -> DataFrame:
+    """(request_id, seq, path, kind, text): the regions of each accepted body, in order. Rejected bodies give none."""
+
+    @F.pandas_udf(REGION)
+    def run(kinds: pd.Series, bodies: pd.Series) -> pd.Series:
+        def own(kind, body):
+            see = Listing()
+            try:
+                SHAPES[kind](read_request(kind, body), "", see)
+            except (Malformed, RecursionError):
+                return []
+            return see.found
+
+        return pd.Series([own(k, b) for k, b in zip(kinds, bodies, strict=True)])
+
+    return df.select("request_id", F.posexplode(run("source_format", "body")).alias("seq", "r")).select("request_id", "seq", "r.*")
+
+
+def prompt_regions(df: DataFrame) -> DataFrame:
+    """(request_id, path, text): the prompts of image and video requests, by built-in functions."""
+    own = df.filter(F.col("source_format").isin("openai-image", "openai-video"))
+    return own.select("request_id", F.lit("prompt").alias("path"), F.get_json_object("body", "$.prompt").alias("text")).filter("text is not null")
+
+
+def redact_json(body: Column, rules: RuleSet, key: bytes, label: str = "REDACTED") -> Column:
+    """Struct like a request's for any JSON text: field rules by key and value rules on all other strings, at any depth. Text that
+    isn't one JSON value is an error."""
+    work = RequestRedactor(rules, key, label)
+
+    def one(text: str | None) -> tuple:
+        work.known, work.findings, work.made = frozenset(), [], {}
+        if text is None:
+            return None, None, None, None, None, None
+        try:
+            walked = work.tree(read_json(text), "")
+        except Malformed as e:
+            return None, None, None, None, e.path, e.detail
+        except Exception:  # noqa: BLE001
+            return None, None, None, None, "", "could not be scanned"
+        return (write_json(walked) if work.findings else text), list(dict.fromkeys(f[0] for f in work.findings)), work.made, work.findings, None, None
+
+    @F.pandas_udf(RESULT)
+    def run(bodies: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(b) for b in bodies], columns=["body", "rules", "tokens", "findings", "error_path", "error"])
+
+    return run(body)
+
+
+def json_error(text: Column) -> Column:
+    """Why a text isn't one JSON value, without its content; null where it is one."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        def own(t):
+            try:
+                read_json(t or "")
+            except Malformed as e:
+                return e.detail
+            return None
+
+        return pd.Series([own(t) for t in texts], dtype=object)
+
+    return run(text)
 
 
 def chat_requests(turns: DataFrame) -> DataFrame:

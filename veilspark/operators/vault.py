@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import make_token, tokens_in
+from ..functions.columns import all_tokens, make_token
 
 MAX_TOKENS = 1024
 
@@ -34,8 +34,8 @@ def live(reads: DataFrame, vault: DataFrame) -> DataFrame:
 
 
 def request_tokens(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, token, at): the distinct token-shaped parts of each row's text, with the place where each stands first."""
-    return df.select(key, F.posexplode(tokens_in(F.col(text))).alias("at", "token")).groupBy(key, "token").agg(F.min("at").alias("at"))
+    """(key, token, at): the distinct token-shaped parts of each row's text, escaped ones last, with the place of the first."""
+    return df.select(key, F.posexplode(all_tokens(F.col(text))).alias("at", "token")).groupBy(key, "token").agg(F.min("at").alias("at"))
 
 
 def allowlist(df: DataFrame, vault: DataFrame, key: str, text: str, most: int = MAX_TOKENS) -> DataFrame:

@@ -19,14 +19,22 @@ def read_traffic(spark: SparkSession, kind: str, path: str, streaming: bool = Fa
     return reader.schema(SCHEMAS[kind]).format(form).load(path)
 
 
-def write_redacted(df: DataFrame, path: str, *by: str) -> None:
-    df.write.mode("append").partitionBy(*by).parquet(path)
+def _append(df: DataFrame, path: str, batch: int | None, *by: str) -> None:
+    """Adds rows; those of a numbered batch take the place of what an earlier try of the same batch wrote."""
+    if batch is None:
+        df.write.mode("append").partitionBy(*by).parquet(path)
+    else:
+        own = df.withColumn("batch", F.lit(batch).cast("long"))
+        own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", *by).parquet(path)
 
 
-def write_vault(vault: DataFrame, path: str, secret: Column | None = None) -> None:
+def write_redacted(df: DataFrame, path: str, *by: str, batch: int | None = None) -> None:
+    _append(df, path, batch, *by)
+
+
+def write_vault(vault: DataFrame, path: str, secret: Column | None = None, batch: int | None = None) -> None:
     """The mapping table; with ``secret`` (16, 24 or 32 bytes) originals are encrypted."""
-    out = vault if secret is None else vault.withColumn("original", F.base64(F.aes_encrypt("original", secret)))
-    out.write.mode("append").parquet(path)
+    _append(vault if secret is None else vault.withColumn("original", F.base64(F.aes_encrypt("original", secret))), path, batch)
 
 
 def read_vault(spark: SparkSession, path: str, secret: Column | None = None) -> DataFrame:
@@ -34,10 +42,11 @@ def read_vault(spark: SparkSession, path: str, secret: Column | None = None) ->
     return vault if secret is None else vault.withColumn("original", F.aes_decrypt(F.unbase64("original"), secret).cast("string"))
 
 
-def write_findings(found: DataFrame, path: str) -> None:
-    found.write.mode("append").parquet(path)
+def write_findings(found: DataFrame, path: str, batch: int | None = None) -> None:
+    """Findings without their context, so that neither plain text nor tokens leave."""
+    _append(found.drop("context"), path, batch)
 
 
-def write_dead_letter(rejected: DataFrame, path: str) -> None:
+def write_dead_letter(rejected: DataFrame, path: str, batch: int | None = None) -> None:
     """Rejected rows: key and reason, never content."""
-    rejected.write.mode("append").parquet(path)
+    _append(rejected, path, batch)

@@ -1,25 +1,28 @@
-"""Redaction of a stream of requests. Restoring of streamed chunks is not built."""
+"""Redaction of a stream of requests."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import RuleSet
-from ..operators.requests import redact_requests, split_results
-from ..sources.tables import write_dead_letter, write_redacted, write_vault
+from ..operators.requests import findings_of, redact_requests, split_results
+from ..sources.tables import write_dead_letter, write_findings, write_redacted, write_vault
 
 
-def redact_stream(requests: DataFrame, rules: RuleSet, key: bytes, path: str, mode: str = "filter") -> StreamingQuery:
-    """Stateless: each micro-batch is redacted once and goes to three sinks under ``path``: bodies, mapping, dead letters."""
+def redact_stream(requests: DataFrame, rules: RuleSet, key: bytes, path: str, mode: str = "filter", ttl_seconds: int = 3600, secret: Column | None = None, label: str = "REDACTED") -> StreamingQuery:
+    """Stateless: each micro-batch is redacted once and goes to four sinks under ``path``: bodies, findings, mapping and dead
+    letters. A batch that runs again takes the place of its first try. ``secret`` encrypts the mapping's originals."""
 
-    def sink(batch: DataFrame, _: int) -> None:
-        done = redact_requests(batch, rules, key).persist()
+    def sink(batch: DataFrame, number: int) -> None:
+        done = redact_requests(batch, rules, key, label, mode=mode).persist()
         passed, rejected = split_results(done, mode)
-        write_redacted(passed.select("request_id", "ts", "source_format", F.col("result.body").alias("body")), f"{path}/bodies", "source_format")
-        write_vault(passed.select("ts", F.explode("result.tokens").alias("token", "original")).groupBy("token", "original").agg(F.max("ts").alias("put_ts")), f"{path}/vault")
-        write_dead_letter(rejected, f"{path}/dead_letter")
+        write_redacted(passed.select("request_id", "ts", "source_format", F.col("result.body").alias("body")), f"{path}/bodies", "source_format", batch=number)
+        write_findings(findings_of(done, "ts"), f"{path}/findings", batch=number)
+        made = passed.select("ts", F.explode("result.tokens").alias("token", "original")).groupBy("token", "original").agg(F.max("ts").alias("put_ts"))
+        write_vault(made.withColumn("expires_at", F.col("put_ts") + F.make_dt_interval(secs=F.lit(ttl_seconds))), f"{path}/vault", secret, batch=number)
+        write_dead_letter(rejected, f"{path}/dead_letter", batch=number)
         done.unpersist()
 
     return requests.writeStream.foreachBatch(sink).option("checkpointLocation", f"{path}/_progress").trigger(availableNow=True).start()
