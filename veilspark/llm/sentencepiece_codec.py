@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text_kernels import _BYTE_HASH, _power, lists, map_texts, mix
+from .text_kernels import _BYTE_HASH, _power, bound_batches, lists, map_texts, mix
 from .text_kernels import pieces as cuts
 
 MODEL = "piece_bpe_32k.model"
@@ -373,6 +373,7 @@ def encode(docs: DataFrame, pieces: Pieces, keep: dict[str, Column] | None = Non
 
 def decode(encoded: DataFrame, pieces: Pieces, keep: list[str] | None = None, ids: str = "ids") -> DataFrame:
     """The ``keep`` columns (doc_id) and text: the bytes of the pieces, without the leading space. Null ids give null."""
+    bound_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(pieces)
     keep = ["doc_id"] if keep is None else keep
     given = encoded.select(*keep, F.col(ids).alias("_ids"))

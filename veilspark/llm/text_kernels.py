@@ -12,12 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one numpy pass works on; a single longer text is one pass of its own.
 PASS_BYTES = 1 << 19
+BATCH_BYTES = 4 << 20
 
 U = np.uint64
 _K1, _K2, _K3 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -186,6 +187,12 @@ def pieces(offsets: np.ndarray, most: int = PASS_BYTES) -> Iterator[tuple[int, i
         at = to
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES where the session has left Spark's own bound, which is 64 MB on each side of every task."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+
+
 def map_texts(
     docs: DataFrame,
     work: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], tuple[np.ndarray | None, dict[str, object]]],
@@ -200,6 +207,7 @@ def map_texts(
     row per text, in order). The result has the ``keep`` columns and ``fields`` (name, type) and no other column of
     ``docs``, so names of extra columns never clash. A partition is worked on in passes of bounded size.
     """
+    bound_batches(docs.sparkSession)
     keep = {"doc_id": F.col("doc_id")} if keep is None else keep
     text = F.col(text) if isinstance(text, str) else text
     given = docs.select(*[c.alias(f"k{i}") for i, c in enumerate(keep.values())], text.cast("string").alias("t"))

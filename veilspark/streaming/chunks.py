@@ -57,7 +57,7 @@ def _frame(key: str, done: list[tuple]) -> pd.DataFrame:
 def restore_chunks(chunks: DataFrame, completions: DataFrame, vault: DataFrame) -> DataFrame:
     """(request_id, chunk_index, body, dropped, error) of all chunks of a table; a request's rows are the only ones that meet."""
 
-    def one(key, data: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, data: pd.DataFrame) -> pd.DataFrame:
         return _frame(key[0], advance(None, _rows(data))[1])
 
     return events(chunks, completions, stream_originals(chunks, vault)).groupBy("request_id").applyInPandas(one, OUT)
