@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rules import ValueRule
+from .rules import GATES, ValueRule
 
 TOKEN = r"<[^<>\r\n]+_[0-9a-f]{16}>"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,24 +81,51 @@ def china_id(number: Column) -> Column:
 VALIDATORS = {"luhn": luhn, "china_id": china_id}
 
 
-def hits(text: Column, rule: ValueRule, lowered: Column | None = None) -> Column:
+def looked_at(df: DataFrame, text: str, *keep: str) -> tuple[DataFrame, Looked]:
+    """The ``keep`` columns and ``_text``, with what the cheap tests of rules need computed once for each row."""
+    named = {gate: f"_gate{i}" for i, gate in enumerate(sorted(set(GATES.values())))}
+    given = df.select(*keep, F.col(text).alias("_text"))
+    assigned = F.contains("_text", F.lit(":")) | F.contains("_text", F.lit("="))
+    given = given.select("*", F.when(assigned, F.lower("_text")).otherwise("").alias("_low"), *[F.col("_text").rlike(gate).alias(name) for gate, name in named.items()])
+    return given, Looked(F.col("_low"), {gate: F.col(name) for gate, name in named.items()})
+
+
+@dataclass
+class Looked:
+    """A text in lower case (empty where nothing is assigned in it), and whether each gate finds something."""
+
+    lowered: Column
+    gates: dict[str, Column]
+
+
+def hits(text: Column, rule: ValueRule, given: Looked | None = None) -> Column:
     """The sensitive parts that a rule finds in a text, in order: group 1 where it took part, else the whole hit; empty ones and
-    those that the validator refuses are left out. ``lowered`` is the text in lower case where the caller has it."""
+    those that the validator refuses are left out. ``given`` is what ``looked_at`` has on the text."""
     found = F.regexp_extract_all(text, F.lit(rule.java), F.lit(1 if rule.has_group else 0))
     check = VALIDATORS.get(rule.validator or "")
     kept = F.filter(found, lambda x: (x != "") & check(x)) if check else F.array_remove(found, F.lit(""))
-    if rule.literals:
-        where = (F.lower(text) if lowered is None else lowered) if rule.is_config else text
-        may = reduce(Column.__or__, [F.contains(where, F.lit(x)) for x in rule.literals])
-    elif rule.gate:
-        may = text.rlike(rule.gate)
-    else:
-        return kept
-    return F.when(may, kept).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
+    may = _may_hit(text, rule, given)
+    return kept if may is None else F.when(may, kept).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
 
 
-def has_hit(text: Column, rule: ValueRule) -> Column:
-    return F.size(hits(text, rule)) > 0
+def _may_hit(text: Column, rule: ValueRule, given: Looked | None) -> Column | None:
+    """A cheap test that every text with a hit passes; null for rules without one."""
+    if rule.literals:
+        where = (F.lower(text) if given is None else given.lowered) if rule.is_config else text
+        may = reduce(Column.__or__, [F.contains(where, F.lit(x)) for x in rule.literals])
+        return (F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))) & may if rule.is_config else may
+    if rule.gate:
+        return text.rlike(rule.gate) if given is None else given.gates[rule.gate]
+    return None
+
+
+def has_hit(text: Column, rule: ValueRule, given: Looked | None = None) -> Column:
+    """Whether a rule finds anything; the catalog's patterns have no empty hits, so one search is enough where none can be refused."""
+    if rule.validator or not rule.built_in:
+        return F.size(hits(text, rule, given)) > 0
+    may = _may_hit(text, rule, given)
+    found = text.rlike(rule.java)
+    return found if may is None else may & found
 
 
 def clean(text: Column) -> Column:

@@ -54,7 +54,7 @@ LITERALS = {
 }
 #: A shorter pattern that finds a part of any hit.
 GATES = {
-    "aws_secret_key": "[A-Za-z0-9/+]{40}", "phone_cn": "[0-9]{11}", "id_card_cn": "[0-9]{11}", "credit_card": "[0-9]{11}", "ipv4": "[0-9]\\.[0-9]{1,3}\\.[0-9]",
+    "aws_secret_key": "(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{40}", "phone_cn": "[0-9]{11}", "id_card_cn": "[0-9]{11}", "credit_card": "[0-9]{11}", "ipv4": "[0-9]\\.[0-9]{1,3}\\.[0-9]",
 }
 _BACKTRACK = "(?:[\\w.-]*[_.-])?"
 _ADDRESS, _ADDRESS_START = "[A-Za-z0-9._%+-]+@", "(?<![A-Za-z0-9._%+-])"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import hits, json_string_content
+from ..functions.columns import has_hit, hits, json_string_content, looked_at
 from ..functions.rules import ALL_VALUES, ValueRule
 
 
@@ -16,9 +16,10 @@ def rule_hits(df: DataFrame, text: str, rule: ValueRule, *keep: str) -> DataFram
 
 def rule_counts(df: DataFrame, text: str, rules: tuple[ValueRule, ...] = ALL_VALUES, *keep: str) -> DataFrame:
     """One row per input row and rule with hits: the ``keep`` columns, seq (the rule's place), rule and n."""
-    given = df.select(*keep, F.col(text).alias("_text"), F.lower(text).alias("_low"))
-    counts = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(r.name).alias("rule"), F.size(hits(F.col("_text"), r, F.col("_low"))).cast("long").alias("n")) for i, r in enumerate(rules)])
-    return given.select(*keep, F.explode(F.filter(counts, lambda x: x["n"] > 0)).alias("f")).select(*keep, "f.*")
+    given, look = looked_at(df, text, *keep)
+    sized = given.select(*keep, *[F.size(hits(F.col("_text"), r, look)).cast("long").alias(f"_n{i}") for i, r in enumerate(rules)])
+    counts = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(r.name).alias("rule"), F.col(f"_n{i}").alias("n")) for i, r in enumerate(rules)])
+    return sized.select(*keep, F.explode(F.filter(counts, lambda x: x["n"] > 0)).alias("f")).select(*keep, "f.*")
 
 
 def count_by_rule(found: DataFrame, *by: str) -> DataFrame:
@@ -26,6 +27,13 @@ def count_by_rule(found: DataFrame, *by: str) -> DataFrame:
     return found.groupBy("rule", *by).agg(F.sum("n").alias("hits"), F.count("*").alias("rows"))
 
 
+def rules_of_keys(keys: DataFrame, key: str, catalog: DataFrame) -> DataFrame:
+    """By key: the first field rule that has it, if any, and how often it stands. The catalog is a table of fixed size."""
+    own = catalog.filter("kind = 'field'").select(F.explode("keys").alias("_key"), "name", "place")
+    counted = keys.groupBy(key).agg(F.count("*").alias("n"))
+    return counted.join(F.broadcast(own), F.lower(F.col(key)) == F.col("_key"), "left").groupBy(key, "n").agg(F.min_by("name", "place").alias("rule")).select(key, "rule", "n")
+
+
 def first_finding(found: DataFrame, key: str) -> DataFrame:
     """The first finding of each key in rule order."""
     return found.groupBy(key).agg(F.min_by(F.struct("rule", "n"), "seq").alias("f")).select(key, "f.rule", "f.n")
@@ -91,9 +99,18 @@ def all_findings(matches: DataFrame, read_only: DataFrame) -> DataFrame:
     return matches.unionByName(moved)
 
 
+def with_any_secret(df: DataFrame, text: str, *keep: str, rules: tuple[ValueRule, ...] = ALL_VALUES) -> DataFrame:
+    """The ``keep`` columns, the text as ``_text`` and ``has_secret``; null has none."""
+    given, look = looked_at(df, text, *keep)
+    found = F.lit(False)
+    for r in rules:
+        found = found | has_hit(F.col("_text"), r, look)
+    return given.select(*keep, "_text", F.coalesce(found, F.lit(False)).alias("has_secret"))
+
+
 def any_secret(text: Column, rules: tuple[ValueRule, ...] = ALL_VALUES) -> Column:
     """Whether any rule hits; null has no secret."""
     out = F.lit(False)
     for r in rules:
-        out = out | (F.size(hits(text, r)) > 0)
+        out = out | has_hit(text, r)
     return F.coalesce(out, F.lit(False))

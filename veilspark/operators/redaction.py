@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import has_hit, make_token
+from ..functions.columns import has_hit, looked_at, make_token
 from ..functions.rules import FieldRule, RuleSet, ValueRule
 from ..functions.scan import TextRedactor
 
@@ -136,7 +136,8 @@ def _quoted(name: str) -> str:
 
 def blocked(df: DataFrame, text: str, rules: tuple[ValueRule, ...]) -> DataFrame:
     """Rows with any hit, with ``reason``: the first rule that hits. Built-in expressions only."""
+    given, look = looked_at(df.withColumn("_row", F.struct(*df.columns)), text, "_row")
     first = F.lit(None).cast("string")
     for r in reversed(rules):
-        first = F.when(has_hit(F.col(text), r), r.name).otherwise(first)
-    return df.withColumn("reason", first).filter(F.col("reason").isNotNull())
+        first = F.when(has_hit(F.col("_text"), r, look), r.name).otherwise(first)
+    return given.select("_row", first.alias("reason")).filter(F.col("reason").isNotNull()).select(*[F.col("_row")[c].alias(c) for c in df.columns if c != "reason"], "reason")
