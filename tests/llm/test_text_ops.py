@@ -143,6 +143,28 @@ def test_quality_keeps_good_and_drops_bad(spark):
     assert held.get((1, True), 0) > 0.98 * sum(n for (q, _), n in held.items() if q == 1)
 
 
+def test_quality_verdicts_on_held_out_rows(spark):
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    kept_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    trees = quality_rules.train(docs, labels.filter(~kept_out))
+    held = quality_rules.judge(docs, trees).join(labels.filter(kept_out & F.col("quality").isNotNull()), "doc_id").select("quality", "kept", "score", *quality_rules.COUNTS, "base_failed").toPandas()
+    assert (held.kept == (held.quality > 0)).mean() > 0.9 and len(held) > 100
+    c = {k: held[k].to_numpy() for k in quality_rules.COUNTS}
+    x = quality_rules.features(c)
+    for row, score, kept, failed in zip(x, held.score, held.kept, held.base_failed, strict=True):
+        margin = trees.base
+        for f, cut, value in zip(trees.feature, trees.cut, trees.value, strict=True):
+            node = 0
+            while node < len(f):
+                node = 2 * node + 1 + bool(row[f[node]] > cut[node])
+            margin += value[node - len(f)]
+        import math
+
+        assert abs(score - 1 / (1 + math.exp(-margin))) < 1e-9 and kept == (not failed and score >= quality_rules.KEEP_SCORE)
+
+
 def test_licenses_are_brute_force(spark):
     said = [
         (1, "Under the MIT License. GNU General\nPublic - license; Apache LICENSE, MIT license", None), (2, "admit license", None), (30, "cc-by-nc 4.0 CC by", None),
@@ -165,10 +187,11 @@ def test_license_expressions(spark):
     assert license_scans.evaluate("GPL-2.0 AND MIT") == (["gpl-2.0", "mit"], False)
     for bad in ("", "AND MIT", "(MIT", "MIT)", "MIT OR", "()"):
         assert license_scans.evaluate(bad) is None, bad
-    docs = table(spark, [(1, "# SPDX-License-Identifier: MIT OR GPL-2.0-only\nmore", None), (2, "SPDX-License-Identifier: (", None), (3, "x", None)])
+    assert license_scans.evaluate("see LICENSE") is None and license_scans.evaluate("MIT OR nothing") is None and license_scans.evaluate("GPL-2.0+ WITH GCC-exception-3.1")
+    docs = table(spark, [(1, "# SPDX-License-Identifier: MIT OR GPL-2.0-only\nmore", None), (2, "SPDX-License-Identifier: (", None), (3, "x", None), (4, "SPDX-License-Identifier: see LICENSE", None)])
     out = {r.doc_id: r for r in license_scans.scan_licenses(docs).collect()}
     assert out[1].permissive and list(out[1].labels) == ["gpl-2.0-only", "mit"] and out[1].score > 0.9
-    assert out[2].permissive is None and not out[2].labels and out[3].score == 0
+    assert out[2].permissive is None and not out[2].labels and out[3].score == 0 and not out[4].labels and out[4].permissive is None
 
 
 def test_languages_on_held_out_rows(spark):
@@ -180,6 +203,46 @@ def test_languages_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def test_language_scores_are_brute_force(spark):
+    import math
+
+    r = [(i, prose(i, 30, letters="abcdé日"), "en") for i in range(6)] + [(10 + i, prose(i, 30, letters="xyzß語"), "de") for i in range(6)]
+    docs = table(spark, [*r, (20, "é日x ... Z", None), (21, "ab", None), (22, "x" * 2_000_000, None)])
+    model = language_id.train(docs, language_id.held_out() | ~language_id.held_out())
+    out = {x.doc_id: x for x in language_id.predict(docs, model).collect()}
+
+    def buckets(t):
+        import numpy as np
+
+        code = [ord(c) for c in lowered(t)]
+        letter = [97 <= c <= 122 or c >= 128 for c in code]
+        code = [c if x else 32 for c, x in zip(code, letter, strict=True)]
+        found = []
+        for p in range(len(code)):
+            h = 0
+            for k in range(4):
+                if p + k < len(code):
+                    h = ((h ^ code[p + k]) * 0x9E3779B1) & 0xFFFFFFFF
+                    h ^= h >> 15
+                    if any(letter[p : p + k + 1]):
+                        found.append((h >> 7) & (language_id.BUCKETS - 1))
+        return np.array(found, dtype=np.int64)
+
+    counts = {x: Counter() for x in ("de", "en")}
+    for _, t, lang in r:
+        counts[lang].update(buckets(t).tolist())
+    for i, t in [(x[0], x[1]) for x in r] + [(20, "é日x ... Z"), (21, "ab")]:
+        total = {}
+        for lang, c in counts.items():
+            n = sum(c.values()) + language_id.BUCKETS * language_id.SMOOTHING
+            total[lang] = math.log(0.5) + sum(math.log((c[b] + language_id.SMOOTHING) / n) for b in buckets(t).tolist())
+        best = max(sorted(total), key=lambda x: total[x])
+        assert out[i].lang_pred == best and abs(out[i].score - 1 / sum(math.exp(v - total[best]) for v in total.values())) < 1e-3
+    assert out[22].lang_pred == "de"
+    same = language_id.train(table(spark, [(1, "abc", "b"), (2, "abc", "a")]), language_id.held_out() | ~language_id.held_out())
+    assert {x.lang_pred for x in language_id.predict(table(spark, [(5, "abc", None)]), same).collect()} == {"a"}
+
+
 def test_languages_of_awkward_rows(spark):
     docs = table(spark, [*awkward(), *[(100 + i, prose(i), "en") for i in range(9)], *[(200 + i, prose(i, letters="stuvwxyz"), "de") for i in range(9)], (300, "123 ½ ...", "en")])
     model = language_id.train(docs, language_id.held_out() | ~language_id.held_out())

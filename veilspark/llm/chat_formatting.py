@@ -6,8 +6,9 @@ of characters that train the model: the texts and end marks of its assistant tur
 
 Defined results: turns go by (turn, role, text), nulls first, so ties and repeated rows have a fixed order and repeated turns
 stay. A null role is ``unknown``, a null text is empty. A pair with one side alone has an empty prompt and an empty other
-completion; equal sides give a prompt and two empty completions. Turns with a null conversation make up the pair null. A
-conversation's own turns are the only rows that are gathered.
+completion; equal sides give a prompt and two empty completions. A turn without a conversation is the chosen side of a pair of its
+own, with a null id. Marks of the template inside roles and texts can't pass for turns: ``<|`` becomes ``< |``. A conversation's
+own turns are the only rows that are gathered.
 """
 
 from __future__ import annotations
@@ -41,11 +42,13 @@ def format_preferences(turns: DataFrame, pair: Column, rejected: Column) -> Data
     """One row per pair: pair_id, n_common, prompt, chosen, rejected, chosen_mask, rejected_mask.
 
     ``pair`` names the pair of a turn, ``rejected`` tells whether its conversation is the rejected side."""
+    safe = lambda c, default: F.replace(F.coalesce(c, F.lit(default)), F.lit(OPEN), F.lit("< |"))
     clean = turns.select(
         pair.alias("pair_id"), F.coalesce(rejected, F.lit(False)).alias("_r"),
-        F.struct(F.col("turn"), F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("x"),
+        F.struct(F.col("turn"), safe("role", "unknown").alias("role"), safe("text", "").alias("text")).alias("x"),
     )
-    sides = clean.groupBy("pair_id").agg(F.array_sort(F.collect_list(F.when(~F.col("_r"), F.col("x")))).alias("a"), F.array_sort(F.collect_list(F.when(F.col("_r"), F.col("x")))).alias("b"))
+    alone = clean.filter("pair_id is null").select("pair_id", F.array("x").alias("a"), F.slice(F.array("x"), 1, 0).alias("b"))
+    sides = clean.filter("pair_id is not null").groupBy("pair_id").agg(F.array_sort(F.collect_list(F.when(~F.col("_r"), F.col("x")))).alias("a"), F.array_sort(F.collect_list(F.when(F.col("_r"), F.col("x")))).alias("b")).unionByName(alone)
     most = F.least(F.size("a"), F.size("b"))
     same = F.zip_with(F.slice("a", 1, most), F.slice("b", 1, most), lambda x, y: (x["role"] == y["role"]) & (x["text"] == y["text"]))
     first = F.array_position(same, F.lit(False))
@@ -65,7 +68,7 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = """
-WITH t AS (SELECT CAST(floor(conv_id / 2.0) AS BIGINT) AS pair_id, conv_id % 2 = 1 AS r, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+WITH t AS (SELECT CAST(floor(conv_id / 2.0) AS BIGINT) AS pair_id, conv_id % 2 = 1 AS r, replace(coalesce(role, 'unknown'), '<|', '< |') AS role, replace(coalesce(text, ''), '<|', '< |') AS text,
   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS i FROM conversations),
 a AS (SELECT * FROM t WHERE NOT r), b AS (SELECT * FROM t WHERE r), p AS (SELECT DISTINCT pair_id FROM t),
 n AS (SELECT pair_id, least((SELECT count(*) FROM a WHERE a.pair_id = p.pair_id), (SELECT count(*) FROM b WHERE b.pair_id = p.pair_id)) AS most FROM p),

@@ -1,6 +1,6 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
-Grams of 1 to 4 bytes of the lower-cased (A-Z) text are hashed into ``BUCKETS``; grams without any letter byte are left out.
+Grams of 1 to 4 characters of the lower-cased (A-Z) text are hashed into ``BUCKETS``; grams without any letter are left out.
 Training counts them for each language over at most ``MAX_TRAIN_DOCS`` whole texts (those with the smallest hashes of doc_id
 among the training rows); the smoothed log-probability matrix (BUCKETS x languages) is broadcast, and its size is fixed.
 Scoring gathers the matrix rows of all grams of a batch and sums them by text: a sparse count matrix times a dense one.
@@ -25,25 +25,34 @@ GRAMS = (1, 2, 3, 4)
 MAX_TRAIN_DOCS = 12_000
 SMOOTHING = 0.5
 FOLDS, HELD_OUT = 3, 1
-_LETTER = np.array([0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 _MIX = np.uint32(0x9E3779B1)
 
 
-def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each gram length the bucket of the gram at each byte (BUCKETS: none), lowered; and which bytes are letters."""
-    data = LOWER[data]
-    letter = _LETTER[data]
-    # Other bytes than letters all count as one separator, so that n-grams see word borders.
-    code = np.where(letter, data, np.uint8(0x20)).astype(np.uint32)
-    to_end = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(data))
-    out, h, some = [], np.zeros(len(data), dtype=np.uint32), np.zeros(len(data), dtype=bool)
+def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 texts, A-Z lowered, and the texts' offsets in them."""
+    head = np.flatnonzero((data & 0xC0) != 0x80)
+    first = data[head].astype(np.uint32)
+    code = LOWER[data[head]].astype(np.uint32)
+    for lead, bits, more in ((0xC0, 0x1F, 1), (0xE0, 0x0F, 2), (0xF0, 0x07, 3)):
+        own = np.flatnonzero(first >= lead)
+        value = first[own] & bits
+        for j in range(1, more + 1):
+            value = value << np.uint32(6) | data[np.minimum(head[own] + j, len(data) - 1)] & np.uint32(0x3F)
+        code[own] = value
+    return code, np.searchsorted(head, offsets)
+
+
+def gram_buckets(code: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each gram length the bucket of the gram at each character (BUCKETS: none); and which characters are letters."""
+    letter = (code >= 0x61) & (code <= 0x7A) | (code >= 0x80)
+    # Other characters than letters all count as one separator, so that n-grams see word borders.
+    code = np.where(letter, code, np.uint32(0x20))
+    to_end = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(code))
+    out, h, some = [], np.zeros(len(code), dtype=np.uint32), np.zeros(len(code), dtype=bool)
     for k in range(max(GRAMS)):
-        if k:
-            shifted, flags = np.zeros_like(code), np.zeros_like(letter)
-            shifted[: max(len(code) - k, 0)] = code[k:]
-            flags[: max(len(code) - k, 0)] = letter[k:]
-        else:
-            shifted, flags = code, letter
+        shifted, flags = np.zeros_like(code), np.zeros_like(letter)
+        shifted[: max(len(code) - k, 0)] = code[k:]
+        flags[: max(len(code) - k, 0)] = letter[k:]
         h = (h ^ shifted) * _MIX
         h ^= h >> np.uint32(15)
         some = some | flags
@@ -72,11 +81,12 @@ def train(docs: DataFrame, is_training: Column, max_docs: int = MAX_TRAIN_DOCS)
 
     def work(data, offsets, part):
         names = part.column(0).to_pylist()
+        code, offsets = characters(data, offsets)
         doc = np.repeat(np.arange(len(names)), np.diff(offsets))
         languages = sorted(set(names))
         of = np.array([languages.index(x) for x in names])[doc] if len(doc) else doc
         count = np.zeros((len(languages), BUCKETS + 1), dtype=np.int64)
-        for bucket in gram_buckets(data, offsets)[0]:
+        for bucket in gram_buckets(code, offsets)[0]:
             count += np.bincount(of * (BUCKETS + 1) + bucket, minlength=count.size).reshape(count.shape)
         count = count[:, :-1]
         i, j = np.nonzero(count)
@@ -102,12 +112,13 @@ def predict(docs: DataFrame, model: Model | None, keep: dict | None = None) -> D
 
     def work(data, offsets, _):
         m, n = shared.value, len(offsets) - 1
-        buckets, letter = gram_buckets(data, offsets)
+        code, offsets = characters(data, offsets)
+        buckets, letter = gram_buckets(code, offsets)
         some = np.add.reduceat(np.append(letter, False).astype(np.int64), offsets[:-1]) * (np.diff(offsets) > 0) if n else np.zeros(0)
         for d in np.flatnonzero(some):
-            span = data[offsets[d] : offsets[d + 1]]
-            if not (_LETTER[LOWER[span]] & (span < 0x80)).any():
-                some[d] = any(c.isalpha() for c in span.tobytes().decode("utf-8", "replace"))
+            span = code[offsets[d] : offsets[d + 1]]
+            if not ((span >= 0x61) & (span <= 0x7A)).any():
+                some[d] = any(chr(c).isalpha() for c in np.unique(span))
         if m is None:
             return None, {"lang_pred": pa.array(["und"] * n), "score": np.zeros(n)}
         total = np.tile(m.log_prior, (n, 1))

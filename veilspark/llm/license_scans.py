@@ -5,8 +5,8 @@ automaton of all phrases runs; a phrase matches where its words stand consecutiv
 identifier tag (``SPDX-License-Identifier``) the rest of the line is read as an expression of identifiers, ``AND``, ``OR``,
 ``WITH`` and parentheses, turned into postfix order and evaluated to its labels and to whether it leaves a permissive choice.
 
-Defined results: null or empty text has no words, no labels and score 0. An expression that doesn't parse gives no label and
-leaves ``permissive`` as it was. Overlapping phrases count each. Documents that repeat are reported once for each row.
+Defined results: null or empty text has no words, no labels and score 0. An expression that doesn't parse, or that names what
+is no known identifier, gives no label and leaves ``permissive`` as it was. Overlapping phrases count each. Documents that repeat are reported once for each row.
 """
 
 from __future__ import annotations
@@ -33,12 +33,27 @@ MORE_PHRASES = {
 TAG = "spdx license identifier"
 # First parts of identifiers that count as permissive.
 PERMISSIVE = ("mit", "apache", "bsd", "isc", "zlib", "cc0", "cc-by-4", "cc-by-3", "unlicense", "0bsd", "python", "postgresql", "public-domain", "boost", "bsl")
+# Identifiers that an expression may name, in lower case; some more by pattern: own references and exceptions.
+KNOWN = frozenset(
+    "0bsd aal afl-2.1 afl-3.0 agpl-1.0 agpl-3.0 agpl-3.0-only agpl-3.0-or-later apache-1.0 apache-1.1 apache-2.0 apsl-2.0 artistic-1.0 artistic-2.0 blueoak-1.0.0 bsd-1-clause bsd-2-clause "
+    "bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 busl-1.1 cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-nd-4.0 cc-by-nc-sa-3.0 "
+    "cc-by-nc-sa-4.0 cc-by-nd-4.0 cc-by-sa-2.0 cc-by-sa-3.0 cc-by-sa-4.0 cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.1 cpal-1.0 cpl-1.0 ecl-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 gfdl-1.2 gfdl-1.3 "
+    "gpl-1.0 gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0-only gpl-3.0-or-later hpnd isc lgpl-2.0 lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 "
+    "lgpl-3.0-only lgpl-3.0-or-later libpng mit mit-0 mpl-1.0 mpl-1.1 mpl-2.0 ms-pl ms-rl ncsa none noassertion odbl-1.0 ofl-1.1 openssl osl-3.0 php-3.01 postgresql psf-2.0 python-2.0 ruby "
+    "sspl-1.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 zlib zpl-2.1".split()
+)
+_OTHER = re.compile(r"licenseref-[a-z0-9.-]+|[a-z0-9.-]+-exception(?:-[0-9.]+)?|classpath-exception-2\.0|llvm-exception")
 PRECEDENCE = {"OR": 1, "AND": 2, "WITH": 3}
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 #: Chance left, after one hit, that the document has no licence notice.
 _DOUBT = {"base": 0.2, "more": 0.4, "tag": 0.05}
 
 
+def is_identifier(word: str) -> bool:
+    word = word.lower()
+    return word.removesuffix("+") in KNOWN or _OTHER.fullmatch(word) is not None
+
+
 def to_postfix(expression: str) -> list[str] | None:
     """Identifiers and operators in postfix order; None if the expression is malformed."""
     out: list[str] = []
@@ -65,6 +80,8 @@ def to_postfix(expression: str) -> list[str] | None:
         else:
             if not operand:
                 break  # prose behind the expression
+            if not is_identifier(token):
+                return None
             out.append(token.lower())
             operand = False
     if operand or "(" in stack:

@@ -10,12 +10,18 @@ import uuid
 from pyspark.sql import DataFrame
 
 
+_written: list[str] = []
+
+
 def shared_folder(spark) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (tests on one machine), a temporary one is set."""
+    """The folder named by spark.checkpoint.dir. Where that is unset, one machine alone gets a temporary one; a cluster's nodes would
+    each write to their own disk, so there it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all nodes share")
         folder = tempfile.mkdtemp(prefix="veilspark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -26,6 +32,7 @@ def cut(df: DataFrame, release: bool = True) -> DataFrame:
     plans so far have shuffled is then free to go; small tables of a loop need no ``release`` each."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/veilspark-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     for _ in range(2 if release else 0):  # Spark drops shuffle files once the driver has no reference to them; events still hold some at first
@@ -33,3 +40,10 @@ def cut(df: DataFrame, release: bool = True) -> DataFrame:
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.5)
     return out
+
+
+def clean(spark) -> None:
+    """Deletes all tables that this process has cut so far; call it once their results are written."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

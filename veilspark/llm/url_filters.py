@@ -5,7 +5,8 @@ rule (``host + path``) wins; of equal ones the one that sorts first, and block b
 
 The method: links of all pages make weighted host edges. Personalised PageRank spreads trust from the hosts of allowed pages
 along the links, and distrust from the hosts of blocked pages against them (who links to bad hosts is suspect). Seeds are
-page counts, so both masses compare. Rounds go on until no host's mass changes by more than ``tolerance`` of itself, looked at
+page counts, so both masses compare; a seed without links keeps its own mass, and mass that reaches any other host without links
+ends there. Rounds go on until no host's mass changes by more than ``tolerance`` of itself, looked at
 every four rounds, and end at the latest when less than ``tolerance`` of each seed's mass is still moving, after
 log(tolerance) / log(damping) rounds: 88 with the values here, so evidence travels up to 88 links. A host is blocked where
 distrust makes up more than ``threshold`` of the two. All of it
