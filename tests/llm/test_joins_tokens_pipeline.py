@@ -45,15 +45,33 @@ def near_copies(seed, n, words=90, edits=8):
     return out
 
 
-@pytest.mark.parametrize("block", [512, 8])
-def test_components_are_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,hot", [(512, 2000), (8, 2000), (8, 10), (64, 3)])
+def test_components_are_brute_force(spark, monkeypatch, block, hot):
     monkeypatch.setattr(ngram_jaccard, "BLOCK", block)
+    monkeypatch.setattr(ngram_jaccard, "HOT", hot)
     docs = [d for d in awkward() if d[0] not in (11,)] + [(1000 + i, t, "en") for i, t in enumerate(near_copies(50, 60) + near_copies(51, 12, 300, 40))]
     out = ngram_jaccard.jaccard_components(table(spark, docs))
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr)
     assert got == brute_components(docs)
 
 
+def test_a_hot_key_of_points_that_nothing_ties(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 8)
+    r = np.random.default_rng(2)
+    sets = [set(r.choice(4000, 40, replace=False).tolist()) for _ in range(60)]
+    sets += [(sets[i] - {min(sets[i])}) | {9000 + i} for i in range(0, 60, 3)]
+    point = [bytes(np.bincount([x % ngram_jaccard.GROUPS for x in s], minlength=ngram_jaccard.GROUPS).astype(np.uint8)) for s in sets]
+    rows = [(k, len(s), i, bytearray(p)) for k in (1, 2) for i, (s, p) in enumerate(zip(sets, point, strict=True))]
+    edges = ngram_jaccard._hot_forests(spark.createDataFrame(rows, "key long, n long, c long, point binary"), 85).collect()
+    label = list(range(len(sets)))
+    for e in edges:
+        a, b = label[e.a], label[e.b]
+        label = [min(a, b) if x in (a, b) else x for x in label]
+    assert all(label[60 + i] == label[3 * i] for i in range(20)) and len(set(label)) > 1
+
+
 def test_components_of_repeated_rows_and_empty(spark):
     a = prose(9)
     docs = table(spark, [(1, a, None), (1, a, None), (2, a, None), (3, "", None), (4, None, None), (3, "", None)])

@@ -9,7 +9,8 @@ classes, and each document gets its class back. For sets with ``100 * shared >=
 2. *R-tree.* Hashes fall into ``GROUPS`` groups, and the counts by group are a class's point. Points under one key are packed by
    size into leaves that keep their coordinates' maxima. A leaf, then a point, is dropped where the summed coordinate minima
    with the query stay below the overlap that a link needs. What survives is reduced in the task to a spanning forest, so a key
-   gives fewer rows than it has points.
+   gives fewer rows than it has points. Keys of more than ``HOT`` points grow a tree of as many levels as they need: each task ties
+   the boxes of one block and hands up one box for each label, with the maxima of all its points.
 3. *Finer points.* Components of the forests hold all links inside. Their classes get points of ``FINE`` groups, which tell long
    sets apart, and the same bounds split the components again. Only what is still tied ships its sets.
 4. *Verification.* In both of these steps large components are cut into bands of set sizes so wide that a
@@ -17,8 +18,7 @@ classes, and each document gets its class back. For sets with ``100 * shared >=
    neighbours is one task, which at last counts the exact overlaps and returns a spanning forest of the links.
 
 Keys stream through tasks in sorted order, blocks are bounded, and components come from joins that spread the least label, with
-tables written to the shared folder between rounds. All points of one key, though, are held and compared in one task, before
-bands and blocks begin: N points that no bound parts are N * N comparisons there. A component's are dealt to its blocks' tasks.
+tables written to the shared folder between rounds. No task holds more than ``HOT`` points of a key or two blocks of one.
 
 Defined results: a null text or one without words has an empty set and links with nothing, copies included. With fewer words
 than the n-gram has, the whole sequence is the one gram. A null doc_id is the least of all and comes back as null. Rows that
@@ -43,6 +43,8 @@ GROUPS, FINE = 64, 1024
 LEAF = 32
 #: Sets and hashes of a block, about.
 BLOCK, BLOCK_HASHES = 512, 2_000_000
+#: Keys of more points than this go up a tree of several levels; those of others are compared in one task.
+HOT = 2_000
 SAMPLE_DOCS, SAMPLE_HITS = 5_000, 25
 _LEAST = -(2**63)
 _OTHER = np.uint64(0x5851F42D4C957F2D)
@@ -127,36 +129,98 @@ def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def survivors(point: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Label of each point of one key: points in one label are tied by pairs that the bounds let pass. Points are sorted by n.
+def survivors(point: np.ndarray, low: np.ndarray, percent: int, high: np.ndarray | None = None) -> np.ndarray:
+    """Label of each box: boxes in one label are tied by pairs that the bounds let pass. A box has the maxima of its points'
+    coordinates and their least and largest set size; a point is a box with one size. Boxes are sorted by ``low``.
 
-    A packed R-tree with one level of leaves: point i asks the leaves before it whose sizes fit."""
-    m = len(n)
+    A level of a packed R-tree: box i asks the leaves before it whose sizes fit, then their boxes that aren't tied to it yet."""
+    m = len(low)
+    high = low if high is None else high
     full = (point == 255).any(axis=1)
     point = point.astype(np.int16)
     label = np.arange(m)
     top = np.stack([point[k : k + LEAF].max(axis=0) for k in range(0, m, LEAF)])
     top_full = np.array([full[k : k + LEAF].any() for k in range(0, m, LEAF)])
-    least = n[::LEAF]
-    most = np.array([n[min(k + LEAF, m) - 1] for k in range(0, m, LEAF)])
+    least = low[::LEAF]
+    most = np.array([high[k : k + LEAF].max() for k in range(0, m, LEAF)])
     for i in range(1, m):
         leaves = np.arange(i // LEAF + (i % LEAF > 0))
-        leaves = leaves[100 * most[leaves] >= percent * n[i]]
+        leaves = leaves[100 * most[leaves] >= percent * low[i]]
         bound = np.minimum(top[leaves], point[i]).sum(axis=1)
-        leaves = leaves[(bound >= _needed(least[leaves], n[i], percent)) | top_full[leaves] | full[i]]
+        leaves = leaves[(bound >= _needed(least[leaves], low[i], percent)) | top_full[leaves] | full[i]]
         if not len(leaves):
             continue
         j = (leaves[:, None] * LEAF + np.arange(LEAF)).ravel()
         j = j[j < i]
-        j = j[(100 * n[j] >= percent * n[i]) & (label[j] != label[i])]
+        j = j[(100 * high[j] >= percent * low[i]) & (label[j] != label[i])]
         bound = np.minimum(point[j], point[i]).sum(axis=1)
-        j = j[(bound >= _needed(n[j], n[i], percent)) | full[j] | full[i]]
+        j = j[(bound >= _needed(low[j], low[i], percent)) | full[j] | full[i]]
         if len(j):
             tied = np.append(np.unique(label[j]), label[i])
             label[np.isin(label[: i + 1], tied).nonzero()[0]] = tied.min()
     return label
 
 
+_BOX = "key long, c long, low long, high long, point binary"
+
+
+def _hot_forests(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the same as ``_forests`` for keys of many points, by an R-tree that grows level by level. On each level the boxes of a
+    key are dealt to tasks of about BLOCK, which tie them and hand one box of each label up. Where boxes stop falling by a fifth,
+    all pairs of blocks are compared, each in a task of its own."""
+    boxes = members.select("key", "c", F.col("n").alias("low"), F.col("n").alias("high"), "point")
+    out = None
+
+    def tie(table: pa.Table) -> pa.Table:
+        own = {x: table[x].to_numpy() for x in ("key", "c", "low", "high")}
+        order = np.lexsort((own["c"], own["low"]))
+        order = order[np.append(True, own["c"][order][1:] != own["c"][order][:-1])]
+        own = {x: v[order] for x, v in own.items()}
+        point = np.frombuffer(b"".join(table["point"].take(pa.array(order)).to_pylist()), dtype=np.uint8).reshape(-1, GROUPS)
+        label = survivors(point, own["low"], percent, own["high"])
+        by = np.argsort(label, kind="stable")
+        head = runs(label[by])[:-1]
+        tops = np.maximum.reduceat(point[by], head, axis=0).tobytes()
+        row = by[head]
+        other = np.flatnonzero(label != np.arange(len(label)))
+        up, tied = len(head), len(other)
+        none = pa.nulls(tied, pa.int64())
+        whole = lambda first, last: pa.concat_arrays([pa.array(first, pa.int64()), last if isinstance(last, pa.Array) else pa.array(last, pa.int64())])
+        return pa.table({
+            "key": whole(own["key"][row], own["key"][other]), "c": whole(own["c"][row], own["c"][label[other]]), "low": whole(own["low"][row], none),
+            "high": whole(np.maximum.reduceat(own["high"][by], head), none), "b": whole(pa.nulls(up, pa.int64()), own["c"][other]),
+            "point": pa.array([tops[i * GROUPS : (i + 1) * GROUPS] for i in range(up)] + [None] * tied, pa.binary()),
+        })
+
+    def level(given: DataFrame, *by: str) -> tuple[DataFrame, DataFrame]:
+        done = cut(given.groupBy("key", *by).applyInArrow(tie, f"{_BOX}, b long"), release=False)
+        return done.filter("b is null").drop("b"), done.filter("b is not null").select(F.col("c").alias("a"), "b")
+
+    before = None
+    while True:
+        sizes = cut(boxes.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), release=False)
+        total, most = sizes.agg(F.sum("n"), F.max("blocks")).first()
+        if not total:
+            return members.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0) if out is None else out
+        dealt = _salted(boxes, sizes.drop("n"), "key", "c").withColumn("block", F.pmod(F.xxhash64("c", F.lit(total)), F.col("blocks")).cast("int"))
+        last = before is not None and total > 0.8 * before
+        if last and most > 1:  # the bounds part most boxes: every pair of blocks has a task
+            pairs = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")})
+            ups, edges = level(pairs.drop("o", "block", "blocks"), "i", "j")
+        else:
+            ups, edges = level(dealt.drop("blocks"), "block")
+        out = edges if out is None else out.unionByName(edges)
+        if most == 1 or last:
+            return out
+        boxes, before = _salted(ups, sizes.filter("blocks > 1").select("key"), "key", "c"), total
+
+
+def _salted(many: DataFrame, few: DataFrame, on: str, by: str, salts: int = 16) -> DataFrame:
+    """Joins rows with a small table of which one row may meet very many: rows of one value are dealt to ``salts`` tasks."""
+    small = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return many.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).join(small, [on, "_salt"]).drop("_salt")
+
+
 def _forests(members: DataFrame, percent: int) -> DataFrame:
     """(a, b): under each key the spanning forest of the classes that the bounds let pass. ``members`` (key, n, c, point)
     comes sorted by key, n and c in partitions that hold keys whole."""
@@ -227,11 +291,11 @@ def _blocks(clusters: DataFrame, percent: int) -> DataFrame:
     all_of = clusters.groupBy("cluster").agg((F.count("*") <= BLOCK).alias("small"), F.sum("n").alias("hashes"))
     small = all_of.select("cluster", (F.col("small") & (F.col("hashes") <= BLOCK_HASHES)).alias("small"))
     width = math.log(100 / percent) + 0.001  # sizes of a link differ by less than this in their logarithms
-    banded = clusters.join(small, "cluster").withColumn("band", F.when(F.col("small"), 0).otherwise(F.floor(F.log(F.col("n")) / width)).cast("int")).drop("small")
+    banded = _salted(clusters, small, "cluster", "c").withColumn("band", F.when(F.col("small"), 0).otherwise(F.floor(F.log(F.col("n")) / width)).cast("int")).drop("small")
     sizes = banded.groupBy("cluster", "band").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_HASHES)).cast("int").alias("blocks"))
     plan = sizes.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("plan"))  # a few bands for each power of two
     at = lambda step: F.coalesce(F.try_element_at("plan", F.col("band") + step), F.lit(0))
-    return banded.join(plan, "cluster").select("d", "x", "c", "cluster", "band", at(0).alias("blocks"), at(-1).alias("below"), at(1).alias("above"))
+    return _salted(banded, plan, "cluster", "c").select("d", "x", "c", "cluster", "band", at(0).alias("blocks"), at(-1).alias("below"), at(1).alias("above"))
 
 
 def _deals() -> Column:
@@ -345,7 +409,9 @@ def _grouped(own: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Dat
     shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     members = cut(keys.join(shared, "key").distinct())
     points = members.join(classes.select("c", "n", "point"), "c").select("key", "n", "c", "point")
-    forests = _forests(points.repartition("key").sortWithinPartitions("key", "n", "c"), percent)
+    hot = cut(members.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key"), release=False)
+    forests = _forests(points.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key", "n", "c"), percent)
+    forests = forests.unionByName(_hot_forests(_salted(points, hot, "key", "c"), percent))
     of = lambda edges: _blocks(components(cut(edges.distinct(), release=False)).select(F.col("v").alias("c"), F.col("label").alias("cluster")).join(classes.select("c", "d", "x", "n"), "c"), percent)
     fine = _fine_forests(own, cut(of(forests)), shingle, percent)
     links = cut(_links(own, cut(of(fine)), shingle, percent))
