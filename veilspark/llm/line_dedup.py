@@ -70,7 +70,7 @@ def index_keys(edits: int) -> Column:
 
 
 def probe_keys(edits: int) -> Column:
-    """Keys that segments of lines up to ``edits`` shorter can have in this line."""
+    """Keys that segments of lines up to ``edits`` shorter can have in this line; null where one would reach beyond it."""
     keys = []
     for shorter in range(edits + 1):
         n = F.col("n") - shorter
@@ -81,7 +81,7 @@ def probe_keys(edits: int) -> Column:
             for shift in range(low, high + 1):
                 inside = (start + shift >= 0) & (start + shift + size <= F.col("n"))
                 keys.append(F.when(inside, _key(n, i, F.substring(F.col("line"), start + shift + 1, size))))
-    return F.array_distinct(F.array_compact(F.array(*keys)))
+    return F.array(*keys)
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -167,7 +167,7 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     known = lines.groupBy("h", "g").agg(F.min(F.struct("d", "pos")).alias("at"), F.count("*").alias("copies"), F.first("line").alias("line"))
     known = cut(known.withColumn("n", F.length("line")).withColumn("counts", letter_counts(F.col("line"))))
     index = known.select("h", "counts", F.explode(index_keys(edits)).alias("key"))
-    probe = known.select(F.col("h").alias("h2"), F.col("counts").alias("counts2"), F.explode(probe_keys(edits)).alias("key"))
+    probe = known.select(F.col("h").alias("h2"), F.col("counts").alias("counts2"), F.explode(probe_keys(edits)).alias("key")).filter("key is not null")
     fits = counts_fit(F.col("counts"), F.col("counts2"), edits)
     found = probe.join(index.hint("shuffle_hash"), (probe.key == index.key) & (F.col("h") != F.col("h2")) & fits)
     found = cut(found.select(F.least("h", "h2").alias("h"), F.greatest("h", "h2").alias("h2")).distinct())
