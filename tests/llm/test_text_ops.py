@@ -22,24 +22,31 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_substring_dedup_is_brute_force(spark):
-    given = awkward()
+@pytest.mark.parametrize("size", [1, 7, 20, 21, 45, 80])
+def test_substring_dedup_is_brute_force(spark, size):
+    shared = prose(500, 130)
+    given = [*awkward(), (60, f"{prose(501, 30)} {shared}", None), (61, f"{shared} {prose(502, 30)}", None)]
+    given += [(62 + i, " ".join([prose(503 + i, 9), *shared.split()[20 * i : 20 * i + 50]]), None) for i in range(4)]
     least = -(2**63)
     key = lambda i: least if i is None else i
     seen = {}
     for i, t, _ in given:
         w = SPACED.findall(t or "")
-        for p in range(len(w) - 19):
-            seen.setdefault(tuple(w[p : p + 20]), set()).add((key(i), p))
+        for p in range(len(w) - size + 1):
+            seen.setdefault(tuple(w[p : p + size]), set()).add((key(i), p))
     want = []
     for i, t, _ in given:
         w = SPACED.findall(t or "")
         gone = set()
-        for p in range(len(w) - 19):
-            if any((d, q) < (key(i), p) for d, q in seen[tuple(w[p : p + 20])]):
-                gone.update(range(p, p + 20))
+        for p in range(len(w) - size + 1):
+            if any((d, q) < (key(i), p) for d, q in seen[tuple(w[p : p + size])]):
+                gone.update(range(p, p + size))
         want.append((i, len(w), len(gone), " ".join(x for q, x in enumerate(w) if q not in gone)))
-    assert rows(substring_dedup.dedup_substrings(table(spark, given))) == sorted(want, key=repr)
+    assert rows(substring_dedup.dedup_substrings(table(spark, given), size)) == sorted(want, key=repr)
+
+
+def test_substring_dedup_doubles_until_nothing_survives():
+    assert [substring_dedup.lengths(n) for n in (1, 7, 20, 21, 45, 160)] == [[1, 1], [4, 7], [10, 20], [11, 21], [12, 23, 45], [10, 20, 40, 80, 160]]
 
 
 def test_substring_dedup_other_sizes_and_empty(spark):

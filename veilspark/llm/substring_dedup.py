@@ -3,12 +3,14 @@
 A word is removed if a window of ``window`` words that covers it also starts earlier in the corpus (a smaller doc_id, or the
 same document and an earlier start). The levels:
 
-1. *Half windows.* Of the half windows inside each window, the one with the least hash is its anchor; neighbouring windows
-   share it, so about 2 in ``window / 2 + 2`` positions are anchors, and equal windows have equal anchors. The windows of one
-   anchor are its chunk. Rows (anchor hash, chunk hash, doc_id) are pre-aggregated by anchor: an anchor of one document alone
-   ends here. Where all chunks of an anchor are equal, the whole chunk is a repeat in every document but the least.
-2. *Whole windows.* Anchors that repeat with different chunks are extended: each of their windows is the pair of its two half
-   windows, and the same aggregation finds those that another document has.
+1. *Shortest windows* (``lengths``: ``window`` halved until it is under 20 words, 10 for 20). Of those inside each window, the
+   one with the least hash is its anchor; neighbouring windows share it, so about 2 in ``window - shortest + 2`` positions are
+   anchors, and equal windows have equal anchors. The windows of one anchor are its chunk. Rows (anchor hash, chunk hash,
+   doc_id) are pre-aggregated by anchor: an anchor of one document alone ends here. Where all chunks of an anchor are equal,
+   the whole chunk is a repeat in every document but the least.
+2. *Twice that length, again and again up to* ``window``. What lies under anchors that repeat with different chunks is
+   extended: a window of the next length is the pair of its two halves (they share a word where the length is odd), is a
+   candidate only if both have survived, and survives if another document has it. Levels end where no candidate survives.
 
 Repeats inside one document are found in its own task. No text or group of occurrences is gathered: aggregations keep
 minima and maxima, and each document gets back the hashes that it has to drop. Joins back are equi-joins on a hash that
@@ -31,9 +33,19 @@ from .lineage import cut
 from .text_kernels import SPACED, Words, combine, cover, map_texts, mix, split_words, sums, windows
 
 WINDOW_WORDS = 20
+#: Levels start at this many words, or less than twice as many.
+FIRST_WORDS = 10
 _LEAST = -(2**63)
 
 
+def lengths(window: int) -> list[int]:
+    """Window lengths of the levels in ascending order, each at most twice the one before."""
+    out = [window]
+    while len(out) == 1 or out[0] >= 2 * FIRST_WORDS:
+        out.insert(0, -(-out[0] // 2))
+    return out
+
+
 def _argmin(v: np.ndarray, k: int) -> np.ndarray:
     """Index of the leftmost least value among the k from each place on, by doubling."""
     at, size = np.arange(len(v)), 1
@@ -50,18 +62,26 @@ def _argmin(v: np.ndarray, k: int) -> np.ndarray:
     return better(at, k - size) if size < k else at
 
 
+def _halves(w: Words, size: int, at: np.ndarray, known: dict[int, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the two halves of the windows of ``size`` words at the given places, which have as many words left."""
+    half = -(-size // 2)
+    hashed = (known or {}).get(half)
+    if hashed is None:
+        hashed = windows(w.hash, half)
+    return hashed[at], hashed[at + size - half]
+
+
 class Chunks:
     """Windows of the texts of one pass, their anchors and chunks."""
 
     def __init__(self, w: Words, window: int):
-        half = window // 2
-        self.half = windows(w.hash, half)
+        shortest = lengths(window)[0]
+        short = windows(w.hash, shortest)
         left = w.left()
         self.at = np.flatnonzero(left >= window)
-        ranked = np.where(left >= half, mix(self.half), np.uint64(2**64 - 1))
-        anchor = _argmin(ranked, window - half + 1)[self.at]
-        self.left_half, self.right_half = self.half[self.at], self.half[np.minimum(self.at + window - half, max(len(left) - 1, 0))]
-        self.whole = combine(self.left_half, self.right_half)
+        ranked = np.where(left >= shortest, mix(short), np.uint64(2**64 - 1))
+        anchor = _argmin(ranked, window - shortest + 1)[self.at]
+        self.whole = combine(*_halves(w, window, self.at, {shortest: short}))
         self.doc = w.doc[self.at]
         new = np.ones(len(self.at), dtype=bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (self.at[1:] != self.at[:-1] + 1)
@@ -69,10 +89,10 @@ class Chunks:
         self.size = np.diff(np.append(self.start, len(self.at)))
         self.chunk = np.cumsum(new) - 1
         head = anchor[self.start]
-        self.anchor = self.half[head]
+        self.anchor = short[head]
         self.chunk_doc = self.doc[self.start]
         last = self.start + self.size - 1
-        shape = (self.size * 64 + (head - self.at[self.start])).astype(np.uint64)
+        shape = (self.size * (window + 1) + (head - self.at[self.start])).astype(np.uint64)
         self.content = combine(combine(self.whole[self.start], self.whole[last]), mix(shape))
 
 
@@ -99,17 +119,26 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
     return map_texts(docs, work, [("anchor", "long"), ("content", "long")], keep={"d": F.col("d"), "k": F.col("k")})
 
 
-def _windows(docs: DataFrame, window: int) -> DataFrame:
-    """(d, k, left, right) of the windows under the anchors in the column ``open``."""
+def _windows(docs: DataFrame, window: int, size: int, first: bool) -> DataFrame:
+    """(d, k, left, right) of the windows of ``size`` words inside windows under the anchors in the column ``open``; but for the
+    first level, only those whose halves both stand in the columns ``left`` and ``right``."""
+    lists = ["open"] if first else ["open", "left", "right"]
 
     def work(data, offsets, part):
-        c = Chunks(split_words(data, offsets, SPACED), window)
-        inside = _listed(part.column(2), c.chunk_doc, c.anchor)[c.chunk]
-        at = np.flatnonzero(inside)
-        at = at[_first_of_each(c.whole[at], c.doc[at])]
-        return c.doc[at], {"left": c.left_half[at].view(np.int64), "right": c.right_half[at].view(np.int64)}
+        w = split_words(data, offsets, SPACED)
+        c = Chunks(w, window)
+        under = c.at[_listed(part.column(2), c.chunk_doc, c.anchor)[c.chunk]]
+        at = np.flatnonzero(cover(under, under + window - size + 1, len(w.doc)))
+        if not first:
+            half = -(-size // 2)
+            for p in (0, size - half):
+                at = at[_pair_listed(part.column(3), part.column(4), combine(*_halves(w, half, at + p)), w.doc[at])]
+        left, right = _halves(w, size, at)
+        own = _first_of_each(combine(left, right), w.doc[at])
+        return w.doc[at[own]], {"left": left[own].view(np.int64), "right": right[own].view(np.int64)}
 
-    return map_texts(docs, work, [("left", "long"), ("right", "long")], keep={x: F.col(x) for x in ("d", "k", "open")}).drop("open")
+    keep = {"d": F.col("d"), "k": F.col("k"), **{f"list_{x}": F.col(x) for x in lists}}
+    return map_texts(docs, work, [("left", "long"), ("right", "long")], keep=keep).drop(*[f"list_{x}" for x in lists])
 
 
 def _listed(column: pa.Array, doc: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -137,11 +166,20 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS) -> tuple[DataF
         F.collect_set(F.when(~F.col("differs"), F.col("anchor"))).alias("closed"), F.collect_set(F.when(F.col("differs"), F.col("anchor"))).alias("open")
     )
     level = cut(level)
-    pairs = _windows(own.join(level.filter(F.size("open") > 0).select("d", "k", "open").hint("shuffle_hash"), ["d", "k"]), window)
-    both = pairs.groupBy("left", "right").agg(*span).filter("least < most").select("left", "right", "least")
-    again = pairs.join(both, ["left", "right"]).filter("d > least")
-    # A window's own hash is made from its two halves in the task, as Chunks does.
-    return level, cut(again.groupBy("d", "k").agg(F.collect_list("left").alias("left"), F.collect_list("right").alias("right")))
+    alive = level.filter(F.size("open") > 0).select("d", "k", "open")
+    for i, size in enumerate(lengths(window)[1:]):
+        pairs = _windows(own.join(alive.hint("shuffle_hash"), ["d", "k"]), window, size, i == 0)
+        both = pairs.groupBy("left", "right").agg(*span).filter("least < most").select("left", "right", "least")
+        again = pairs.join(both, ["left", "right"])
+        if size == window:
+            again = again.filter("d > least")
+        # A window's own hash is made from its two halves in the task, as Chunks does.
+        again = cut(again.groupBy("d", "k").agg(F.collect_list("left").alias("left"), F.collect_list("right").alias("right")))
+        if size < window:
+            if again.isEmpty():
+                break
+            alive = level.select("d", "k", "open").join(again, ["d", "k"])
+    return level, again
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
@@ -156,7 +194,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
         gone = _listed(part.column(1), c.chunk_doc, c.anchor)[c.chunk] if len(c.at) else np.zeros(0, dtype=bool)
         later = np.ones(len(c.at), dtype=bool)
         later[_first_of_each(c.whole, c.doc)] = False
-        gone = gone | later | _pair_listed(part.column(2), part.column(3), c)
+        gone = gone | later | _pair_listed(part.column(2), part.column(3), c.whole, c.doc)
         at = c.at[gone]
         removed = cover(at, at + window, len(w.doc))
         kept, offset = join_words(w, ~removed)
@@ -168,9 +206,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     return out.drop("closed", "left", "right")
 
 
-def _pair_listed(left: pa.Array, right: pa.Array, c: Chunks) -> np.ndarray:
+def _pair_listed(left: pa.Array, right: pa.Array, value: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether each window, by the hash of its halves, stands in the lists of its document."""
     (a, owner), (b, _) = _flat(left), _flat(right)
-    return np.isin(combine(c.whole, c.doc.astype(np.uint64)), combine(combine(a, b), owner))
+    return np.isin(combine(value, doc.astype(np.uint64)), combine(combine(a, b), owner))
 
 
 def join_words(w: Words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
