@@ -238,11 +238,11 @@ def vault_rows(spark, sf_dir):
 
 def _event_vault(spark, sf_dir) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return vault.vault_rows(events.filter("event_id % 3 = 0").withColumn("v", F.col("user_id").cast("string")), "v", F.col("ts"), 86400, KEY)
+    return vault.vault_rows(events.filter("event_type = 'purchase'").withColumn("v", F.col("user_id").cast("string")), "v", F.col("ts"), 86400, KEY)
 
 
 def live_mapping(spark, sf_dir):
-    """Users' tokens: a mapping is put by the user's last third event and read by each event of theirs."""
+    """Users' tokens: a mapping is put by the user's last purchase of all and read by each event of theirs."""
     events = table(spark, sf_dir, "events")
     reads = events.select("event_id", C.make_token(F.col("user_id").cast("string"), KEY).alias("token"), F.col("ts").alias("read_ts"))
     return vault.live(reads, _event_vault(spark, sf_dir)).select("event_id", "token", "original")
@@ -297,10 +297,10 @@ def restore_gate(spark, sf_dir):
 
 
 def forged_tokens(spark, sf_dir):
-    """Tokens of documents that the mappings of even ones don't have."""
+    """Tokens of documents that the mappings of English ones don't have."""
     docs = table(spark, sf_dir, "documents")
-    done = docs.select("doc_id", redaction.redact_text(F.col("text"), rules_named(["ipv4"]), KEY).alias("r"))
-    known = done.filter("doc_id % 2 = 0").select(F.explode("r.tokens").alias("token", "original"))
+    done = docs.select("doc_id", "lang", redaction.redact_text(F.col("text"), rules_named(["ipv4"]), KEY).alias("r"))
+    known = done.filter("lang = 'en'").select(F.explode("r.tokens").alias("token", "original"))
     return vault.forged(done.select("doc_id", "r.text"), known, "doc_id", "text")
 
 
@@ -393,8 +393,8 @@ QUERIES |= {
     )
 }
 _AT = f"({START} + to_minutes(CAST(doc_id AS BIGINT)))"
-_VAULT = f"SELECT {_sql_hmac('CAST(user_id AS VARCHAR)')} AS token, CAST(user_id AS VARCHAR) AS original, max(ts) AS put_ts, max(ts) + INTERVAL 86400 SECOND AS expires_at FROM events WHERE event_id % 3 = 0 GROUP BY user_id"
-_SIGNUP = "event_type = 'signup'"
+_VAULT = f"SELECT {_sql_hmac('CAST(user_id AS VARCHAR)')} AS token, CAST(user_id AS VARCHAR) AS original, max(ts) AS put_ts, max(ts) + INTERVAL 86400 SECOND AS expires_at FROM events WHERE event_type = 'purchase' GROUP BY user_id"
+_PURCHASE, _SIGNUP = "event_type = 'purchase'", "event_type = 'signup'"
 _EMAIL = next(r[1] for r in VALUE_RULES if r[0] == "email")
 _IPV4 = next(r[1] for r in VALUE_RULES if r[0] == "ipv4")
 SQL |= {
@@ -417,11 +417,11 @@ SELECT doc_id, sha256(coalesce(array_to_string(list_transform(p, lambda x: CASE
 FROM (SELECT unnest({_sql_hits('text', _EMAIL, None)}) AS original, {_AT} AS put_ts FROM documents) GROUP BY original""",
     "live_mapping": f"WITH v AS ({_VAULT}) SELECT event_id, token, original FROM events JOIN v ON v.original = CAST(user_id AS VARCHAR) WHERE put_ts <= ts AND ts <= expires_at",
     "compact_vault": f"WITH v AS ({_VAULT}) SELECT token, original FROM v WHERE expires_at >= (SELECT max(ts) FROM events) ORDER BY put_ts DESC, token LIMIT 100",
-    "live_mapping_by_signup": f"WITH v AS ({_VAULT.replace('event_id % 3 = 0', _SIGNUP)}) SELECT event_id, token, original FROM events JOIN v ON v.original = CAST(user_id AS VARCHAR) WHERE put_ts <= ts AND ts <= expires_at",
-    "compact_vault_all_events": f"WITH v AS ({_VAULT.replace('WHERE event_id % 3 = 0 ', '')}) SELECT token, original FROM v WHERE expires_at >= (SELECT max(ts) FROM events) ORDER BY put_ts DESC, token LIMIT 100",
+    "live_mapping_by_signup": f"WITH v AS ({_VAULT.replace(_PURCHASE, _SIGNUP)}) SELECT event_id, token, original FROM events JOIN v ON v.original = CAST(user_id AS VARCHAR) WHERE put_ts <= ts AND ts <= expires_at",
+    "compact_vault_all_events": f"WITH v AS ({_VAULT.replace(f'WHERE {_PURCHASE} ', '')}) SELECT token, original FROM v WHERE expires_at >= (SELECT max(ts) FROM events) ORDER BY put_ts DESC, token LIMIT 100",
     "dedupe_vault": f"SELECT DISTINCT {_sql_hmac('CAST(user_id AS VARCHAR)')} AS token, CAST(user_id AS VARCHAR) AS original FROM events",
-    "forged_tokens": f"""WITH h AS (SELECT DISTINCT doc_id, unnest({_sql_hits('text', _IPV4, None)}) AS x FROM documents)
-SELECT doc_id, {_sql_hmac('x')} AS token FROM h WHERE x NOT IN (SELECT x FROM h WHERE doc_id % 2 = 0)""",
+    "forged_tokens": f"""WITH h AS (SELECT DISTINCT doc_id, lang, unnest({_sql_hits('text', _IPV4, None)}) AS x FROM documents)
+SELECT DISTINCT doc_id, {_sql_hmac('x')} AS token FROM h WHERE x NOT IN (SELECT x FROM h WHERE lang = 'en')""",
     "luhn_check": f"SELECT o_orderkey, {_sql_luhn('x')} AS valid FROM (SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 13, '4') AS x FROM orders)",
     "china_id_check": f"SELECT o_orderkey, {_sql_china('x')} AS valid FROM (SELECT o_orderkey, '1' || lpad(CAST(o_orderkey AS VARCHAR), 16, '0') || CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE CAST(o_orderkey % 10 AS VARCHAR) END AS x FROM orders)",
     "ascii_lower": f"SELECT doc_id, sha256(translate(text, '{C._UPPER}', '{C._LOWER}')) AS lower_sha256 FROM documents",
