@@ -422,6 +422,8 @@ FROM (SELECT unnest({_sql_hits('text', _EMAIL, None)}) AS original, {_AT} AS put
     "dedupe_vault": f"SELECT DISTINCT {_sql_hmac('CAST(user_id AS VARCHAR)')} AS token, CAST(user_id AS VARCHAR) AS original FROM events",
     "forged_tokens": f"""WITH h AS (SELECT DISTINCT doc_id, lang, unnest({_sql_hits('text', _IPV4, None)}) AS x FROM documents)
 SELECT DISTINCT doc_id, {_sql_hmac('x')} AS token FROM h WHERE x NOT IN (SELECT x FROM h WHERE lang = 'en')""",
+    "forged_tokens_by_source": f"""WITH {_REDACTED}, known AS (SELECT unnest(made) AS t FROM redacted JOIN documents USING (doc_id) WHERE source = (SELECT min(source) FROM documents))
+SELECT DISTINCT doc_id, t AS token FROM (SELECT doc_id, unnest(regexp_extract_all(text, {_sql_text(C.TOKEN)})) AS t FROM redacted) WHERE t NOT IN (SELECT t FROM known)""",
     "luhn_check": f"SELECT o_orderkey, {_sql_luhn('x')} AS valid FROM (SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 13, '4') AS x FROM orders)",
     "china_id_check": f"SELECT o_orderkey, {_sql_china('x')} AS valid FROM (SELECT o_orderkey, '1' || lpad(CAST(o_orderkey AS VARCHAR), 16, '0') || CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE CAST(o_orderkey % 10 AS VARCHAR) END AS x FROM orders)",
     "ascii_lower": f"SELECT doc_id, sha256(translate(text, '{C._UPPER}', '{C._LOWER}')) AS lower_sha256 FROM documents",
