@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import benchmark_decontamination as op10
 from . import chat_formatting as op4
+from . import conversation_repair as op13
 from . import language_id as op3
 from . import license_scans as op9
 from . import line_dedup as op6
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_quality_rules": op8.op8_quality_rules,
     "op9_license_scans": op9.op9_license_scans,
     "op10_benchmark_decontamination": op10.op10_benchmark_decontamination,
+    "op13_conversation_repair": op13.op13_conversation_repair,
 }
 SQL = {
     "op1_substring_dedup": op1.SQL,
