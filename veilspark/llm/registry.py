@@ -11,6 +11,7 @@ from . import line_dedup as op6
 from . import quality_rules as op8
 from . import ngram_jaccard as op2
 from . import sentencepiece_codec as op5
+from . import source_mixing as op12
 from . import substring_dedup as op1
 from . import url_filters as op7
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality_rules": op8.op8_quality_rules,
     "op9_license_scans": op9.op9_license_scans,
     "op10_benchmark_decontamination": op10.op10_benchmark_decontamination,
+    "op12_source_mixing": op12.op12_source_mixing,
     "op13_conversation_repair": op13.op13_conversation_repair,
 }
 SQL = {
