@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import benchmark_decontamination as op10
 from . import chat_formatting as op4
 from . import conversation_repair as op13
+from . import hard_negatives as op11
 from . import language_id as op3
 from . import license_scans as op9
 from . import line_dedup as op6
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_quality_rules": op8.op8_quality_rules,
     "op9_license_scans": op9.op9_license_scans,
     "op10_benchmark_decontamination": op10.op10_benchmark_decontamination,
+    "op11_hard_negatives": op11.op11_hard_negatives,
     "op12_source_mixing": op12.op12_source_mixing,
     "op13_conversation_repair": op13.op13_conversation_repair,
 }
@@ -37,4 +39,5 @@ SQL = {
     "op6_line_dedup": op6.SQL,
     "op6_line_dedup_short_copies": op6.SHORT_COPIES_SQL,
     "op10_benchmark_decontamination": op10.SQL,
+    "op11_hard_negatives": op11.SQL,
 }
