@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .lineage import cut
 
 #: Documents that are rounded together; a hot source has many such parts.
-PART_ROWS = 20_000
+PART_ROWS = 2_000
 #: Most Newton steps; halving alone would need fewer.
 MAX_STEPS = 100
 _UNIT = 1024
