@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.rules import ALL_VALUES, FIELD_RULES, VALUE_RULES, RuleSet, effective_rules, rule_table, rules_named
 from ..operators import findings, redaction, requests, vault
-from ..sources.tables import materialize
+from ..sources.scratch import cut
 from ..streaming.chunks import chunk_order as order_of, late_rows, stitch_text as stitched
 
 KEY = b"an example key; give your own"
@@ -224,7 +224,7 @@ def redact_nested_columns(spark, sf_dir):
 
 def _redacted(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents")
-    done = materialize(docs.select("doc_id", redaction.redact_text(F.col("text"), ALL_VALUES, KEY).alias("r")))
+    done = cut(docs.select("doc_id", redaction.redact_text(F.col("text"), ALL_VALUES, KEY).alias("r")))
     mapping = done.select(F.explode("r.tokens").alias("token", "original")).distinct()
     return done.select("doc_id", "r.text"), mapping
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.rules import FIELD_RULES, VALUE_RULES, RuleSet, effective_rules, rules_named
 from ..operators import findings, requests, responses
-from ..sources.tables import materialize
+from ..sources.scratch import cut
 from ..streaming import chunks
 from .queries import KEY, _SEEDED, _sql_hits, _sql_hmac, _sql_text, seeded, sql_redacted, table
 
@@ -45,7 +45,7 @@ def request_formats(spark, sf_dir):
 
 def redact_again(spark, sf_dir):
     """A second pass with the mapping table of the first: nothing fires, and bodies come back byte for byte."""
-    first = materialize(_done(spark, sf_dir).select("request_id", "source_format", "result.body", "result.tokens"))
+    first = cut(_done(spark, sf_dir).select("request_id", "source_format", "result.body", "result.tokens"))
     known = first.select(F.explode("tokens").alias("token", "original")).select("token").distinct()
     again = requests.redact_requests(first.drop("tokens"), effective_rules(), KEY, vault=known)
     return again.select("request_id", F.size("result.findings").cast("long").alias("n_findings"), F.sha2("result.body", 256).alias("again_sha256"), F.sha2("body", 256).alias("body_sha256")).withColumn("same", F.col("again_sha256") == F.col("body_sha256")).select("request_id", "n_findings", "same")
@@ -117,7 +117,7 @@ def redact_json_text(spark, sf_dir):
 
 def _redacted(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """(doc_id, request_id, body as sent) and the mapping of all of it."""
-    done = materialize(_done(spark, sf_dir).select("doc_id", "request_id", "source_format", "result.body", "result.tokens"))
+    done = cut(_done(spark, sf_dir).select("doc_id", "request_id", "source_format", "result.body", "result.tokens"))
     return done.drop("tokens"), done.select(F.explode("tokens").alias("token", "original")).distinct()
 
 
@@ -149,7 +149,7 @@ def token_labels(spark, sf_dir):
 
 def restore_chunks(spark, sf_dir):
     """Redacted documents streamed as deltas of 40 characters, which cut tokens: put together, the texts come back."""
-    done = materialize(requests.redact_requests(bodies(spark, sf_dir).withColumn("source_format", F.lit("openai-image")).withColumn("body", F.to_json(F.struct(F.col("text").alias("prompt")))), effective_rules(), KEY).select("request_id", "result.body", "result.tokens"))
+    done = cut(requests.redact_requests(bodies(spark, sf_dir).withColumn("source_format", F.lit("openai-image")).withColumn("body", F.to_json(F.struct(F.col("text").alias("prompt")))), effective_rules(), KEY).select("request_id", "result.body", "result.tokens"))
     mapping = done.select(F.explode("tokens").alias("token", "original")).distinct()
     text = F.get_json_object("body", "$.prompt")
     at = F.timestamp_seconds(F.lit(0))

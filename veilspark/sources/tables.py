@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +19,6 @@ def read_traffic(spark: SparkSession, kind: str, path: str, streaming: bool = Fa
     return reader.schema(SCHEMAS[kind]).format(form).load(path)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """A table that is used more than once and costly to make: written to the shared folder that spark.checkpoint.dir names, or kept
-    by the executors where the session names none."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if not folder:
-        return df.persist()
-    path = f"{folder.rstrip('/')}/veilspark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _append(df: DataFrame, path: str, batch: int | None, *by: str) -> None:
     """Adds rows; those of a numbered batch take the place of what an earlier try of the same batch wrote."""
     if batch is None:
