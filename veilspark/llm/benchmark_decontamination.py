@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .lineage import cut
+from ..sources.scratch import cut
 from .text_kernels import ALNUM, cover, map_texts, runs, split_words, windows
 
 WINDOW_WORDS = 10
@@ -135,7 +135,7 @@ def _merged(spans: Column) -> Column:
 def _hits(docs: DataFrame, benchmark: DataFrame, size: int, max_bytes: int, keep: dict) -> DataFrame:
     """The ``keep`` columns, n_words, items and spans of every row of ``docs``."""
     found = benchmark_windows(benchmark, size).groupBy("n_words", "hash", "words").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    found = cut(found, release=False)
+    found = cut(found)
     total = found.agg(F.sum(F.octet_length("words") + F.octet_length(F.array_join("items", "")) + 16 * F.size("items") + 32).alias("n")).first()[0] or 0
     ordered = found.orderBy("n_words", "hash", "words")
     if total <= max_bytes:

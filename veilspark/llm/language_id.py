@@ -1,7 +1,7 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
 Grams of 1 to 4 characters of the lower-cased (A-Z) text are hashed into ``BUCKETS``; grams without any letter are left out.
-Training counts them for each language over at most ``MAX_TRAIN_DOCS`` whole texts (those with the smallest hashes of doc_id
+Training counts them for each language over at most ``MAX_TRAIN_DOCS`` whole texts (those with the smallest hashes of doc_id, text and language
 among the training rows); the smoothed log-probability matrix (BUCKETS x languages) is broadcast, and its size is fixed.
 Scoring gathers the matrix rows of all grams of a batch and sums them by text: a sparse count matrix times a dense one.
 
@@ -73,9 +73,9 @@ class Model:
 def train(docs: DataFrame, is_training: Column, max_docs: int = MAX_TRAIN_DOCS) -> Model | None:
     """Counts grams by language over the chosen training rows in Spark; at most BUCKETS counts a language reach the driver."""
     own = docs.filter(is_training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    key = F.xxhash64(F.col("doc_id").cast("string"))
-    # The max_docs smallest hashes; rows whose hash ties with the last one come along.
-    bound = own.select(key.alias("h")).orderBy("h").limit(max_docs).agg(F.max("h")).first()[0]
+    own = own.select(F.xxhash64(F.col("doc_id").cast("string"), "text", F.col("lang").cast("string")).alias("h"), "text", "lang")
+    # The max_docs smallest hashes; of rows that are equal one takes part.
+    bound = own.select("h").orderBy("h").limit(max_docs).agg(F.max("h")).first()[0]
     if bound is None:
         return None
 
@@ -93,7 +93,7 @@ def train(docs: DataFrame, is_training: Column, max_docs: int = MAX_TRAIN_DOCS)
         rows = [names.index(x) for x in languages]
         return np.array(rows, dtype=np.int64)[i], {"bucket": j.astype(np.int32), "n": count[i, j]}
 
-    chosen = own.filter(key <= F.lit(bound))
+    chosen = own.filter(F.col("h") <= F.lit(bound)).dropDuplicates(["h"])
     counts = map_texts(chosen, work, [("bucket", "int"), ("n", "long")], keep={"lang": F.col("lang").cast("string")})
     summed = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     prior = {r.lang: r.n for r in chosen.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count("*").alias("n")).collect()}

@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .lineage import cut
+from ..sources.scratch import cut
 
 EDITS = 2
 MIN_CHARS = 20
@@ -171,13 +171,13 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     fits = counts_fit(F.col("counts"), F.col("counts2"), edits)
     found = probe.join(index.hint("shuffle_hash"), (probe.key == index.key) & (F.col("h") != F.col("h2")) & fits)
     found = cut(found.select(F.least("h", "h2").alias("h"), F.greatest("h", "h2").alias("h2")).distinct())
-    ids = cut(found.select("h").unionByName(found.select(F.col("h2").alias("h"))).distinct(), release=False)
+    ids = cut(found.select("h").unionByName(found.select(F.col("h2").alias("h"))).distinct())
     texts = cut(known.join(ids, "h", "left_semi").select("h", "g", "at", "line"))
     one = texts.select("h", F.col("g").alias("g1"), F.col("at").alias("at1"), F.col("line").alias("line1"))
     two = texts.select(F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("at").alias("at2"), F.col("line").alias("line2"))
     near = found.join(one, "h").join(two, "h2").filter("at1 <> at2").filter(similar(F.col("line1"), F.col("line2"), edits))
     later = near.select(F.when(F.col("at1") < F.col("at2"), F.struct("h2", "g2")).otherwise(F.struct(F.col("h").alias("h2"), F.col("g1").alias("g2"))).alias("x")).select(F.col("x.h2").alias("h"), F.col("x.g2").alias("g")).distinct()
-    later = cut(later.withColumn("near", F.lit(True)), release=False)
+    later = cut(later.withColumn("near", F.lit(True)))
     marked = known.select("h", "g", "at", "copies").join(later, ["h", "g"], "left").filter("copies > 1 or near").select("h", "g", "at", F.coalesce("near", F.lit(False)).alias("near"))
     gone = lines.select("d", "k", "pos", "h", "g").join(marked, ["h", "g"]).filter(F.col("near") | (F.struct("d", "pos") > F.col("at")))
     return gone.groupBy("d", "k").agg(F.collect_set("pos").alias("gone"))

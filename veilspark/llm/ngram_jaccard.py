@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .lineage import cut
+from ..sources.scratch import cut
 from .text_kernels import SPACED, combine, map_texts, mix, runs, split_words, windows
 
 SHINGLE, PERCENT = 4, 85
@@ -110,8 +110,8 @@ def _heads(docs: DataFrame, shingle: int, percent: int, frequent) -> DataFrame:
 
 def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
     """Sorted hashes of grams that stand in SAMPLE_HITS of at most SAMPLE_DOCS documents: bounded by the sample."""
-    key = F.xxhash64("d")
-    bound = docs.select(key.alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    own = docs.select("d", "text", F.xxhash64("d", "text").alias("h"))
+    bound = own.select("h").orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
     if bound is None:
         return np.zeros(0, dtype=np.uint64)
 
@@ -119,7 +119,7 @@ def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
         doc, value, _ = gram_sets(data, offsets, shingle)
         return doc, {"g": value.view(np.int64)}
 
-    grams = map_texts(docs.filter(key <= F.lit(bound)), work, [("g", "long")], keep={"d": F.col("d")})
+    grams = map_texts(own.filter(F.col("h") <= F.lit(bound)).dropDuplicates(["h"]), work, [("g", "long")], keep={"d": F.col("d")})
     often = grams.groupBy("g").agg(F.count("*").alias("k")).filter(F.col("k") >= SAMPLE_HITS).select("g").toArrow()
     return np.sort(often["g"].to_numpy().astype(np.int64).view(np.uint64))
 
@@ -193,12 +193,12 @@ def _hot_forests(members: DataFrame, percent: int) -> DataFrame:
         })
 
     def level(given: DataFrame, *by: str) -> tuple[DataFrame, DataFrame]:
-        done = cut(given.groupBy("key", *by).applyInArrow(tie, f"{_BOX}, b long"), release=False)
+        done = cut(given.groupBy("key", *by).applyInArrow(tie, f"{_BOX}, b long"))
         return done.filter("b is null").drop("b"), done.filter("b is not null").select(F.col("c").alias("a"), "b")
 
     before = None
     while True:
-        sizes = cut(boxes.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), release=False)
+        sizes = cut(boxes.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
         total, most = sizes.agg(F.sum("n"), F.max("blocks")).first()
         if not total:
             return members.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0) if out is None else out
@@ -274,13 +274,13 @@ def _forests(members: DataFrame, percent: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(v, label): for every end of an edge (a, b) the least number that its component holds. Each round takes the least label
     around every vertex and then that label's own label, until none moves."""
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), release=False)
-    labels = cut(both.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("label")), release=False)
+    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut(both.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("label")))
     while True:
         near = both.join(labels.select(F.col("v").alias("b"), "label"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("least"))
         least = labels.join(near, "v").select("v", F.col("label").alias("was"), F.least("label", "least").alias("label"))
         jump = labels.select(F.col("v").alias("label"), F.col("label").alias("next"))
-        moved = cut(least.join(jump, "label", "left").select("v", "was", F.least("label", "next").alias("label")), release=False)
+        moved = cut(least.join(jump, "label", "left").select("v", "was", F.least("label", "next").alias("label")))
         if moved.filter("label <> was").isEmpty():
             return labels
         labels = moved.select("v", "label")
@@ -409,10 +409,10 @@ def _grouped(own: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Dat
     shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     members = cut(keys.join(shared, "key").distinct())
     points = members.join(classes.select("c", "n", "point"), "c").select("key", "n", "c", "point")
-    hot = cut(members.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key"), release=False)
+    hot = cut(members.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key"))
     forests = _forests(points.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key", "n", "c"), percent)
     forests = forests.unionByName(_hot_forests(_salted(points, hot, "key", "c"), percent))
-    of = lambda edges: _blocks(components(cut(edges.distinct(), release=False)).select(F.col("v").alias("c"), F.col("label").alias("cluster")).join(classes.select("c", "d", "x", "n"), "c"), percent)
+    of = lambda edges: _blocks(components(cut(edges.distinct())).select(F.col("v").alias("c"), F.col("label").alias("cluster")).join(classes.select("c", "d", "x", "n"), "c"), percent)
     fine = _fine_forests(own, cut(of(forests)), shingle, percent)
     links = cut(_links(own, cut(of(fine)), shingle, percent))
     labels = components(links).select(F.col("v").alias("c"), "label")

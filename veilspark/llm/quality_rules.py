@@ -187,8 +187,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
         return None, statistics(data, offsets)
 
     keep = {"doc_id": F.col("doc_id"), "quality": F.col("quality")}
-    # A bounded number of rows of a few numbers each; documents that share a doc_id are used once.
-    table = map_texts(labelled, work, [(c, "long") for c in COUNTS], keep=keep).dropDuplicates(["doc_id"]).orderBy("doc_id").limit(max_rows).toArrow()
+    # A bounded number of rows of a few numbers each. Of documents that share a doc_id the one with the least numbers is used.
+    rows = map_texts(labelled, work, [(c, "long") for c in COUNTS], keep=keep)
+    least = rows.groupBy("doc_id", "quality").agg(F.min(F.struct(*COUNTS)).alias("s")).select("doc_id", "quality", "s.*")
+    table = least.orderBy("doc_id").limit(max_rows).toArrow()
     stats = {c: table[c].to_numpy() for c in COUNTS}
     return fit(features(stats), (table["quality"].to_numpy() > 0).astype(np.float64))
 

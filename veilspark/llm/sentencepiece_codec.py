@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text_kernels import _BYTE_HASH, _power, bound_batches, lists, map_texts, mix
+from .text_kernels import bound_batches, lists, map_texts, mix, placed
 from .text_kernels import pieces as cuts
 
 MODEL = "piece_bpe_32k.model"
@@ -140,9 +140,13 @@ class Matcher:
             key |= fill[free]
         # Place of each id's score, best first; equal scores share one.
         self.rank = np.unique(-pieces.score, return_inverse=True)[1]
+        self.forget()
+
+    def forget(self) -> None:
+        """Units known by hash: where their ids begin and how many they are, and their bytes."""
         self.known = np.zeros(0, dtype=U)
-        self.begin = self.count = np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=np.int32)
+        self.begin = self.count = self.byte_begin = np.zeros(0, dtype=np.int64)
+        self.ids, self.bytes = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.uint8)
 
     def edges(self, data: np.ndarray, at: np.ndarray, end: np.ndarray) -> Edges:
         """The edges that start at the places ``at``, in units that end at ``end``."""
@@ -170,14 +174,13 @@ class Matcher:
         which = np.repeat(np.arange(len(count)), count)
         return at[order[np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)]], which
 
-    def remember(self, h: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
-        """Adds units by hash; what is known so far goes where it would grow beyond its bound."""
-        old = len(self.ids) + len(ids) <= MEMORY
-        before = (self.known, self.begin, self.count, self.ids) if old else (h[:0], count[:0], count[:0], ids[:0])
-        known, begin = np.concatenate((before[0], h)), np.concatenate((before[1], np.cumsum(count) - count + len(before[3])))
+    def remember(self, h: np.ndarray, ids: np.ndarray, count: np.ndarray, data: np.ndarray, begin: np.ndarray) -> None:
+        """Adds units by hash, with their ids and their bytes, which begin at these places of ``data``."""
+        known, own = np.concatenate((self.known, h)), np.concatenate((self.begin, np.cumsum(count) - count + len(self.ids)))
         order = np.argsort(known)
-        self.known, self.begin, self.count = known[order], begin[order], np.concatenate((before[2], count))[order]
-        self.ids = np.concatenate((before[3], ids))
+        self.byte_begin = np.concatenate((self.byte_begin, begin + len(self.bytes)))[order]
+        self.known, self.begin, self.count = known[order], own[order], np.concatenate((self.count, count))[order]
+        self.ids, self.bytes = np.concatenate((self.ids, ids)), np.concatenate((self.bytes, data))
 
     def knows(self, h: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.known, h), max(len(self.known) - 1, 0))
@@ -295,31 +298,35 @@ def encode_units(m: Matcher, data: np.ndarray, first: np.ndarray, stop: np.ndarr
 
 
 def _units(m: Matcher, buffer: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, begin, count): ids of all units of a pass, and where those of each one begin and how many they are."""
+    """(ids, begin, count): ids of all units of a pass, and where those of each one begin and how many they are. Units are looked up by
+    hash and then compared by their bytes; one whose bytes differ is matched on its own."""
     step = np.arange(len(buffer), dtype=np.int32)
     step -= np.repeat(first.astype(np.int32), size)
     np.minimum(step, LONG_BYTES - 1, out=step)
-    h = _BYTE_HASH[buffer]
-    h *= _power(LONG_BYTES)[step]
+    h = placed(buffer, step)
     del step
     h = mix(np.add.reduceat(h, first) + size.astype(U))
     short = size <= LONG_BYTES
     own, one = np.unique(h[short], return_index=True)
     one = np.flatnonzero(short)[one]
     new = ~m.knows(own)
-    if len(m.ids) + int(size[one[new]].sum()) > MEMORY:
+    if len(m.bytes) + int(size[one[new]].sum()) > MEMORY:
         new[:] = True  # the units known so far go, so that those of this pass have room
-        m.known, m.begin, m.count, m.ids = m.known[:0], m.begin[:0], m.count[:0], m.ids[:0]
+        m.forget()
     some = one[new]
     length = size[some]
     begin = np.cumsum(length) - length
     data = buffer[np.repeat(first[some] - begin, length) + np.arange(int(length.sum()))]
-    m.remember(own[new], *encode_units(m, data, begin, begin + length))
+    m.remember(own[new], *encode_units(m, data, begin, begin + length), data, begin)
     ids, starts, counts = [m.ids], np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
     at = np.searchsorted(m.known, h[short])
     starts[short], counts[short] = m.begin[at], m.count[at]
+    known = np.zeros(len(first), dtype=np.int64)
+    known[short] = m.byte_begin[at]
+    known = m.bytes[np.minimum(np.repeat((known - first) * short, size) + np.arange(len(buffer)), max(len(m.bytes) - 1, 0))] if len(m.bytes) else buffer
+    alone = ~short | np.logical_or.reduceat(known != buffer, first)
     total = len(m.ids)
-    for i in np.flatnonzero(~short):
+    for i in np.flatnonzero(alone):
         more, n = encode_units(m, buffer[first[i] : first[i] + size[i]], np.zeros(1, dtype=np.int64), size[i : i + 1])
         ids.append(more)
         starts[i], counts[i] = total, n[0]

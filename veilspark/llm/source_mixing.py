@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .lineage import cut
+from ..sources.scratch import cut
 
 #: Documents that are rounded together; a hot source has many such parts.
 PART_ROWS = 2_000
@@ -102,7 +102,7 @@ def tilts(rows: DataFrame, wanted: DataFrame, most: int = 3) -> DataFrame:
         inside = (F.col("slope") > 0) & (F.col("low").isNull() | (step > F.col("low"))) & (F.col("high").isNull() | (step < F.col("high")))
         halved = F.when(F.col("low").isNull(), F.col("high") - 1 - F.abs("high")).when(F.col("high").isNull(), F.col("low") + 1 + F.abs("low")).otherwise((F.col("low") + F.col("high")) / 2)
         moved = state.join(sums, "rank", "left").withColumns({"low": F.coalesce(low, "low"), "high": F.coalesce(high, "high"), "done": F.col("done") | near})
-        state = cut(moved.withColumn("tilt", F.when(F.col("done"), F.col("tilt")).when(inside, step).otherwise(halved)).select(*state.columns), release=False)
+        state = cut(moved.withColumn("tilt", F.when(F.col("done"), F.col("tilt")).when(inside, step).otherwise(halved)).select(*state.columns))
     return state.select(*wanted.columns, "full", "tilt")
 
 

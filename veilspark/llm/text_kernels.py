@@ -51,17 +51,19 @@ ALNUM = _table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
 LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], dtype=np.uint8)
 #: One random-looking 64-bit value per byte value.
 _BYTE_HASH = mix(np.arange(1, 257, dtype=U) * _K1)
-_BASE = U(0xD1342543DE82EF95)
-_powers = np.ones(1, dtype=U)
-
-
-def _power(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        grown = np.full(max(n, 2 * len(_powers)), _BASE, dtype=U)
-        grown[0] = 1
-        _powers = np.multiply.accumulate(grown)
-    return _powers[:n]
+#: Places of a word whose values are looked up.
+_NEAR = 64
+_NEAR_HASH = mix(np.add.outer(np.arange(_NEAR, dtype=U) * _K1, _BYTE_HASH)).ravel()
+
+
+def placed(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A value for each byte and its place, with no relation between places, so that sums over a word tell strings apart that are
+    made to cancel in a polynomial."""
+    out = _NEAR_HASH[np.minimum(place, _NEAR - 1) << 8 | data]
+    far = np.flatnonzero(place >= _NEAR)
+    if len(far):
+        out[far] = mix(_BYTE_HASH[data[far]] + place[far].astype(U) * _K1)
+    return out
 
 
 @dataclass
@@ -109,8 +111,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower:
         place = np.arange(len(data), dtype=np.int32)
         place -= np.repeat(np.concatenate(([0], start)).astype(np.int32), np.diff(np.concatenate(([0], start, [len(data)]))))
         np.minimum(place, int(length.max()) - 1, out=place)
-        weighted = _BYTE_HASH[data]
-        weighted *= _power(int(length.max()))[place]
+        weighted = placed(data, place)
         weighted[~inside] = 0
         value = np.add.reduceat(weighted, start)
         value = mix(value + length.astype(U) * _K1)
