@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.llm import benchmark_decontamination, line_dedup, ngram_jaccard, quality_rules, sentencepiece_codec
-from veilspark.llm.lineage import shared_folder
+from veilspark.sources.scratch import delete, shared_folder, temporary
 
 #: Near copies: five words and a similarity of 0.8.
 SHINGLE, PERCENT = 5, 80
@@ -55,12 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents, each written as Parquet in the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    """Applies the stages to documents, each written as Parquet in the shared folder and read again. A stage's own tables, and the
+    table that it has read, are deleted once it is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+        with temporary(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
+    return STAGES[-1][1](spark, docs, sf_dir)
