@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import all_tokens, media_route
 from ..functions.restoring import Restorer
-from .vault import MAX_TOKENS, allowlist
+from .vault import MAX_TOKENS, allowlist, dedupe
 
 ORIGINALS = "map<string,string>"
 
@@ -29,13 +31,16 @@ def unrestored_tokens(responses: DataFrame, requests: DataFrame, vault: DataFram
 
 
 def originals_for(rows: DataFrame, requests: DataFrame, vault: DataFrame, most: int = MAX_TOKENS) -> DataFrame:
-    """(request_id, originals): what may come back in ``rows`` (request_id, body, and ts where mappings expire)."""
-    allowed = allowlist(requests, vault, "request_id", "body", most)
-    timed = "ts" in rows.columns and "expires_at" in vault.columns
-    wanted = said_tokens(rows, "body").join(allowed, ["request_id", "token"], "left_semi").join(vault.select("token", "original", *(["expires_at"] if timed else [])), "token")
-    if timed:
-        wanted = wanted.join(rows.select("request_id", "ts"), "request_id").filter("ts <= expires_at")
-    return wanted.groupBy("request_id").agg(F.map_from_entries(F.collect_set(F.struct("token", "original"))).alias("originals"))
+    """(request_id, originals): what may come back in ``rows`` (request_id, body). Where rows have ``ts`` and mappings expire, by request_id and
+    ts: each response gets what is still held at its own time."""
+    mapping = dedupe(vault)
+    key = ["request_id", "ts"] if "ts" in rows.columns and "expires_at" in mapping.columns else ["request_id"]
+    allowed = allowlist(requests, mapping, "request_id", "body", most)
+    said = rows.select(*key, F.explode(F.array_distinct(all_tokens(F.col("body")))).alias("token")).distinct()
+    wanted = said.join(allowed, ["request_id", "token"], "left_semi").join(mapping, "token")
+    if len(key) == 2:
+        wanted = wanted.filter("ts <= expires_at")
+    return wanted.groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("token", "original"))).alias("originals"))
 
 
 def restore_responses(responses: DataFrame, requests: DataFrame, vault: DataFrame) -> DataFrame:
@@ -48,6 +53,8 @@ def restore_responses(responses: DataFrame, requests: DataFrame, vault: DataFram
         return pd.Series(done, dtype=object)
 
     columns = responses.columns
-    joined = responses.join(originals_for(responses, requests, vault), "request_id", "left")
+    maps = originals_for(responses, requests, vault)
+    own = [c for c in maps.columns if c != "originals"]
+    joined = responses.alias("r").join(maps.alias("m"), reduce(Column.__and__, [F.col(f"r.{c}").eqNullSafe(F.col(f"m.{c}")) for c in own]), "left").select("r.*", "m.originals")
     body = run("body", media_route(F.col("content_type")), "source_format", "originals")
     return joined.withColumn("body", body).select(*columns)

@@ -18,13 +18,19 @@ def vault_rows(found: DataFrame, value: str, at: Column, ttl_seconds: int, key:
 
 
 def dedupe(vault: DataFrame) -> DataFrame:
-    """One row for each token: the one that expires last."""
-    return vault.groupBy("token").agg(F.max_by("original", F.struct("expires_at", "original")).alias("original"), F.max("put_ts").alias("put_ts"), F.max("expires_at").alias("expires_at"))
+    """One row for each token: the original that expires last, and the last put, expiry and use (a put or a read) where the table has
+    them. Rows of reads (original null) count as uses alone; a token without a put is left out."""
+    times = [c for c in ("put_ts", "expires_at", "used_ts") if c in vault.columns]
+    by = F.struct(*[c for c in ("expires_at", "original") if c in vault.columns])
+    put = F.col("original").isNotNull()
+    merged = vault.groupBy("token").agg(F.max_by(F.when(put, F.col("original")), F.when(put, by)).alias("original"), *[F.max(c).alias(c) for c in times])
+    return merged.filter("original is not null")
 
 
 def compact(vault: DataFrame, now: Column, most: int) -> DataFrame:
-    """The ``most`` rows used last that haven't expired, ties by token."""
-    return vault.filter(F.col("expires_at") >= now).orderBy(F.col("put_ts").desc(), "token").limit(most)
+    """The ``most`` rows used last (by a put, or a read where there is ``used_ts``) that haven't expired, ties by token."""
+    used = F.greatest(*[c for c in ("put_ts", "used_ts") if c in vault.columns]) if "used_ts" in vault.columns else F.col("put_ts")
+    return vault.filter(F.col("expires_at") >= now).orderBy(used.desc(), "token").limit(most)
 
 
 def live(reads: DataFrame, vault: DataFrame) -> DataFrame:
@@ -59,7 +65,7 @@ def restore_text(text: Column, originals: Column, token: str = r"<[^<>\r\n]+_[0-
 
 def restore(responses: DataFrame, requests: DataFrame, vault: DataFrame, key: str, text: str, request_text: str) -> DataFrame:
     """Responses with the tokens put back that their own request carried and the vault knows. Everything else stays."""
-    allowed = allowlist(requests, vault, key, request_text)
-    wanted = request_tokens(responses, key, text).join(allowed, [key, "token"], "left_semi").join(vault.select("token", "original"), "token")
+    allowed, mapping = allowlist(requests, vault, key, request_text), dedupe(vault)
+    wanted = request_tokens(responses, key, text).join(allowed, [key, "token"], "left_semi").join(mapping.select("token", "original"), "token")
     maps = wanted.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("token", "original"))).alias("_originals"))
     return responses.join(maps, key, "left").withColumn(text, restore_text(F.col(text), F.col("_originals"))).drop("_originals")

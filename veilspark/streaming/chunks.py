@@ -1,7 +1,10 @@
 """Restoring streamed chunks: one keyed state for each request, as a batch job and as a stream that give the same rows.
 
-Originals are joined to the init row alone, so chunks carry no mapping and the state holds what its own request may get back.
-Rows of a request are worked on in order of time and chunk index; a state ends with its completion or after five idle minutes.
+Originals are joined to the init row alone, so chunks carry no mapping and the state holds what its own request may get back. Chunks are
+worked on in order of their index, whatever order they come in and whatever their clocks say. As a stream, a chunk in turn goes out at
+once; what comes early waits until the watermark passes it, and is then worked on without what is missing. State is gone once the watermark has passed
+a completion, or five minutes without a chunk; a mark of a completion goes with the five minutes. A chunk behind the watermark is
+dropped by Spark. A chunk that a stream has given out before the completion that refuses it came can't be taken back; a table's is refused.
 """
 
 from __future__ import annotations
@@ -15,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.columns import media_route
-from ..functions.restoring import advance
-from ..operators.vault import MAX_TOKENS, allowlist
+from ..functions.streams import Session, restore_all
+from ..operators.vault import MAX_TOKENS, allowlist, dedupe
 
 OUT = "request_id string, chunk_index int, body string, dropped boolean, error string"
 
@@ -24,29 +27,30 @@ OUT = "request_id string, chunk_index int, body string, dropped boolean, error s
 def events(chunks: DataFrame, completions: DataFrame, originals: DataFrame | None = None) -> DataFrame:
     """Chunks and completions as rows of one kind. ``originals`` (request_id, originals as JSON) is joined where it isn't there yet."""
     rows = chunks if originals is None else chunks.join(originals, (chunks.request_id == originals.request_id) & (chunks.chunk_index == -1), "left").select(chunks["*"], originals.originals)
-    at = F.col("ts").cast("double").alias("ts")
-    own = rows.select("request_id", "chunk_index", at, "source_format", media_route(F.col("content_type")).alias("route"), "body", "originals")
+    own = rows.select("request_id", "chunk_index", "ts", "source_format", media_route(F.col("content_type")).alias("route"), "body", "originals")
     none = F.lit(None).cast("string")
-    done = completions.select("request_id", F.lit(None).cast("int").alias("chunk_index"), at, none.alias("source_format"), none.alias("route"), none.alias("body"), none.alias("originals"))
+    done = completions.select("request_id", F.lit(None).cast("int").alias("chunk_index"), "ts", none.alias("source_format"), none.alias("route"), none.alias("body"), none.alias("originals"))
     return own.unionByName(done)
 
 
 def stream_originals(inits: DataFrame, vault: DataFrame, most: int = MAX_TOKENS) -> DataFrame:
     """(request_id, originals): token -> [original, the second it expires] as JSON, for the first ``most`` tokens of each init."""
     asked = inits.filter("chunk_index = -1").select("request_id", F.col("request_body").alias("body"))
-    expires = F.col("expires_at").cast("double") if "expires_at" in vault.columns else F.lit(None).cast("double")
-    known = allowlist(asked, vault, "request_id", "body", most).join(vault.select("token", F.struct("original", expires.alias("expires")).alias("o")), "token")
+    mapping = dedupe(vault)
+    expires = F.col("expires_at").cast("double") if "expires_at" in mapping.columns else F.lit(None).cast("double")
+    known = allowlist(asked, mapping, "request_id", "body", most).join(mapping.select("token", F.struct("original", expires.alias("expires")).alias("o")), "token")
     return known.groupBy("request_id").agg(F.to_json(F.map_from_entries(F.collect_set(F.struct("token", "o")))).alias("originals"))
 
 
 def _rows(data: pd.DataFrame) -> list[dict]:
-    own = data.assign(late=data.chunk_index.isna()).sort_values(["ts", "late", "chunk_index"], kind="stable")
     out = []
-    for r in own.to_dict("records"):
+    for r in data.to_dict("records"):
         known = json.loads(r["originals"]) if isinstance(r["originals"], str) else {}
-        r["originals"] = {t: [o["original"], o.get("expires")] for t, o in known.items()}
-        r["chunk_index"] = None if pd.isna(r["chunk_index"]) else int(r["chunk_index"])
-        out.append(r)
+        text = lambda c: r[c] if isinstance(r[c], str) else None  # noqa: E731, B023
+        out.append({
+            "chunk_index": None if pd.isna(r["chunk_index"]) else int(r["chunk_index"]), "ts": r["seconds"], "body": text("body"), "route": text("route"),
+            "source_format": text("source_format"), "originals": {t: [o["original"], o.get("expires")] for t, o in known.items()},
+        })
     return out
 
 
@@ -58,33 +62,120 @@ def restore_chunks(chunks: DataFrame, completions: DataFrame, vault: DataFrame)
     """(request_id, chunk_index, body, dropped, error) of all chunks of a table; a request's rows are the only ones that meet."""
 
     def one(key: tuple, data: pd.DataFrame) -> pd.DataFrame:
-        return _frame(key[0], advance(None, _rows(data))[1])
+        return _frame(key[0], restore_all(_rows(data)))
+
+    rows = events(chunks, completions, stream_originals(chunks, vault)).withColumn("seconds", F.col("ts").cast("double")).drop("ts")
+    return rows.groupBy("request_id").applyInPandas(one, OUT)
+
+
+class Stored:
+    """A request's state in Spark's state store: one entry for each original, channel, waiting chunk and piece of an event, so that a
+    batch reads and writes those it names alone."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self._head = handle.getValueState("head", "head string")
+        self._originals = handle.getMapState("originals", "token string", "original string, expires double")
+        self._channels = handle.getMapState("channels", "name string", "channel string")
+        self._waiting = handle.getMapState("waiting", "chunk_index int", "row string")
+        self._pieces = handle.getListState("pieces", "piece string")
+        self.handle = handle
+
+    def load(self) -> None:
+        """The head of the request whose rows come next."""
+        self.head = json.loads(self._head.get()[0]) if self._head.exists() else None
+
+    def save(self, deadline: float | None) -> None:
+        """Keeps the head, and one timer for when there is something to do without rows."""
+        head, at = self.head, None if deadline is None else int(deadline * 1000)
+        was = [int(t) for t in self.handle.listTimers()]
+        for t in was:
+            if t != at:
+                self.handle.deleteTimer(t)
+        if at is not None and at not in was:
+            self.handle.registerTimer(at)
+        if head is not None:
+            self._head.update((json.dumps(head),))
+        elif self._head.exists():
+            self._head.clear()
+
+    def original(self, token: str) -> list | None:
+        own = self._originals.getValue((token,))
+        return None if own is None else [own[0], own[1]]
+
+    def put_originals(self, originals: dict[str, list]) -> None:
+        self._originals.clear()
+        for token, own in originals.items():
+            self._originals.updateValue((token,), tuple(own))
+
+    def channel(self, name: str) -> list | None:
+        own = self._channels.getValue((name,))
+        return None if own is None else json.loads(own[0])
+
+    def put_channel(self, name: str, value: list | None) -> None:
+        if value is None:
+            self._channels.removeKey((name,))
+        else:
+            self._channels.updateValue((name,), (json.dumps(value),))
+
+    def channels(self) -> list[str]:
+        return [k[0] for k in self._channels.keys()]
+
+    def waiting(self) -> list[int]:
+        return sorted(k[0] for k in self._waiting.keys())
+
+    def put_waiting(self, index: int, row: dict) -> None:
+        self._waiting.updateValue((index,), (json.dumps(row),))
+
+    def take_waiting(self, index: int) -> dict | None:
+        own = self._waiting.getValue((index,))
+        if own is not None:
+            self._waiting.removeKey((index,))
+        return None if own is None else json.loads(own[0])
+
+    def push(self, piece: str) -> None:
+        self._pieces.appendValue((piece,))
 
-    return events(chunks, completions, stream_originals(chunks, vault)).groupBy("request_id").applyInPandas(one, OUT)
+    def take_pieces(self) -> str:
+        out = "".join(p[0] for p in self._pieces.get())
+        self._pieces.clear()
+        return out
+
+    def clear(self, waiting: bool = True) -> None:
+        for own in (self._originals, self._channels, self._pieces, *([self._waiting] if waiting else [])):
+            own.clear()
 
 
 class ChunkProcessor(StatefulProcessor):
-    """The same for a stream; the state is one JSON text for each request."""
+    """The same for a stream, with event-time timers."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "state string")
+        self.store = Stored(handle)
+
+    def _done(self, key, rows: list[dict], timers) -> Iterator[pd.DataFrame]:
+        self.store.load()
+        session, done = Session(self.store), []
+        for row in rows:
+            done += session.add(row)
+        done += session.pass_time(timers.getCurrentWatermarkInMs() / 1000)
+        self.store.save(session.deadline())
+        yield _frame(key[0], done)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        old = json.loads(self.state.get()[0]) if self.state.exists() else None
-        new, done = advance(old, _rows(pd.concat(list(rows))))
-        if new is None:
-            self.state.clear()
-        else:
-            self.state.update((json.dumps(new),))
-        yield _frame(key[0], done)
+        data = pd.concat(list(rows)).sort_values(["seconds", "chunk_index"], kind="stable", na_position="last")
+        yield from self._done(key, _rows(data), timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        yield from self._done(key, [], timerValues)
 
     def close(self) -> None:
         pass
 
 
-def restore_chunk_stream(rows: DataFrame) -> DataFrame:
-    """The restored chunks of a stream of ``events`` (with originals on init rows, from ``stream_originals``)."""
-    return rows.groupBy("request_id").transformWithStateInPandas(statefulProcessor=ChunkProcessor(), outputStructType=OUT, outputMode="Append", timeMode="None")
+def restore_chunk_stream(rows: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """The restored chunks of a stream of ``events`` (with originals on init rows, from ``stream_originals``). ``delay`` is how much later
+    than younger rows a row may come. Needs the state store that is kept in RocksDB."""
+    own = rows.withWatermark("ts", delay).withColumn("seconds", F.col("ts").cast("double"))
+    return own.groupBy("request_id").transformWithStateInPandas(statefulProcessor=ChunkProcessor(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
 
 
 def chunk_order(chunks: DataFrame, key: str = "request_id", index: str = "chunk_index") -> DataFrame:
