@@ -47,10 +47,18 @@ def canonical_tokens(text: Column) -> Column:
     return F.regexp_replace(text, r"(?<!\\)\\u003[cC]([^<>\r\n\\]+_[0-9a-f]{16})\\u003[eE]", r"<$1>")
 
 
+def json_characters(text: Column) -> Column:
+    r"""JSON text with its ``\uXXXX`` escapes of printable ASCII as the characters themselves. An escaped backslash becomes a line feed, so
+    that what follows it is no escape and nothing joins across it; all else stays."""
+    parts = F.split(F.replace(text, F.lit("\\\\"), F.lit("\n")), r"\\u")
+    one = lambda p: F.when(p.rlike(r"\A00[2-7][0-9a-fA-F]"), F.concat(F.char(F.conv(F.substring(p, 1, 4), 16, 10).cast("int")), F.substring(p, F.lit(5), F.length(p)))).otherwise(F.concat(F.lit("\\u"), p))
+    return F.array_join(F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), one)), "")
+
+
 def all_tokens(text: Column) -> Column:
-    """Token-shaped parts as they stand, then those with escaped brackets."""
+    """Token-shaped parts as they stand, then those with characters escaped as JSON allows."""
     none = F.array().cast("array<string>")
-    return F.concat(tokens_in(text), F.when(F.contains(text, F.lit("\\u003")), tokens_in(canonical_tokens(text))).otherwise(none))
+    return F.concat(tokens_in(text), F.when(F.contains(text, F.lit("\\u00")), tokens_in(json_characters(text))).otherwise(none))
 
 
 def token_tail(text: Column, label: str | None = None) -> Column:

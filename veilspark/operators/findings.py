@@ -27,6 +27,34 @@ def count_by_rule(found: DataFrame, *by: str) -> DataFrame:
     return found.groupBy("rule", *by).agg(F.sum("n").alias("hits"), F.count("*").alias("rows"))
 
 
+def rule_values(df: DataFrame, text: str, rules: tuple[ValueRule, ...] = ALL_VALUES, *keep: str) -> DataFrame:
+    """One row per hit: the ``keep`` columns, seq (the rule's place), rule and value."""
+    given, look = looked_at(df, text, *keep)
+
+    def named(place: int, rule: ValueRule) -> Column:
+        return F.transform(hits(F.col("_text"), rule, look), lambda v: F.struct(F.lit(place).alias("seq"), F.lit(rule.name).alias("rule"), v.alias("value")))
+
+    found = F.flatten(F.array(*[named(i, r) for i, r in enumerate(rules)]))
+    return given.select(*keep, F.explode(found).alias("f")).select(*keep, "f.*")
+
+
+def count_values(values: DataFrame, *by: str) -> DataFrame:
+    """Hits and distinct values by rule and ``by``: as many tokens as values, since a token stands for one value. Values are pre-aggregated
+    by rule and ``by`` before they are counted."""
+    each = values.groupBy("rule", *by, "value").agg(F.count("*").alias("n"))
+    return each.groupBy("rule", *by).agg(F.sum("n").alias("hits"), F.count("*").alias("n_tokens"))
+
+
+def value_sketches(values: DataFrame, *by: str, bits: int = 14) -> DataFrame:
+    """(rule, by..., sketch): HyperLogLog sketches of the values, of fixed size, that any later job can merge. They hold no plain text."""
+    return values.groupBy("rule", *by).agg(F.hll_sketch_agg("value", bits).alias("sketch"))
+
+
+def estimate_values(sketches: DataFrame, *by: str) -> DataFrame:
+    """(rule, by..., n_tokens): sketches merged by rule and ``by``, and what they estimate."""
+    return sketches.groupBy("rule", *by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_tokens"))
+
+
 def rules_of_keys(keys: DataFrame, key: str, catalog: DataFrame) -> DataFrame:
     """By key: the first field rule that has it, if any, and how often it stands. The catalog is a table of fixed size."""
     own = catalog.filter("kind = 'field'").select(F.explode("keys").alias("_key"), "name", "place")

@@ -102,12 +102,16 @@ class RequestRedactor(See):
             return value
 
 
-def with_known(requests: DataFrame, vault: DataFrame) -> DataFrame:
-    """``requests`` with ``known``: those tokens of each body that the vault (token) has. Tokens are looked for as they stand and
-    with escaped brackets. Bodies don't take part in the joins but the last, which is by request_id."""
-    found = requests.select("request_id", F.explode(F.array_distinct(all_tokens(F.col("body")))).alias("token"))
-    lists = found.join(vault.select("token").distinct(), "token", "left_semi").groupBy("request_id").agg(F.collect_set("token").alias("known"))
-    return requests.join(lists, "request_id", "left")
+def with_known(requests: DataFrame, vault: DataFrame | None) -> DataFrame:
+    """``requests`` with ``known``: those tokens of each body that the vault (token) has; where requests have ``ts`` and mappings expire, still has
+    then. Tokens are looked for as they stand and with escapes. Bodies don't take part in the joins but the last, which is by request_id."""
+    if vault is None:
+        return requests.withColumn("known", F.lit(None).cast("array<string>"))
+    timed = "ts" in requests.columns and "expires_at" in vault.columns
+    held = vault.groupBy("token").agg(F.max("expires_at").alias("_until")) if timed else vault.select("token").distinct()
+    found = requests.select("request_id", *(["ts"] if timed else []), F.explode(F.array_distinct(all_tokens(F.col("body")))).alias("token"))
+    found = found.join(held, "token").filter("ts <= _until") if timed else found.join(held, "token", "left_semi")
+    return requests.join(found.groupBy("request_id").agg(F.collect_set("token").alias("known")), "request_id", "left")
 
 
 def redact_requests(df: DataFrame, rules: RuleSet, key: bytes, label: str = "REDACTED", vault: DataFrame | None = None, mode: str = "filter") -> DataFrame:
@@ -116,15 +120,19 @@ def redact_requests(df: DataFrame, rules: RuleSet, key: bytes, label: str = "RED
 
     Tokens that ``vault`` has stay as they are; all else of a token's shape is plain text. Without a vault rows are worked on
     where they are. In block mode a row ends at its first finding, and no token is made."""
+    return redact_known(with_known(df, vault), rules, key, label, mode).drop("known")
+
+
+def redact_known(df: DataFrame, rules: RuleSet, key: bytes, label: str = "REDACTED", mode: str = "filter") -> DataFrame:
+    """``redact_requests`` where the tokens to keep stand in the column ``known``."""
     work = RequestRedactor(rules, key, label, mode == "block")
-    given = df.withColumn("known", F.lit(None).cast("array<string>")) if vault is None else with_known(df, vault)
 
     @F.pandas_udf(RESULT)
     def run(kinds: pd.Series, bodies: pd.Series, known: pd.Series) -> pd.DataFrame:
         done = [work(k, b, frozenset(t) if t is not None else frozenset()) for k, b, t in zip(kinds, bodies, known, strict=True)]
         return pd.DataFrame(done, columns=["body", "rules", "tokens", "findings", "error_path", "error"])
 
-    return given.withColumn("result", run("source_format", "body", "known")).drop("known")
+    return df.withColumn("result", run("source_format", "body", "known"))
 
 
 def findings_of(done: DataFrame, *keep: str) -> DataFrame:

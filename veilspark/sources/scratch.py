@@ -57,6 +57,16 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
+def numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n of the finished tables ``path/name=n``, in order."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jvm.Path(path)):
+        return []
+    found = [f.getPath().getName() for f in fs.listStatus(jvm.Path(path)) if f.isDirectory()]
+    return sorted(int(f.removeprefix(f"{name}=")) for f in found if f.startswith(f"{name}=") and fs.exists(jvm.Path(f"{path}/{f}/_SUCCESS")))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Deletes a table's files, wherever Spark's file systems reach."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
