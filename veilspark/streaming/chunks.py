@@ -27,9 +27,10 @@ OUT = "request_id string, chunk_index int, body string, dropped boolean, error s
 def events(chunks: DataFrame, completions: DataFrame, originals: DataFrame | None = None) -> DataFrame:
     """Chunks and completions as rows of one kind. ``originals`` (request_id, originals as JSON) is joined where it isn't there yet."""
     rows = chunks if originals is None else chunks.join(originals, (chunks.request_id == originals.request_id) & (chunks.chunk_index == -1), "left").select(chunks["*"], originals.originals)
-    own = rows.select("request_id", "chunk_index", "ts", "source_format", media_route(F.col("content_type")).alias("route"), "body", "originals")
+    at = F.col("ts").cast("timestamp").alias("ts")
+    own = rows.select("request_id", "chunk_index", at, "source_format", media_route(F.col("content_type")).alias("route"), "body", "originals")
     none = F.lit(None).cast("string")
-    done = completions.select("request_id", F.lit(None).cast("int").alias("chunk_index"), "ts", none.alias("source_format"), none.alias("route"), none.alias("body"), none.alias("originals"))
+    done = completions.select("request_id", F.lit(None).cast("int").alias("chunk_index"), at, none.alias("source_format"), none.alias("route"), none.alias("body"), none.alias("originals"))
     return own.unionByName(done)
 
 
