@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import dialect
+
 # Field rules, (name, keys); all on by default.
 FIELD_RULES = [
     ("password", ["password", "passwd", "pwd"]),
@@ -68,10 +70,11 @@ def is_address(pattern: str) -> bool:
 
 def linear(pattern: str) -> str:
     """The same hits from an engine that backtracks: the optional prefix of config rules starts only where a name can start, the
-    local part of an address there or where the hit before ended, and word borders and digits are ASCII."""
+    local part of an address there or where the hit before ended, word borders and digits are ASCII, and white space has no vertical tab."""
     pattern = pattern.replace(_BACKTRACK, "(?:(?<![\\w.-])[\\w.-]*[_.-])?")
     if is_address(pattern):
         pattern = f"(?:\\G|{_ADDRESS_START}){pattern}"
+    pattern = re.sub(r"\[\\s\\S\]|\\s|\\S", lambda m: {"\\s": "[\\t\\n\\f\\r ]", "\\S": "[^\\t\\n\\f\\r ]"}.get(m[0], m[0]), pattern)
     if pattern.startswith("\\b") and pattern.endswith("\\b"):
         pattern = f"(?<![0-9A-Za-z_]){pattern[2:-2]}(?![0-9A-Za-z_])"
     return pattern
@@ -102,15 +105,17 @@ class ValueRule:
 
     @property
     def has_group(self) -> bool:
-        return re.compile(self.pattern).groups > 0
+        return dialect.groups(self.pattern) > 0
 
     @property
     def java(self) -> str:
-        return linear(self.pattern)
+        return linear(self.pattern) if self.built_in else dialect.java(self.pattern)
 
     @property
     def python(self) -> Callable[[str], Iterator[re.Match]]:
         r"""All hits in a text, as ``java`` finds them. Python's re has no \G: an address is tried where the last hit ended first."""
+        if not self.built_in:
+            return dialect.find(self.pattern)
         if not is_address(self.pattern):
             return re.compile(self.java, re.ASCII).finditer
         here, ahead = re.compile(self.pattern, re.ASCII), re.compile(_ADDRESS_START + self.pattern, re.ASCII)
@@ -167,8 +172,8 @@ class Settings:
                 raise ValueError("a rule needs a name")
             if r.pattern is not None:
                 try:
-                    re.compile(r.pattern)
-                except re.error as e:
+                    dialect.groups(r.pattern)
+                except ValueError as e:
                     raise ValueError(f"rule {r.name}: {e}") from e
         return self
 

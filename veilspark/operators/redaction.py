@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import dialect
 from ..functions.columns import has_hit, looked_at, make_token
 from ..functions.rules import FieldRule, RuleSet, ValueRule
 from ..functions.scan import TextRedactor
@@ -101,7 +102,7 @@ only those in ``known`` (an array of tokens that have a mapping) stay.
         whole = F.concat(F.lit(_DONE), whole) if mark else whole
         out = plain(value, mark)
         for fit, r in reversed(fits):
-            fit = fit & F.coalesce(value.rlike(r.pattern), F.lit(False)) if r.pattern else fit
+            fit = fit & F.coalesce(value.rlike(dialect.java(r.pattern)), F.lit(False)) if r.pattern else fit
             out = F.when(fit, whole).otherwise(out)
         return out
 

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import dialect
 from ..functions.columns import all_tokens
 from ..functions.regions import FORMATS, SHAPES, Listing, Malformed, See, is_text, read_json, read_request, write_json
 from ..functions.rules import RuleSet
@@ -39,7 +40,7 @@ class RequestRedactor(See):
         self.keys: dict[str, list] = {}
         for r in rules.fields:
             for k in {k.lower() for k in r.keys}:
-                self.keys.setdefault(k, []).append((r.name, re.compile(r.pattern) if r.pattern else None))
+                self.keys.setdefault(k, []).append((r.name, re.compile(dialect.python(r.pattern)) if r.pattern else None))
 
     def __call__(self, source_format: str | None, body: str | None, known: frozenset[str] = frozenset()) -> tuple:
         self.known, self.findings, self.made = known, [], {}
