@@ -11,6 +11,7 @@ from ..functions import columns as C
 from ..functions.rules import ALL_VALUES, FIELD_RULES, VALUE_RULES, RuleSet, effective_rules, rule_table, rules_named
 from ..operators import findings, redaction, requests, vault
 from ..sources.scratch import cut
+from ..sources.tables import spread
 from ..streaming.chunks import chunk_order as order_of, late_rows, stitch_text as stitched
 
 KEY = b"an example key; give your own"
@@ -19,7 +20,8 @@ START = "TIMESTAMP '2024-01-01 00:00:00'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "pages") else df  # whose texts cost much more than their reading
 
 
 #: A made-up text for each value rule, so that all of them meet hits: document i holds that of rule i modulo their number.

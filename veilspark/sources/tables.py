@@ -18,6 +18,19 @@ SCHEMAS = {
 }
 
 
+#: A table beyond this size is read where it is, however few its files are.
+SMALL_BYTES = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table of fewer files than the cluster has cores, dealt out evenly: a file may be a single row group, and so all the work
+    would be one task's. Other tables stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores or df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() > SMALL_BYTES:
+        return df
+    return df.repartition(cores)
+
+
 def read_traffic(spark: SparkSession, kind: str, path: str, streaming: bool = False, form: str = "parquet") -> DataFrame:
     """One of SCHEMAS from files, as a table or as a stream."""
     reader = spark.readStream if streaming else spark.read
