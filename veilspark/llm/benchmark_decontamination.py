@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
+from ..sources.tables import spread
 from .text_kernels import ALNUM, cover, map_texts, runs, split_words, windows
 
 WINDOW_WORDS = 10
@@ -172,7 +173,7 @@ def clean_texts(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS,
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate(docs, benchmark)
     return found.select(

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
 from .text_kernels import LOWER, map_texts
 
 BUCKETS = 1 << 15
@@ -143,6 +144,6 @@ def held_out() -> Column:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     model = train(docs.select("doc_id", "text", "lang"), ~held_out())
     return predict(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held_out()})

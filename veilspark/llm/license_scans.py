@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
 from .text_kernels import ALNUM, lists, map_texts, split_words
 
 # Phrases of the contract and their labels.
@@ -184,5 +185,5 @@ def scan_licenses(docs: DataFrame, keep: dict | None = None) -> DataFrame:
 
 
 def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = scan_licenses(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")

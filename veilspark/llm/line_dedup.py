@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
+from ..sources.tables import spread
 
 EDITS = 2
 MIN_CHARS = 20
@@ -207,13 +208,13 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
 def op6_line_dedup_short_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup with exact copies of short lines."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
     return dedup_lines(docs, short_copies=True).select("doc_id", "n_lines_removed", F.sha2("text", 256).alias("text_sha256"))
 
 

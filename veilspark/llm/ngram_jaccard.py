@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
+from ..sources.tables import spread
 from .text_kernels import SPACED, combine, map_texts, mix, runs, split_words, windows
 
 SHINGLE, PERCENT = 4, 85
@@ -450,7 +451,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
+    return jaccard_components(spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))).select("doc_id", "n_shingles", "component_id")
 
 
 SQL = r"""

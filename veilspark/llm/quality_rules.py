@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
 from .text_kernels import SPACED, combine, cover, map_texts, runs, split_words, sums, windows
 
 MIN_WORDS = 50
@@ -209,6 +210,6 @@ def judge(docs: DataFrame, trees: Trees | None, keep: dict | None = None, min_sc
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     trees = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judge(docs, trees).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")

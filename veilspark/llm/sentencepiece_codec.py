@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import spread
 from .text_kernels import bound_batches, lists, map_texts, mix, placed
 from .text_kernels import pieces as cuts
 
@@ -413,7 +414,7 @@ def decode(encoded: DataFrame, pieces: Pieces, keep: list[str] | None = None, id
 def op5_sentencepiece_codec(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     """Ids of every document, and whether decoding them gives its text back."""
     pieces = load_pieces(model or default_model())
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     encoded = encode(docs, pieces, keep={"doc_id": F.col("doc_id"), "text_sha256": F.sha2("text", 256)})
     back = decode(encoded, pieces, keep=["doc_id", "text_sha256", "ids", "n_tokens"])
     return back.select("doc_id", "n_tokens", "ids", F.sha2("text", 256).eqNullSafe(F.col("text_sha256")).alias("round_trip"))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
+from ..sources.tables import spread
 
 #: Documents that are rounded together; a hot source has many such parts.
 PART_ROWS = 2_000
@@ -158,7 +159,7 @@ def mixed(docs: DataFrame, weight: Column, most: int = 3, part_rows: int = PART_
 
 
 def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = copies_of(spark.read.parquet(f"{sf_dir}/documents.parquet"), cycled(1, 2, 3))
+    done = copies_of(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")), cycled(1, 2, 3))
     # Equal rows again one by one, in blocks.
     blocks = done.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(1024))).alias("block"))
     each = blocks.select("*", F.explode(F.sequence(F.col("block"), F.least(F.col("block") + 1023, F.col("n") - 1))).alias("place"))

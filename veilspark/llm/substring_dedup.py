@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
+from ..sources.tables import spread
 from .text_kernels import SPACED, Words, combine, cover, map_texts, mix, split_words, sums, windows
 
 WINDOW_WORDS = 20
@@ -229,7 +230,7 @@ def join_words(w: Words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = dedup_substrings(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
