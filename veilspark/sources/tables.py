@@ -26,7 +26,8 @@ def spread(df: DataFrame) -> DataFrame:
     """A small table of fewer files than the cluster has cores, dealt out evenly: a file may be a single row group, and so all the work
     would be one task's. Other tables stay as they are, without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores or df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() > SMALL_BYTES:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if len(df.inputFiles()) >= cores or size > SMALL_BYTES:
         return df
     return df.repartition(cores)
 
