@@ -168,14 +168,81 @@ def redact_nested_leaves(spark, sf_dir):
     return done.select("doc_id", F.explode(leaves).alias("x")).select("doc_id", "x.*")
 
 
+def redact_values(spark, sf_dir):
+    """Field rules on numbers, booleans, nulls, objects and lists: tokens of their canonical JSON text."""
+    secret = F.struct(F.col("source").alias("b"), F.array("lang", "source").alias("a"), F.col("doc_id").alias("c"))
+    fields = F.to_json(F.struct(F.col("doc_id").alias("password"), F.array("doc_id").alias("Token"), secret.alias("secret"), (F.col("doc_id") % 2 == 0).alias("SESSION_KEY"), F.col("source").alias("note")))
+    given = F.concat(F.substring(fields, F.lit(1), F.length(fields) - 1), F.lit(',"credentials":null,"api_key":1.50}'))
+    done = table(spark, sf_dir, "documents").select("doc_id", requests.redact_json(given, RuleSet(effective_rules().fields, ()), KEY)["body"].alias("body"))
+    return done.select("doc_id", *[F.get_json_object("body", f"$.{k}").alias(k.lower()) for k in ("password", "Token", "secret", "SESSION_KEY", "note", "credentials", "api_key")])
+
+
+#: What is wrong with a document's argument text, in turn.
+_FAULTS = ["", "incomplete JSON", "more than one JSON value", "invalid JSON at byte 5", "incomplete JSON"]
+
+
+def json_errors(spark, sf_dir):
+    """Why argument texts made of documents are no JSON: places, never content."""
+    kind, whole = F.col("doc_id") % len(_FAULTS), F.to_json(F.struct(F.col("text").alias("é")))
+    text = F.when(kind == 1, F.left(whole, F.length(whole) - 1)).when(kind == 2, F.concat(whole, F.lit(" "), whole)).when(kind == 3, F.concat(F.lit('{"é'), F.lit("\n"), "text", F.lit('"}'))).when(kind == 4, F.lit('{"a":')).otherwise(whole)
+    return table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", F.coalesce(requests.json_error(text), F.lit("")).alias("error"))
+
+
+def _sent_and_said(spark, sf_dir, body, content_type: str) -> DataFrame:
+    """Answers (``body`` of the redacted text) restored against the request that carried the text."""
+    texts, mapping = _redacted_texts(spark, sf_dir)
+    said = texts.select("request_id", F.lit("openai").alias("source_format"), F.lit(content_type).alias("content_type"), body.alias("body"))
+    return responses.restore_responses(said, texts.select("request_id", F.col("text").alias("body")), mapping)
+
+
+def restored_arguments(spark, sf_dir):
+    """Tool calls whose arguments hold the redacted text, in a key and in a value: inner escapes stay valid."""
+    inner = F.concat(F.lit('{"k":'), F.to_json(F.struct(F.col("text").alias("q"))), F.lit("}"))
+    call = F.struct(F.struct(inner.alias("arguments")).alias("function"))
+    body = F.to_json(F.struct(F.array(F.struct(F.struct(F.array(call).alias("tool_calls")).alias("message"))).alias("choices")))
+    back = _sent_and_said(spark, sf_dir, body, "application/json")
+    arguments = F.get_json_object("body", "$.choices[0].message.tool_calls[0].function.arguments")
+    return back.select("request_id", F.sha2(F.get_json_object(arguments, "$.k.q"), 256).alias("text_sha256"))
+
+
+def restored_event_streams(spark, sf_dir):
+    """Whole event streams of one JSON event and the sentinel."""
+    body = F.concat(F.lit("event: a\r\ndata: "), F.to_json(F.struct(F.col("text").alias("q"))), F.lit("\r\n\r\ndata: [DONE]\r\n\r\n"))
+    back = _sent_and_said(spark, sf_dir, body, "text/event-stream; charset=utf-8")
+    event = F.regexp_extract("body", r"\Aevent: a\r\ndata: (.*)\r\n\r\ndata: \[DONE\]\r\n\r\n\z", 1)
+    return back.select("request_id", F.sha2(F.get_json_object(event, "$.q"), 256).alias("text_sha256"))
+
+
+def streamed_arguments(spark, sf_dir):
+    """Redacted documents as tool arguments that come in fragments: put together they are JSON with the texts."""
+    texts, mapping = _redacted_texts(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    common = [F.timestamp_seconds(F.lit(10_000)).alias("ts"), F.lit("openai").alias("source_format"), F.lit("text/event-stream").alias("content_type")]
+    init = texts.select("request_id", F.lit(-1).alias("chunk_index"), *common, none.alias("body"), F.col("text").alias("request_body"))
+    inner = texts.select("request_id", F.to_json(F.struct(F.col("text").alias("q"))).alias("a"))
+    parts = inner.select("request_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.length("a"), F.lit(DELTA)), lambda i: F.substring("a", i + 1, F.lit(DELTA)))).alias("chunk_index", "part"))
+    event = _written('data: {"object":"chat.completion.chunk","choices":[{"index":0,"delta":{"tool_calls":[{"index":0,"function":{"arguments":', _text_json(F.col("part")), "}}]}}]}\n\n")
+    ends = inner.select("request_id", F.ceil((F.length("a") + 1) / DELTA).cast("int").alias("chunk_index"), *common, F.lit("data: [DONE]\n\n").alias("body"), none.alias("request_body"))
+    given = init.unionByName(parts.select("request_id", "chunk_index", *common, event.alias("body"), none.alias("request_body"))).unionByName(ends)
+    out = chunks.restore_chunks(given, given.limit(0).select("request_id", "ts"), mapping).filter("chunk_index >= 0")
+    data = F.regexp_extract_all("body", F.lit(r"(?m)^data: (\{.*\})$"), F.lit(1))
+    said = F.array_join(F.transform(data, lambda d: F.coalesce(F.get_json_object(d, "$.choices[0].delta.tool_calls[0].function.arguments"), F.lit(""))), "")
+    whole = chunks.stitch_text(out.select("request_id", "chunk_index", said.alias("text")), "request_id")
+    return whole.select("request_id", F.sha2(F.get_json_object("text", "$.q"), 256).alias("text_sha256"))
+
+
 QUERIES = {f"streamed_texts_{k.replace('-', '_')}": partial(streamed_texts, kind=k) for k in PROTOCOLS}
-QUERIES |= {f.__name__: f for f in (refused_chunks, compact_vault_by_use, tokens_by_rule, regions_of_all_formats, rejected_requests, whole_reasons, restored_answers, redact_nested_leaves)}
+QUERIES |= {f.__name__: f for f in (refused_chunks, compact_vault_by_use, tokens_by_rule, regions_of_all_formats, rejected_requests, whole_reasons, restored_answers, redact_nested_leaves, redact_values, json_errors, restored_arguments, restored_event_streams, streamed_arguments)}
 _ID = "CAST(doc_id AS VARCHAR) AS request_id"
 _PATHS = {"openai": "messages[0].content", "openai-response": "input", "claude": "messages[0].content", "gemini": "contents[0].parts[0].text", "openai-image": "prompt", "openai-video": "prompt"}
 _LINES = "(SELECT doc_id, unnest(range(len(x))) AS place, unnest(x) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL))"
 _REASON = "password (field) at messages[0].tool_calls[0].function.arguments.*['||i||'].* field \"Password\": \"\\\"Password\\\": \\\"[REDACTED]\\\"\""
 SQL = {f"streamed_texts_{k.replace('-', '_')}": f"SELECT {_ID}, sha256(text) AS text_sha256 FROM {_SEEDED}" for k in PROTOCOLS}
+SQL |= {k: f"SELECT {_ID}, sha256(text) AS text_sha256 FROM {_SEEDED}" for k in ("restored_arguments", "restored_event_streams", "streamed_arguments")}
 SQL |= {
+    "redact_values": f"""SELECT doc_id, {_sql_hmac('CAST(doc_id AS VARCHAR)')} AS password, {_sql_hmac("'[' || doc_id || ']'")} AS token, {_sql_hmac("'{\"a\":[\"' || lang || '\",\"' || source || '\"],\"b\":\"' || source || '\",\"c\":' || doc_id || '}'")} AS secret,
+{_sql_hmac("CASE WHEN doc_id % 2 = 0 THEN 'true' ELSE 'false' END")} AS session_key, source AS note, {_sql_hmac("'null'")} AS credentials, {_sql_hmac("'1.50'")} AS api_key FROM documents""",
+    "json_errors": f"SELECT doc_id, [{', '.join(map(_sql_text, _FAULTS))}][doc_id % {len(_FAULTS)} + 1] AS error FROM documents WHERE text IS NOT NULL",
     "refused_chunks": """WITH f AS (SELECT user_id, min((ts, event_id)) AS x, min(ts) FILTER (event_type = 'purchase') AS d FROM events GROUP BY user_id)
 SELECT CAST(e.user_id AS VARCHAR) AS request_id, count(*) AS refused FROM events e JOIN f USING (user_id) WHERE ts > d GROUP BY e.user_id""",
     "compact_vault_by_use": f"SELECT {_sql_hmac('original')} AS token, original FROM (SELECT CAST(user_id AS VARCHAR) AS original, max(ts) AS used FROM events GROUP BY user_id) ORDER BY used DESC, token LIMIT 100",
