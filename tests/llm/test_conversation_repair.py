@@ -3,10 +3,12 @@ import random
 import re
 import zlib
 
+import duckdb
+import pandas as pd
 import pytest
 
 from veilspark.llm import conversation_repair as op
-from veilspark.llm.registry import QUERIES
+from veilspark.llm.registry import QUERIES, SQL
 
 GRAMMAR = re.compile(r"(s?(ua)+)?\Z")
 SCHEMA = "conv_id long, turn long, role string, text string, rows string, times_ string, cost long"
@@ -158,3 +160,11 @@ def test_query_against_brute_force(spark):
     ids = {r[0] for r in given}
     got = answers(QUERIES["op13_conversation_repair"](spark, sf))
     assert got == {i: expected(own) for i, own in by_conversation(damaged(given), ids).items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sql_is_brute_force(seed):
+    rows = random_rows(seed, 150, 6)
+    conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"})  # noqa: F841
+    got = {r[0]: tuple(r[1:]) for r in duckdb.sql(f"WITH conversations AS (SELECT * FROM conversations) SELECT conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 FROM ({SQL['op13_conversation_repair']})").fetchall()}
+    assert got == {i: expected(own) for i, own in by_conversation(damaged(rows), {r[0] for r in rows}).items()}

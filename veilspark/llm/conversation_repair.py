@@ -408,3 +408,75 @@ def damage(conversations: DataFrame) -> DataFrame:
 
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits(damage(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+# ---- the same in SQL: costs and least letters by state, row by row
+
+
+def _sql_step(state: int, cost: str, letters: str) -> str:
+    return f"{{'c': s.p[{state}].c + {cost}, 'a': s.p[{state}].a || '{letters}'}}"
+
+
+def _sql_least(*steps: str) -> str:
+    return f"list_min([{', '.join(steps)}])"
+
+
+_SQL_NEVER = "{'c': 1000000000, 'a': ''}"
+_SQL_PUT = "{'p': [" + _SQL_NEVER + "], 'ini': -1, 'must': false, 'more': 0}"
+_SQL_ROW = "{'p': [" + _SQL_NEVER + "], 'ini': r.ini, 'must': r.must, 'more': r.more}"
+#: States 1 to 4: the start, behind s, behind u, behind a.
+_SQL_PUT_IN = ", ".join([
+    "s.p[1]", "s.p[2]", _sql_least("s.p[3]", *[_sql_step(x, "5", "I") for x in (1, 2, 4)], _sql_step(3, "10", "II")),
+    _sql_least("s.p[4]", _sql_step(3, "5", "I"), *[_sql_step(x, "10", "II") for x in (1, 2, 4)]),
+])
+
+
+def _sql_taken(state: int, initial: int, froms: tuple[int, ...], given: bool) -> str:
+    keeps = [_sql_step(x, f"CASE WHEN r.ini = {initial} THEN r.more ELSE 1000000000 END", "K") for x in froms]
+    return _sql_least(_sql_step(state, "2", "D"), *keeps, *([_sql_step(x, "1 + r.more", "R") for x in froms] if given else []))
+
+
+_SQL_TAKEN = ", ".join([_sql_step(1, "2", "D"), _sql_taken(2, 1, (1,), False), _sql_taken(3, 2, (1, 2, 4), True), _sql_taken(4, 3, (3,), True)])
+_SQL_GONE = ", ".join(_sql_step(x, "2", "D") for x in (1, 2, 3, 4))
+SQL = (
+    r"""
+WITH t AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), n)) AS crc),
+g AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), h AS (
+  SELECT g.*, xor(list_reduce(list_transform(string_split(k, ''), lambda x: CAST(ord(x) AS BIGINT)), lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind FROM g, t
+), d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM h WHERE kind <> 0
+), o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    CASE left(role, 1) WHEN 's' THEN 1 WHEN 'u' THEN 2 WHEN 'a' THEN 3 ELSE 0 END AS ini, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM o
+), c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+    list({'role': role, 'text': text, 'ini': ini, 'must': fault IN ('blank', 'duplicate'), 'more': CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END} ORDER BY i) AS rows
+  FROM f GROUP BY conv_id
+), e AS (
+  -- Before each row, and at the end, a step that may put rows in.
+"""
+    + f"""  SELECT c.*, list_reduce(list_concat(flatten(list_transform(rows, lambda r: [{_SQL_PUT}, {_SQL_ROW}])), [{_SQL_PUT}]),
+    lambda s, r: {{'p': CASE WHEN r.ini = -1 THEN [{_SQL_PUT_IN}] WHEN r.must THEN [{_SQL_GONE}] ELSE [{_SQL_TAKEN}] END, 'ini': 0, 'must': false, 'more': 0}},
+    {{'p': [{{'c': 0, 'a': ''}}, {_SQL_NEVER}, {_SQL_NEVER}, {_SQL_NEVER}], 'ini': 0, 'must': false, 'more': 0}}).p AS ends
+  FROM c
+"""
+    + r"""), b AS (SELECT *, list_min([ends[1], ends[4]]) AS best FROM e),
+r AS (
+  SELECT *, list_reduce(list_transform(string_split(best.a, ''), lambda x: {'x': x, 'at': 0, 'state': 0, 'out': CAST([] AS VARCHAR[])}), lambda s, l: {'x': '', 'at': s.at + CASE WHEN l.x = 'I' THEN 0 ELSE 1 END,
+    'state': CASE l.x WHEN 'D' THEN s.state WHEN 'K' THEN rows[s.at + 1].ini ELSE CASE WHEN s.state = 2 THEN 3 ELSE 2 END END,
+    'out': CASE l.x WHEN 'D' THEN s.out WHEN 'K' THEN list_append(s.out, rows[s.at + 1].role || ':' || rows[s.at + 1].text)
+      ELSE list_append(s.out, CASE WHEN s.state = 2 THEN 'assistant' ELSE 'user' END || ':' || CASE WHEN l.x = 'I' THEN '' ELSE rows[s.at + 1].text END) END},
+    {'x': '', 'at': 0, 'state': 0, 'out': CAST([] AS VARCHAR[])}).out AS said
+  FROM b
+)
+SELECT x.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) x LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM x.conv_id
+"""
+)

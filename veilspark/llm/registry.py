@@ -40,4 +40,5 @@ SQL = {
     "op6_line_dedup_short_copies": op6.SHORT_COPIES_SQL,
     "op10_benchmark_decontamination": op10.SQL,
     "op11_hard_negatives": op11.SQL,
+    "op13_conversation_repair": op13.SQL,
 }
