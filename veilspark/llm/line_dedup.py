@@ -25,6 +25,7 @@ unchanged, but for one with the name of the count, which takes its place.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,10 @@ def _key(n: Column, i: int, content: Column) -> Column:
     return F.xxhash64(n, F.lit(i), content)
 
 
+#: Probe keys made in one pass over the lines. The code of many at once is more than the JVM compiles, and twice as slow.
+KEYS_AT_ONCE = 3
+
+
 def index_keys(edits: int) -> Column:
     """Keys of a line's own segments."""
     n = F.col("n")
@@ -70,7 +75,7 @@ def index_keys(edits: int) -> Column:
     return F.array(*keys)
 
 
-def probe_keys(edits: int) -> Column:
+def probe_keys(edits: int) -> list[Column]:
     """Keys that segments of lines up to ``edits`` shorter can have in this line; null where one would reach beyond it."""
     keys = []
     for shorter in range(edits + 1):
@@ -82,7 +87,7 @@ def probe_keys(edits: int) -> Column:
             for shift in range(low, high + 1):
                 inside = (start + shift >= 0) & (start + shift + size <= F.col("n"))
                 keys.append(F.when(inside, _key(n, i, F.substring(F.col("line"), start + shift + 1, size))))
-    return F.array(*keys)
+    return keys
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -168,7 +173,9 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     known = lines.groupBy("h", "g").agg(F.min(F.struct("d", "pos")).alias("at"), F.count("*").alias("copies"), F.first("line").alias("line"))
     known = cut(known.withColumn("n", F.length("line")).withColumn("counts", letter_counts(F.col("line"))))
     index = known.select("h", "counts", F.explode(index_keys(edits)).alias("key"))
-    probe = known.select(F.col("h").alias("h2"), F.col("counts").alias("counts2"), F.explode(probe_keys(edits)).alias("key")).filter("key is not null")
+    keys = probe_keys(edits)
+    some = [known.select(F.col("h").alias("h2"), F.col("counts").alias("counts2"), F.explode(F.array(*keys[i : i + KEYS_AT_ONCE])).alias("key")) for i in range(0, len(keys), KEYS_AT_ONCE)]
+    probe = reduce(DataFrame.unionByName, some).filter("key is not null")
     fits = counts_fit(F.col("counts"), F.col("counts2"), edits)
     found = probe.join(index.hint("shuffle_hash"), (probe.key == index.key) & (F.col("h") != F.col("h2")) & fits)
     found = cut(found.select(F.least("h", "h2").alias("h"), F.greatest("h", "h2").alias("h2")).distinct())
