@@ -3,11 +3,13 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from tests.llm.cases import DOCS, awkward, prose, table
 
 from veilspark.llm import benchmark_decontamination as decontamination
 from veilspark.llm import language_id, license_scans, quality_rules, substring_dedup
+from veilspark.llm.text_kernels import split_words
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -111,6 +113,19 @@ def test_rows_that_share_an_id_keep_their_own_windows(spark):
     assert out == {(7, 30, 30), (7, 30, 0), (None, 30, 0), (None, 31, 0), (8, 30, 30), (9, 60, 60)}
 
 
+def test_windows_do_not_each_carry_their_text_s_lists(spark):
+    text = " ".join(f"w{i}" for i in range(2000))
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    anchors = substring_dedup.Chunks(split_words(data, np.array([0, len(data)]), substring_dedup.SPACED), 20).anchor.view(np.int64)
+    docs = spark.createDataFrame([(1, 0, text, anchors.tolist())], "d long, k long, text string, open array<long>")
+    found = substring_dedup._windows(docs, 20, 20, True)
+    assert found.columns == ["d", "k", "left", "right"] and found.distinct().count() == 1981
+    whole = substring_dedup.dedup_substrings(table(spark, [(1, text, None), (2, text, None)]))
+    for df, none in ((found, "open"), (whole, "closed")):
+        made = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in x]
+        assert made and not any(none in x for x in made)
+
+
 def test_quality_counts_are_brute_force(spark):
     docs = [*awkward(), (20, "a b\na b\n\n x\na b", "en"), (21, "#* $%& <|> a", "en"), (22, "a b c a b c a b", "en")]
     out = {}

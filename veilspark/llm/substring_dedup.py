@@ -138,8 +138,8 @@ def _windows(docs: DataFrame, window: int, size: int, first: bool) -> DataFrame:
         own = _first_of_each(combine(left, right), w.doc[at])
         return w.doc[at[own]], {"left": left[own].view(np.int64), "right": right[own].view(np.int64)}
 
-    keep = {"d": F.col("d"), "k": F.col("k"), **{f"list_{x}": F.col(x) for x in lists}}
-    return map_texts(docs, work, [("left", "long"), ("right", "long")], keep=keep).drop(*[f"list_{x}" for x in lists])
+    keep, also = {"d": F.col("d"), "k": F.col("k")}, {x: F.col(x) for x in lists}
+    return map_texts(docs, work, [("left", "long"), ("right", "long")], keep=keep, also=also)
 
 
 def _listed(column: pa.Array, doc: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -202,9 +202,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
         text = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offset.astype(np.int32)), pa.py_buffer(kept))
         return None, {"n_words": w.counts, "n_removed": sums(removed, w.first), "text": text}
 
-    keep = {"doc_id": F.col("doc_id"), "closed": F.col("closed"), "left": F.col("left"), "right": F.col("right")}
-    out = map_texts(joined, work, [("n_words", "long"), ("n_removed", "long"), ("text", "string")], keep=keep)
-    return out.drop("closed", "left", "right")
+    also = {x: F.col(x) for x in ("closed", "left", "right")}
+    return map_texts(joined, work, [("n_words", "long"), ("n_removed", "long"), ("text", "string")], keep={"doc_id": F.col("doc_id")}, also=also)
 
 
 def _pair_listed(left: pa.Array, right: pa.Array, value: np.ndarray, doc: np.ndarray) -> np.ndarray:

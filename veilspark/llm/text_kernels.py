@@ -201,20 +201,23 @@ def map_texts(
     keep: dict[str, Column] | None = None,
     text: str | Column = "text",
     pass_bytes: int = PASS_BYTES,
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Runs ``work(bytes, offsets, kept columns)`` over all texts of ``docs`` inside Spark tasks.
+    """Runs ``work(bytes, offsets, columns)`` over all texts of ``docs`` inside Spark tasks.
 
     ``work`` returns (rows, columns): the columns by name, and for each of their rows the index of its text (None: one
     row per text, in order). The result has the ``keep`` columns and ``fields`` (name, type) and no other column of
-    ``docs``, so names of extra columns never clash. A partition is worked on in passes of bounded size.
+    ``docs``, so names of extra columns never clash. ``work`` gets the ``keep`` columns, then those in ``also``, which are not
+    returned, so that a long list is not repeated in each row made of its text. A partition is worked on in passes of bounded size.
     """
     bound_batches(docs.sparkSession)
     keep = {"doc_id": F.col("doc_id")} if keep is None else keep
     text = F.col(text) if isinstance(text, str) else text
-    given = docs.select(*[c.alias(f"k{i}") for i, c in enumerate(keep.values())], text.cast("string").alias("t"))
+    shown = [*keep.values(), *(also or {}).values()]
+    given = docs.select(*[c.alias(f"k{i}") for i, c in enumerate(shown)], text.cast("string").alias("t"))
     kept = [T.StructField(name, given.schema[f"k{i}"].dataType) for i, name in enumerate(keep)]
     schema = T.StructType(kept + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
-    names, made = list(keep), [n for n, _ in fields]
+    names, made, at_text = list(keep), [n for n, _ in fields], len(shown)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -222,7 +225,7 @@ def map_texts(
         arrow = to_arrow_schema(schema, prefers_large_types=False)
         with np.errstate(over="ignore"):
             for batch in batches:
-                data, offsets = string_buffers(batch.column(len(names)))
+                data, offsets = string_buffers(batch.column(at_text))
                 for lo, hi in pieces(offsets, pass_bytes):
                     part = batch.slice(lo, hi - lo)
                     rows, columns = work(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], part)
