@@ -60,3 +60,31 @@ def test_units_whose_hashes_are_equal(monkeypatch):
         first = np.cumsum([0] + [len(u) for u in units])[:-1]
         ids, begin, count = sentencepiece_codec._units(m, buffer, first, np.array([len(u) for u in units]))
         assert [ids[s : s + n].tolist() for s, n in zip(begin, count, strict=True)] == [given.encode(w) for w in words]
+
+
+def test_long_pieces_that_begin_alike(spark):
+    """Pieces of more than 8 and 16 bytes are told apart by all of their bytes."""
+    model = sentencepiece_codec.default_model()
+    given, pieces = sentencepiece.SentencePieceProcessor(model_file=model), sentencepiece_codec.load_pieces(model)
+    long = sorted((pieces.text[i].decode() for i in pieces.merged if len(pieces.text[i]) > 8), key=len)
+    texts = ["e Население e Населення", "e населения", *["e" + t for t in long[-300:]], " ".join(long)]
+    got = {r.doc_id: r.ids for r in sentencepiece_codec.encode(table(spark, [(i, t, "en") for i, t in enumerate(texts)]), pieces).collect()}
+    assert got == {i: given.encode(t) for i, t in enumerate(texts)}
+
+
+def test_occurrences_are_brute_force(monkeypatch):
+    """Every piece at every place of every unit, in segments of any size."""
+    pieces = sentencepiece_codec.load_pieces(sentencepiece_codec.default_model())
+    m = sentencepiece_codec.Matcher(pieces)
+    units = [" Население", " international", "x", " the\0the", " administration", " населения"]
+    data = np.frombuffer("".join(units).encode(), dtype=np.uint8)
+    stop = np.cumsum([len(u.encode()) for u in units])
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    end = stop[np.searchsorted(stop, at, side="right")]
+    ids = {pieces.text[i]: i for i in pieces.merged}
+    want = [(a, b, ids[data[a:b].tobytes()]) for a, e in zip(at, end, strict=True) for b in range(a + 1, e + 1) if data[a:b].tobytes() in ids]
+    for size in (3, 1 << 18):
+        monkeypatch.setattr(sentencepiece_codec, "SEGMENT", size)
+        edges = m.edges(data, at, end)
+        a, b = np.array([x[0] for x in want]), np.array([x[1] for x in want])
+        assert edges.pieces(a, b).tolist() == [x[2] for x in want] and len(edges.ids) == len(want)

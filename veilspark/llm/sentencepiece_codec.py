@@ -5,7 +5,8 @@ are read on the driver and broadcast. In each pass of a task:
 
 1. Texts get the model's leading space and are cut into units before each run of spaces: no piece reaches across such a
    border. Equal units are worked on once; a bounded table of a task's units is kept between passes.
-2. The units' bytes are indexed a segment at a time: all suffixes, sorted by the next ``longest`` bytes up to the unit's end.
+2. The units' bytes are indexed a segment at a time: all suffixes, sorted by their next 8 bytes up to the unit's end; those that
+   begin like a longer piece are sorted by the next ``longest`` bytes.
 3. Every piece is looked up in the sorted suffixes by binary search; its range holds all its occurrences, the edges.
 4. Edges are sorted by position and length and kept sparse: each byte has a bit for every length that starts there, and the
    pieces follow in that order. Relaxing them starts from single characters and takes, in each unit, the edge over two
@@ -42,8 +43,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 LONG_UNIT, LONG_BYTES = 200, 1024
 PASS_BYTES = 1 << 20
-#: Suffixes that are sorted at once, and ids of the units that a task remembers.
-SEGMENT, MEMORY = 1 << 16, 1 << 20
+#: Suffixes that are sorted at once, and bytes of the units that a task remembers.
+SEGMENT, MEMORY = 1 << 18, 1 << 23
 #: A byte's edges are bits of one number.
 LONGEST = 63
 U = np.uint64
@@ -85,17 +86,15 @@ def default_model() -> str:
     return public_tokenizers.path(MODEL)
 
 
-def _keys(data: np.ndarray, at: np.ndarray, end: np.ndarray, longest: int) -> list[np.ndarray]:
-    """The next bytes from each place up to its end as big-endian numbers of 8 bytes each, zero-filled; bytes count from 1."""
-    out = []
-    for part in range(-(-longest // 8)):
-        key = np.zeros(len(at), dtype=np.uint64)
-        for j in range(8 * part, 8 * part + 8):
-            p = at + j
-            b = np.where(p < end, data[np.minimum(p, len(data) - 1)].astype(np.uint64), np.uint64(0))
-            key = key << np.uint64(8) | b
-        out.append(key)
-    return out
+#: Masks that keep the first n bytes of a big-endian number of 8.
+FIRST_BYTES = np.array([(1 << 64) - (1 << 8 * (8 - n)) for n in range(9)], dtype=np.uint64)
+
+
+def _keys(data: np.ndarray, at: np.ndarray, end: np.ndarray, parts: range) -> list[np.ndarray]:
+    """The next bytes from each place up to its end as big-endian numbers of 8 bytes each, zero-filled: those of ``parts``."""
+    padded = np.concatenate((data, np.zeros(8 * parts.stop, dtype=np.uint8)))
+    number = np.ndarray((len(padded) - 7,), dtype=">u8", buffer=padded, strides=(1,))
+    return [number[at + 8 * k].astype(np.uint64) & FIRST_BYTES[np.clip(end - at - 8 * k, 0, 8)] for k in parts]
 
 
 @dataclass
@@ -129,23 +128,28 @@ class Matcher:
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        ids = pieces.merged
-        raw = np.frombuffer(b"".join(pieces.text[i] for i in ids), dtype=np.uint8)
-        self.length = np.array([len(pieces.text[i]) for i in ids])
+        self.parts = range(-(-pieces.longest // 8))
+        # In order of their bytes, so that neighbours are looked up one after another.
+        self.piece = np.array(sorted(pieces.merged, key=lambda i: pieces.text[i]))
+        raw = np.frombuffer(b"".join(pieces.text[i] for i in self.piece), dtype=np.uint8)
+        self.length = np.array([len(pieces.text[i]) for i in self.piece])
         end = np.cumsum(self.length)
-        self.low = _keys(raw, end - self.length, end, pieces.longest)
+        self.low = _keys(raw, end - self.length, end, self.parts)
         self.high = [k.copy() for k in self.low]
         for part, key in enumerate(self.high):
             free = np.clip(8 * (part + 1) - self.length, 0, 8)
             fill = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
             key |= fill[free]
+        self.long = np.flatnonzero(self.length > 8)
+        self.long_low, self.long_high = [k[self.long] for k in self.low], [k[self.long] for k in self.high]
+        self.long_first = np.unique(self.long_low[0])
         # Place of each id's score, best first; equal scores share one.
         self.rank = np.unique(-pieces.score, return_inverse=True)[1]
         self.forget()
 
     def forget(self) -> None:
-        """Units known by hash: where their ids begin and how many they are, and their bytes."""
-        self.known = np.zeros(0, dtype=U)
+        """Units known by hash, and at the slot of each: where its ids begin and how many they are, and where its bytes begin."""
+        self.known, self.slot = np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64)
         self.begin = self.count = self.byte_begin = np.zeros(0, dtype=np.int64)
         self.ids, self.bytes = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.uint8)
 
@@ -156,31 +160,40 @@ class Matcher:
         for k in range(0, len(at), SEGMENT):
             place, which = self._occurrences(data, at[k : k + SEGMENT], end[k : k + SEGMENT])
             if len(place):
-                length = self.length[which]
-                by = np.argsort(place * (LONGEST + 1) + length)
-                place, bit = place[by], U(1) << length[by].astype(U)
+                # One number holds place, length and piece: 34, 6 and 24 bits.
+                edge = np.sort(((place << 6 | self.length[which]) << 24) | which)
+                place, which = edge >> 30, edge & 0xFFFFFF
                 head = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-                mask[place[head]] = np.bitwise_or.reduceat(bit, head)
-                ids.append(self.pieces.merged[which[by]].astype(np.int32))
+                mask[place[head]] = np.bitwise_or.reduceat(U(1) << self.length[which].astype(U), head)
+                ids.append(self.piece[which].astype(np.int32))
         n = np.bitwise_count(mask).astype(np.int64)
         return Edges(mask, np.cumsum(n) - n, np.concatenate(ids))
 
     def _occurrences(self, data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, index of the piece) of every occurrence among the suffixes at ``at``."""
-        keys = _keys(data, at, end, self.pieces.longest)
-        order = np.lexsort(keys[::-1])
-        keys = [k[order] for k in keys]
-        lo, hi = self._search(keys, self.low, False), self._search(keys, self.high, True)
-        count = hi - lo
-        which = np.repeat(np.arange(len(count)), count)
-        return at[order[np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)]], which
+        key = _keys(data, at, end, range(1))[0]
+        order = np.argsort(key)
+        key, at, end = key[order], at[order], end[order]
+        lo, hi = np.searchsorted(key, self.low[0], "left"), np.searchsorted(key, self.high[0], "right")
+        hi[self.long] = lo[self.long]
+        place, which = [at[_ranges(lo, hi)]], [np.repeat(np.arange(len(lo)), hi - lo)]
+        rest = _ranges(np.searchsorted(key, self.long_first, "left"), np.searchsorted(key, self.long_first, "right"))
+        if len(rest):
+            keys = _keys(data, at[rest], end[rest], self.parts)
+            order = np.lexsort(keys[::-1])
+            keys = [k[order] for k in keys]
+            lo, hi = self._search(keys, self.long_low, False), self._search(keys, self.long_high, True)
+            place.append(at[rest[order]][_ranges(lo, hi)])
+            which.append(np.repeat(self.long, hi - lo))
+        return np.concatenate(place), np.concatenate(which)
 
     def remember(self, h: np.ndarray, ids: np.ndarray, count: np.ndarray, data: np.ndarray, begin: np.ndarray) -> None:
-        """Adds units by hash, with their ids and their bytes, which begin at these places of ``data``."""
-        known, own = np.concatenate((self.known, h)), np.concatenate((self.begin, np.cumsum(count) - count + len(self.ids)))
-        order = np.argsort(known)
-        self.byte_begin = np.concatenate((self.byte_begin, begin + len(self.bytes)))[order]
-        self.known, self.begin, self.count = known[order], own[order], np.concatenate((self.count, count))[order]
+        """Adds units by ascending hash, with their ids and their bytes, which begin at these places of ``data``."""
+        at = np.searchsorted(self.known, h)
+        self.slot = np.insert(self.slot, at, np.arange(len(self.known), len(self.known) + len(h)))
+        self.known = np.insert(self.known, at, h)
+        self.begin = np.concatenate((self.begin, np.cumsum(count) - count + len(self.ids)))
+        self.byte_begin, self.count = np.concatenate((self.byte_begin, begin + len(self.bytes))), np.concatenate((self.count, count))
         self.ids, self.bytes = np.concatenate((self.ids, ids)), np.concatenate((self.bytes, data))
 
     def knows(self, h: np.ndarray) -> np.ndarray:
@@ -189,44 +202,62 @@ class Matcher:
 
     @staticmethod
     def _search(keys: list[np.ndarray], wanted: list[np.ndarray], after: bool) -> np.ndarray:
-        """Binary search of every wanted key among the sorted ones, all at once."""
-        lo = np.searchsorted(keys[0], wanted[0], "left")
-        hi = np.searchsorted(keys[0], wanted[0], "right")
+        """Binary search of every wanted key among the sorted ones, all at once: its place, or the one after those equal to it. Each
+        part is searched where all parts before it are equal."""
+        lo, hi = np.searchsorted(keys[0], wanted[0], "left"), np.searchsorted(keys[0], wanted[0], "right")
         for key, want in zip(keys[1:], wanted[1:], strict=True):
-            left, right = lo.copy(), hi.copy()
-            while (open_ := left < right).any():
-                middle = (left + right) // 2
-                value = key[np.minimum(middle, len(key) - 1)]
-                up = open_ & ((value <= want) if after else (value < want))
-                left = np.where(up, middle + 1, left)
-                right = np.where(open_ & ~up, middle, right)
-            lo = hi = left
-        return hi if len(keys) == 1 and after else lo
+            ends = []
+            for equal_too in (False, True):
+                left, right = lo.copy(), hi.copy()
+                while (open_ := left < right).any():
+                    middle = (left + right) // 2
+                    value = key[np.minimum(middle, len(key) - 1)]
+                    up = open_ & ((value <= want) if equal_too else (value < want))
+                    left = np.where(up, middle + 1, left)
+                    right = np.where(open_ & ~up, middle, right)
+                ends.append(left)
+            lo, hi = ends
+        return hi if after else lo
+
+
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The numbers from each lo up to its hi, one range after another."""
+    n = hi - lo
+    return np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)
 
 
 def _relax(edges: Edges, rank: np.ndarray, start: np.ndarray, end: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols (start, end, unit) after all merges; one merge in each unit a round."""
+    """Symbols (start, end, unit) after all merges; one merge in each unit a round. ``value`` has the rank of each symbol's pair with
+    the next one; a round renews those beside its merges."""
     done = []
-    none = np.iinfo(np.int64).max
+    none = np.iinfo(np.int32).max
+    start, end, unit = (x.astype(np.int32) for x in (start, end, unit))
+
+    def values(at: np.ndarray) -> np.ndarray:
+        out = np.full(len(at), none, dtype=np.int32)
+        some = np.flatnonzero(unit[np.minimum(at + 1, len(unit) - 1)] == unit[at])
+        some = some[at[some] + 1 < len(unit)]
+        found = edges.pieces(start[at[some]], end[at[some] + 1])
+        out[some] = np.where(found >= 0, rank[np.maximum(found, 0)], none)
+        return out
+
+    value = values(np.arange(len(start)))
     while len(start):
-        found = edges.pieces(start[:-1], end[1:])
-        value = np.where((found >= 0) & (unit[1:] == unit[:-1]), rank[np.maximum(found, 0)], none)
-        value = np.append(value, none)
-        new = np.concatenate(([True], unit[1:] != unit[:-1]))
-        best = np.minimum.reduceat(value, np.flatnonzero(new))
-        group = np.cumsum(new) - 1
-        active = best < none
-        hit = np.flatnonzero((value == best[group]) & active[group])
-        hit = hit[np.concatenate(([True], group[hit][1:] != group[hit][:-1]))] if len(hit) else hit
-        stay = ~active[group]
-        if stay.any():
-            done.append((start[stay], end[stay], unit[stay]))
-        end = end.copy()
+        head = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1])))
+        # The least rank of a unit and, in the low bits, its leftmost place.
+        best = np.minimum.reduceat(value.astype(np.int64) << 32 | np.arange(len(value)), head)
+        active = best >> 32 < none
+        hit = best[active] & 0xFFFFFFFF
+        keep = np.repeat(active, np.diff(np.append(head, len(unit))))
+        if not active.all():
+            done.append((start[~keep], end[~keep], unit[~keep]))
         end[hit] = end[hit + 1]
-        keep = active[group]
         keep[hit + 1] = False
-        start, end, unit = start[keep], end[keep], unit[keep]
-    return tuple(np.concatenate([d[i] for d in done]) if done else np.zeros(0, dtype=np.int64) for i in range(3))
+        merged = np.cumsum(keep)[hit] - 1
+        start, end, unit, value = start[keep], end[keep], unit[keep], value[keep]
+        for at in (merged, merged[merged > 0] - 1):
+            value[at] = values(at)
+    return tuple(np.concatenate([d[i] for d in done]).astype(np.int64) if done else np.zeros(0, dtype=np.int64) for i in range(3))
 
 
 def _relax_long(edges: Edges, rank: np.ndarray, starts: np.ndarray, stop: int) -> tuple[np.ndarray, np.ndarray]:
@@ -308,8 +339,12 @@ def _units(m: Matcher, buffer: np.ndarray, first: np.ndarray, size: np.ndarray)
     del step
     h = mix(np.add.reduceat(h, first) + size.astype(U))
     short = size <= LONG_BYTES
-    own, one = np.unique(h[short], return_index=True)
-    one = np.flatnonzero(short)[one]
+    order = np.argsort(h[short])
+    own = h[short][order]
+    head = np.concatenate(([True], own[1:] != own[:-1])) if len(own) else np.zeros(0, dtype=bool)
+    kind = np.empty(len(own), dtype=np.int64)  # of each short unit, its place in own
+    kind[order] = np.cumsum(head) - 1
+    own, one = own[head], np.flatnonzero(short)[order[head]]
     new = ~m.knows(own)
     if len(m.bytes) + int(size[one[new]].sum()) > MEMORY:
         new[:] = True  # the units known so far go, so that those of this pass have room
@@ -320,7 +355,7 @@ def _units(m: Matcher, buffer: np.ndarray, first: np.ndarray, size: np.ndarray)
     data = buffer[np.repeat(first[some] - begin, length) + np.arange(int(length.sum()))]
     m.remember(own[new], *encode_units(m, data, begin, begin + length), data, begin)
     ids, starts, counts = [m.ids], np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
-    at = np.searchsorted(m.known, h[short])
+    at = m.slot[np.searchsorted(m.known, own)][kind]
     starts[short], counts[short] = m.begin[at], m.count[at]
     known = np.zeros(len(first), dtype=np.int64)
     known[short] = m.byte_begin[at]
