@@ -72,6 +72,26 @@ def test_a_hot_key_of_points_that_nothing_ties(spark, monkeypatch):
     assert all(label[60 + i] == label[3 * i] for i in range(20)) and len(set(label)) > 1
 
 
+def test_texts_that_share_a_passage_or_common_words_alone_are_no_candidates(spark, monkeypatch):
+    import random
+
+    r, seen = random.Random(5), {}
+    for name, at in (("_forests", "members"), ("_fine_forests", "wanted")):
+        def counted(*args, own=getattr(ngram_jaccard, name), at=at, **named):
+            seen[at] = args[0 if at == "members" else 1].count()
+            return own(*args, **named)
+
+        monkeypatch.setattr(ngram_jaccard, name, counted)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(9)) if r.random() < 0.4 else r.choice(["of", "the"])
+    passage = " ".join(f"quoted{i}" for i in range(30))
+    docs = [(i, " ".join(word() for _ in range(7000)) + " " + passage, "en") for i in range(12)]
+    docs.append((99, docs[3][1] + " end", "en"))
+    out = ngram_jaccard.jaccard_components(table(spark, docs)).collect()
+    assert {x.doc_id: x.component_id for x in out} == {i: 3 if i == 99 else i for i, _, _ in docs}
+    assert seen["wanted"] == 2  # no long texts but the copy and its original are compared
+    assert seen["members"] < 100  # one key for each set of texts, whatever the number of grams that they share
+
+
 def test_components_of_repeated_rows_and_empty(spark):
     a = prose(9)
     docs = table(spark, [(1, a, None), (1, a, None), (2, a, None), (3, "", None), (4, None, None), (3, "", None)])

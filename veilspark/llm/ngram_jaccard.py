@@ -4,8 +4,10 @@ A document's set holds the hashes of its distinct word n-grams. Documents with e
 classes, and each document gets its class back. For sets with ``100 * shared >= percent * union``:
 
 1. *Keys.* Both sides share one of their first ``n - ceil(percent * n / 100) + 1`` hashes in any fixed order. The order puts
-   hashes that are frequent in a bounded sample of documents last, so that popular passages are no keys; the sample steers the
-   work, not the result. Keys of a single class end in a pre-aggregated minimum and maximum.
+   hashes that are frequent in a bounded sample of documents last, so that popular passages are no keys, and of the others those of
+   rare words first: grams of common words meet by chance, the more often the more documents there are. The sample steers the
+   work, not the result. Keys of a single class end in a pre-aggregated minimum and maximum; of keys that the same classes share, as
+   those of copies and of quoted passages are, one stays.
 2. *R-tree.* Hashes fall into ``GROUPS`` groups, and the counts by group are a class's point. Points under one key are packed by
    size into leaves that keep their coordinates' maxima. A leaf, then a point, is dropped where the summed coordinate minima
    with the query stay below the overlap that a link needs. What survives is reduced in the task to a spanning forest, so a key
@@ -37,37 +39,53 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import cut
 from ..sources.tables import spread
-from .text_kernels import SPACED, combine, map_texts, mix, runs, split_words, windows
+from .text_kernels import SPACED, Words, combine, map_texts, mix, runs, split_words, windows
 
 SHINGLE, PERCENT = 4, 85
-GROUPS, FINE = 64, 1024
+GROUPS, FINE = 256, 1024
+#: The highest bits of a hash, which name its group.
+_GROUP, _FINE = (np.uint64(64 - (n - 1).bit_length()) for n in (GROUPS, FINE))
 LEAF = 32
 #: Sets and hashes of a block, about.
 BLOCK, BLOCK_HASHES = 512, 2_000_000
 #: Keys of more points than this go up a tree of several levels; those of others are compared in one task.
 HOT = 2_000
-SAMPLE_DOCS, SAMPLE_HITS = 5_000, 25
+SAMPLE_DOCS, SAMPLE_HITS = 5_000, 4
+#: Bits of a word's hash that name its slot in the table of levels, and levels for each doubling of how often its words stand in the sample.
+SLOT_BITS, STEPS = 18, 2
 _LEAST = -(2**63)
 _OTHER = np.uint64(0x5851F42D4C957F2D)
 
 
 def gram_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, hash) of the distinct grams, sorted, and each document's class hash."""
-    w = split_words(data, offsets, SPACED, lower=True)
+    return weighed_sets(split_words(data, offsets, SPACED, lower=True), shingle)[:3]
+
+
+def weighed_sets(w: Words, shingle: int, levels: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    """The same, and with ``levels`` each gram's weight: the sum of its words' levels."""
     n, left = w.counts, w.left()
-    at = np.flatnonzero(left >= shingle)
+    at, size = np.flatnonzero(left >= shingle), shingle
     value, doc = windows(w.hash, shingle)[at], w.doc[at]
     for k in range(1, shingle):
         few = w.first[:-1][n == k]
         value, doc = np.concatenate((value, windows(w.hash, k)[few])), np.concatenate((doc, w.doc[few]))
+        at, size = np.concatenate((at, few)), np.concatenate((np.broadcast_to(size, len(at)), np.full(len(few), k)))
     order = np.lexsort((value, doc))
     value, doc = value[order], doc[order]
     first = np.ones(len(doc), dtype=bool)
     first[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
     value, doc = value[first], doc[first]
-    count = np.bincount(doc, minlength=len(offsets) - 1).astype(np.uint64)
+    count = np.bincount(doc, minlength=len(n)).astype(np.uint64)
     name = combine(_sum_by(mix(value), doc, len(count)), _sum_by(mix(value ^ _OTHER), doc, len(count)) + count)
-    return doc, value, name
+    if levels is None:
+        return doc, value, name, None
+    total = np.concatenate(([0], np.cumsum(levels[slots(w.hash)], dtype=np.int64)))
+    return doc, value, name, (total[at + size] - total[at])[order][first]
+
+
+def slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def _sum_by(value: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -82,23 +100,23 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), F.xxhash64("text").alias("x"), F.col("text"))
 
 
-def _heads(docs: DataFrame, shingle: int, percent: int, frequent) -> DataFrame:
+def _heads(docs: DataFrame, shingle: int, percent: int, sampled) -> DataFrame:
     """(d, x, n, c, point, keys) of each document: doc_id, the text's hash, set size, class, group counts (255: that many or more), and the first hashes of
-    the set, frequent ones last."""
+    the set in the order that the sample steers."""
 
     def work(data, offsets, _):
-        doc, value, name = gram_sets(data, offsets, shingle)
+        often, grade, levels = sampled.value
+        doc, value, name, weight = weighed_sets(split_words(data, offsets, SPACED, lower=True), shingle, levels)
         rows = len(offsets) - 1
-        group = (value >> np.uint64(58)).astype(np.int64)
+        group = (value >> _GROUP).astype(np.int64)
         counts = np.bincount(doc * GROUPS + group, minlength=rows * GROUPS).reshape(rows, GROUPS)
         points = np.minimum(counts, 255).astype(np.uint8).tobytes()
         point = pa.array([points[i * GROUPS : (i + 1) * GROUPS] for i in range(rows)], pa.binary())
-        often = frequent.value
-        late = np.zeros(len(value), dtype=bool)
         if len(often) and len(value):
-            late = often[np.minimum(np.searchsorted(often, value), len(often) - 1)] == value
+            at = np.minimum(np.searchsorted(often, value), len(often) - 1)
+            weight += np.where(often[at] == value, grade[at], 0) * (int(levels.max()) * shingle + 1)
         n = np.bincount(doc, minlength=rows).astype(np.int64)
-        order = np.argsort(doc * 2 + late, kind="stable")  # values are sorted within a document
+        order = np.argsort(doc * (int(weight.max(initial=0)) + 1) + weight, kind="stable")  # values are sorted within a document
         rank = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
         size = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
         own = order[rank < np.repeat(size, n)]
@@ -109,20 +127,30 @@ def _heads(docs: DataFrame, shingle: int, percent: int, frequent) -> DataFrame:
     return map_texts(docs, work, [("n", "long"), ("c", "long"), ("point", "binary"), ("keys", "array<long>")], keep=keep)
 
 
-def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
-    """Sorted hashes of grams that stand in SAMPLE_HITS of at most SAMPLE_DOCS documents: bounded by the sample."""
+def _sampled(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of at most SAMPLE_DOCS documents: the sorted hashes of grams that stand in SAMPLE_HITS of them and the grade of each, which grows
+    with every doubling; and the level of each slot of words. All are bounded by the sample."""
+    levels, none = np.zeros(1 << SLOT_BITS, dtype=np.uint8), np.zeros(0, dtype=np.uint64)
     own = docs.select("d", "text", F.xxhash64("d", "text").alias("h"))
     bound = own.select("h").orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
     if bound is None:
-        return np.zeros(0, dtype=np.uint64)
+        return none, none.astype(np.int64), levels
 
     def work(data, offsets, _):
-        doc, value, _ = gram_sets(data, offsets, shingle)
-        return doc, {"g": value.view(np.int64)}
-
-    grams = map_texts(own.filter(F.col("h") <= F.lit(bound)).dropDuplicates(["h"]), work, [("g", "long")], keep={"d": F.col("d")})
-    often = grams.groupBy("g").agg(F.count("*").alias("k")).filter(F.col("k") >= SAMPLE_HITS).select("g").toArrow()
-    return np.sort(often["g"].to_numpy().astype(np.int64).view(np.uint64))
+        w = split_words(data, offsets, SPACED, lower=True)
+        doc, value, *_ = weighed_sets(w, shingle)
+        slot, k = np.unique(slots(w.hash), return_counts=True)
+        here = np.zeros(len(slot), dtype=np.int64)  # counted for the texts of a pass together
+        word = np.arange(len(doc) + len(slot)) >= len(doc)
+        return np.concatenate((doc, here)), {"g": np.concatenate((value.view(np.int64), slot)), "word": word, "k": np.concatenate((np.ones(len(doc), dtype=np.int64), k))}
+
+    grams = map_texts(own.filter(F.col("h") <= F.lit(bound)).dropDuplicates(["h"]), work, [("g", "long"), ("word", "boolean"), ("k", "long")], keep={"d": F.col("d")})
+    found = grams.groupBy("word", "g").agg(F.sum("k").alias("k")).filter(F.col("word") | (F.col("k") >= SAMPLE_HITS)).toArrow()
+    word, g, k = (found[c].to_numpy() for c in ("word", "g", "k"))
+    levels[g[word]] = np.round(STEPS * np.log2(1 + k[word]))
+    often, k = g[~word].astype(np.int64).view(np.uint64), k[~word]
+    order = np.argsort(often)
+    return often[order], np.log2(k[order] * (2 / SAMPLE_HITS)).astype(np.int64), levels
 
 
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -338,7 +366,7 @@ def _fine_forests(docs: DataFrame, wanted: DataFrame, shingle: int, percent: int
     """(a, b): spanning forests of the classes of ``wanted`` that the bounds on fine points let pass."""
 
     def make(doc, value, n):
-        counts = np.bincount(doc * FINE + (value >> np.uint64(54)).astype(np.int64), minlength=len(n) * FINE)
+        counts = np.bincount(doc * FINE + (value >> _FINE).astype(np.int64), minlength=len(n) * FINE)
         points = np.minimum(counts, 255).astype(np.uint8).tobytes()
         return {"n": pa.array(n.astype(np.int64)), "point": pa.array([points[i * FINE : (i + 1) * FINE] for i in range(len(n))], pa.binary())}
 
@@ -403,14 +431,16 @@ def _links(docs: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> Da
 def _grouped(own: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The heads of all documents, and (c, d, label) of all classes: the least doc_id and the least class reachable by links."""
     spark = own.sparkSession
-    frequent = spark.sparkContext.broadcast(_frequent(own, shingle))
-    heads = cut(_heads(own, shingle, percent, frequent))
+    sampled = spark.sparkContext.broadcast(_sampled(own, shingle))
+    heads = cut(_heads(own, shingle, percent, sampled))
     classes = heads.filter("n > 0").groupBy("c").agg(F.min(F.struct("d", "x")).alias("at"), F.first("n").alias("n"), F.first("point").alias("point")).select("c", "at.d", "at.x", "n", "point")
     keys = heads.select(F.explode("keys").alias("key"), "c")
     shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     members = cut(keys.join(shared, "key").distinct())
-    points = members.join(classes.select("c", "n", "point"), "c").select("key", "n", "c", "point")
-    hot = cut(members.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key"))
+    sets = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("c")).alias("s"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("t"))
+    told = cut(sets.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key", "n"))  # keys of one set of classes say the same
+    points = members.join(told.select("key"), "key").join(classes.select("c", "n", "point"), "c").select("key", "n", "c", "point")
+    hot = told.filter(F.col("n") > HOT).select("key")
     forests = _forests(points.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key", "n", "c"), percent)
     forests = forests.unionByName(_hot_forests(_salted(points, hot, "key", "c"), percent))
     of = lambda edges: _blocks(components(cut(edges.distinct())).select(F.col("v").alias("c"), F.col("label").alias("cluster")).join(classes.select("c", "d", "x", "n"), "c"), percent)
