@@ -421,3 +421,17 @@ def test_order_stitching_and_late_rows(spark):
     text = C.stitch_text(given.filter("chunk_index >= 0"), "request_id", text="body").filter("request_id = 'r3'").first().body
     assert read("gemini", text)[0] == f"a {T} {N}"
     assert {r.chunk_index for r in C.late_rows(given, done).collect()} == {i for i in range(2, 10)}
+
+
+def test_only_events_where_a_token_may_start_are_read(monkeypatch):
+    from veilspark.functions import streams
+
+    seen, token = [], "<REDACTED_0123456789abcdef>"
+    monkeypatch.setattr(streams, "read_json", lambda *a, own=streams.read_json: seen.append(a) or own(*a))
+    event = lambda said: 'data: {"object":"chat.completion.chunk","choices":[{"index":0,"delta":{"content":"' + said + '"}}]}\n\n'
+    said = [event(x) for x in ["a\\n b"] * 40 + ["to \\u003cREDACTED_01", "23456789abcdef>!"] + ["c"] * 40]
+    row = lambda i, body, known=None: {"chunk_index": i, "ts": 100.0 - i, "body": body, "route": "sse", "source_format": "openai", "originals": known or {}}
+    out = {i: body for i, body, _, error in streams.restore_all([row(-1, None, {token: ["joe", None]}), *[row(i, x) for i, x in enumerate(said)]]) if not error}
+    assert [out[i] for i in (*range(40), *range(42, 82))] == said[:40] + said[42:]
+    assert '"content":"to "' in out[40] and '"content":"joe!"' in out[41]
+    assert len(seen) == 2

@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from .regions import Malformed, Number, is_text, read_json, write_json
 from .restoring import Arguments, Restorer, held, labels_of
@@ -40,15 +41,23 @@ def fits(value: object, shape: object) -> bool:
     if isinstance(shape, list):
         return isinstance(value, list) and all(fits(v, shape[0]) for v in value)
     if isinstance(shape, dict):
-        return isinstance(value, dict) and all(_member(value, name, own) for name, own in shape.items())
+        if not isinstance(value, dict):
+            return False
+        for name, own in shape.items():
+            key, optional, nullable = _named(name)
+            if key not in value:
+                if not optional:
+                    return False
+            elif not (nullable and value[key] is None or fits(value[key], own)):
+                return False
+        return True
     return _KINDS[shape](value)
 
 
-def _member(value: dict, name: str, shape: object) -> bool:
-    key = name.rstrip("?~")
-    if key not in value:
-        return "?" in name
-    return "~" in name and value[key] is None or fits(value[key], shape)
+@lru_cache(maxsize=1024)
+def _named(name: str) -> tuple[str, bool, bool]:
+    """(key, whether it may be absent, whether it may be null) of a member's name in a shape."""
+    return name.rstrip("?~"), "?" in name, "~" in name
 
 
 _CALL = {"function?~": {"arguments?": TEXT}}
@@ -240,6 +249,9 @@ class Memory:
     def waiting(self) -> list[int]:
         return sorted(self._waiting)
 
+    def is_waiting(self, index: int) -> bool:
+        return index in self._waiting
+
     def put_waiting(self, index: int, row: dict) -> None:
         self._waiting[index] = row
 
@@ -286,6 +298,11 @@ _FIELD_STARTS = {f[:i] for f in ("data:", "event:", "id:", "retry:") for i in ra
 _JUMP = re.compile(r'["\\{}\[\]]')
 
 
+_held = lru_cache(maxsize=1024)(lambda labels, escaped: held(list(labels), escaped))
+#: What an event holds where a token may start, as it stands or escaped, and the names of deltas whose quotes are counted.
+_STARTS, _COUNTED = re.compile(r"<|\\u"), re.compile("arguments|partial_json")
+
+
 def json_end(text: str, depth: int, inside: bool, skip: bool) -> tuple[int | None, int, bool, bool]:
     """Where a JSON object that may have begun earlier closes in ``text``, and the state behind it: how deep, whether inside a string,
     whether the next character is escaped."""
@@ -318,7 +335,8 @@ class Stream:
     def __init__(self, store: Memory, now: float):
         self.store, self.head = store, store.head
         self.work = Restorer(_Live(store, now))
-        self.hold, self.hold_arguments = held(self.head["labels"]), held(self.head["labels"], True)
+        labels = tuple(self.head["labels"])
+        self.hold, self.hold_arguments = _held(labels, False), _held(labels, True)
 
     def chunk(self, body: str, route: str) -> str:
         """What goes out for a chunk; empty where all of it is held back."""
@@ -415,12 +433,15 @@ class Stream:
             return text, None
 
     def _event(self, event: str, kind: str) -> str:
+        quiet = not _STARTS.search(event)
+        if quiet and not self.head["channels"] and not _COUNTED.search(event):
+            return event  # read or not, it goes out as it came
         if kind == "json":
             try:
                 doc = read_json(event)
             except Malformed:
                 return event
-            before, after = self._carried_out(doc, None)
+            before, after = self._carried_out(doc, None, quiet)
             return before + (event if after is None else write_json(after))
         text, doc = self._payload(event)
         first = re.search(r"(?:\A|[\r\n])data:( ?)", event)
@@ -430,7 +451,7 @@ class Stream:
             return self._late("", *form) + event
         if doc is None:
             return self.work.events(event)
-        before, after = self._carried_out(doc, form)
+        before, after = self._carried_out(doc, form, quiet)
         if after is None:
             return before + event
         lines, said = [], form[0] + write_json(after)
@@ -442,8 +463,8 @@ class Stream:
                 said = ""
         return before + "".join(lines)
 
-    def _carried_out(self, doc: object, form: tuple[str, str] | None) -> tuple[str, object]:
-        """(events before, the new document; None: the event stays as it came)."""
+    def _carried_out(self, doc: object, form: tuple[str, str] | None, quiet: bool) -> tuple[str, object]:
+        """(events before, the new document; None: the event stays as it came). ``quiet``: no token starts in the event."""
         plan = PLANS[self.head["format"]](doc) if isinstance(doc, dict) and self.head["format"] in PLANS else None
         if plan is OPAQUE:
             return "", None
@@ -466,6 +487,8 @@ class Stream:
             else:
                 tail = "".join(self._tail(name) for name in sorted(self.store.channels()) if name.startswith(start))
                 placed += [(path, tail)] if tail else []
+        if quiet and not placed and all(text == _at(doc, path) for path, text in said.items()):
+            return before, None
         after = _rebuilt(doc, said, self.work)
         for path, tail in placed:
             _add(after, path, tail)
@@ -573,8 +596,11 @@ class Session:
             yield from self._in_turn()
         elif head["idle"]:
             yield index, None, False, "the request has no init"
-        elif head["ready"] and index < head["next"] or index in self.store.waiting():
+        elif head["ready"] and index < head["next"] or self.store.is_waiting(index):
             yield index, None, False, "the chunk has come before, or too late"
+        elif head["ready"] and index == head["next"]:
+            yield self._restored(index, row)
+            yield from self._in_turn()
         else:
             self.store.put_waiting(index, row)
             yield from self._in_turn()

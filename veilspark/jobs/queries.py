@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -39,6 +39,16 @@ def seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" "), seed))
 
 
+#: Characters of a delta; tokens are longer, so they are cut.
+DELTA = 40
+
+
+def deltas(text: Column, size: int = DELTA) -> Column:
+    """The text in parts of ``size`` characters; the last is shorter, if only empty. In one pass: looking for a place in a text goes from its start."""
+    whole = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    return F.when(F.length(text) % size == 0, F.concat(whole, F.array(F.lit("")))).otherwise(whole)
+
+
 # ---- SQL pieces
 
 

@@ -12,10 +12,7 @@ from ..functions.rules import ALL_VALUES, VALUE_RULES, RuleSet, effective_rules
 from ..operators import findings, redaction, requests, responses, vault
 from ..sources.scratch import cut
 from ..streaming import chunks
-from .queries import KEY, _SEEDED, _sql_hits, _sql_hmac, _sql_text, seeded, sql_redacted, table
-
-#: Characters of a delta; tokens are longer, so they are cut.
-DELTA = 40
+from .queries import DELTA, KEY, _SEEDED, _sql_hits, _sql_hmac, _sql_text, deltas, seeded, sql_redacted, table
 
 
 def _text_json(text: Column) -> Column:
@@ -61,14 +58,14 @@ def streamed_texts(spark, sf_dir, kind: str):
     common = lambda at: [F.timestamp_seconds(F.lit(10_000) - at * 0.001).alias("ts"), F.lit(kind).alias("source_format"), F.lit("text/event-stream").alias("content_type")]
     none = F.lit(None).cast("string")
     init = texts.select("request_id", F.lit(-1).alias("chunk_index"), *common(F.lit(0)), none.alias("body"), F.col("text").alias("request_body"))
-    parts = texts.select("request_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.length("text"), F.lit(DELTA)), lambda i: F.substring("text", i + 1, F.lit(DELTA)))).alias("at", "part"))
+    parts = texts.select("request_id", F.posexplode(deltas(F.col("text"))).alias("at", "part"))
     ends = texts.select("request_id", (F.ceil((F.length("text") + 1) / DELTA)).cast("int").alias("at"), F.lit(lead + last + end).alias("event"))
     events = parts.select("request_id", "at", _written(lead, event(_text_json(F.col("part"))), end).alias("event")).unionByName(ends)
     half = F.floor(F.length("event") / 2).cast("int")
     cut_in_two = F.array(F.left("event", half), F.substring("event", half + 1, F.length("event")))
     bodies = events.select("request_id", "at", F.posexplode(cut_in_two).alias("side", "body")).withColumn("chunk_index", F.col("at") * 2 + F.col("side"))
     given = init.unionByName(bodies.select("request_id", "chunk_index", *common(F.col("chunk_index")), "body", none.alias("request_body")))
-    out = chunks.restore_chunks(given, given.limit(0).select("request_id", "ts"), mapping).filter("chunk_index >= 0")
+    out = chunks.restore_chunks(given, given.limit(0).select("request_id", "ts"), mapping, init).filter("chunk_index >= 0")
     # What goes out for a chunk is whole events; a tail may add one before the last.
     data = F.regexp_extract_all("body", F.lit(r"(?m)^(?:data: ?)?(\{.*\})\r?$"), F.lit(1))
     said = F.array_join(F.transform(data, lambda d: F.coalesce(F.get_json_object(d, f"$.{place}"), F.lit(""))), "")
@@ -220,11 +217,11 @@ def streamed_arguments(spark, sf_dir):
     common = [F.timestamp_seconds(F.lit(10_000)).alias("ts"), F.lit("openai").alias("source_format"), F.lit("text/event-stream").alias("content_type")]
     init = texts.select("request_id", F.lit(-1).alias("chunk_index"), *common, none.alias("body"), F.col("text").alias("request_body"))
     inner = texts.select("request_id", F.to_json(F.struct(F.col("text").alias("q"))).alias("a"))
-    parts = inner.select("request_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.length("a"), F.lit(DELTA)), lambda i: F.substring("a", i + 1, F.lit(DELTA)))).alias("chunk_index", "part"))
+    parts = inner.select("request_id", F.posexplode(deltas(F.col("a"))).alias("chunk_index", "part"))
     event = _written('data: {"object":"chat.completion.chunk","choices":[{"index":0,"delta":{"tool_calls":[{"index":0,"function":{"arguments":', _text_json(F.col("part")), "}}]}}]}\n\n")
     ends = inner.select("request_id", F.ceil((F.length("a") + 1) / DELTA).cast("int").alias("chunk_index"), *common, F.lit("data: [DONE]\n\n").alias("body"), none.alias("request_body"))
     given = init.unionByName(parts.select("request_id", "chunk_index", *common, event.alias("body"), none.alias("request_body"))).unionByName(ends)
-    out = chunks.restore_chunks(given, given.limit(0).select("request_id", "ts"), mapping).filter("chunk_index >= 0")
+    out = chunks.restore_chunks(given, given.limit(0).select("request_id", "ts"), mapping, init).filter("chunk_index >= 0")
     data = F.regexp_extract_all("body", F.lit(r"(?m)^data: (\{.*\})$"), F.lit(1))
     said = F.array_join(F.transform(data, lambda d: F.coalesce(F.get_json_object(d, "$.choices[0].delta.tool_calls[0].function.arguments"), F.lit(""))), "")
     whole = chunks.stitch_text(out.select("request_id", "chunk_index", said.alias("text")), "request_id")

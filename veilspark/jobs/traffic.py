@@ -10,7 +10,7 @@ from ..functions.rules import FIELD_RULES, VALUE_RULES, RuleSet, effective_rules
 from ..operators import findings, requests, responses
 from ..sources.scratch import cut
 from ..streaming import chunks
-from .queries import KEY, _SEEDED, _sql_hits, _sql_hmac, _sql_text, seeded, sql_redacted, table
+from .queries import KEY, _SEEDED, _sql_hits, _sql_hmac, _sql_text, deltas, seeded, sql_redacted, table
 
 #: The formats, and the place of the text in the bodies made here.
 PLACES = [("openai", "messages[0].content"), ("openai-response", "input"), ("claude", "messages[0].content"), ("gemini", "contents[0].parts[0].text"), ("openai-image", "prompt"), ("openai-video", "prompt")]
@@ -155,13 +155,13 @@ def restore_chunks(spark, sf_dir):
     at = F.timestamp_seconds(F.lit(0))
     none = F.lit(None).cast("string")
     init = done.select("request_id", F.lit(-1).alias("chunk_index"), at.alias("ts"), F.lit("openai").alias("source_format"), F.lit("text/event-stream").alias("content_type"), none.alias("body"), F.col("body").alias("request_body"))
-    parts = done.select("request_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.length(text), F.lit(40)), lambda i: F.substring(text, i + 1, F.lit(40)))).alias("chunk_index", "part"))
+    parts = done.select("request_id", F.posexplode(deltas(text)).alias("chunk_index", "part"))
     event = lambda delta, why: F.concat(F.lit("data: "), F.to_json(F.struct(F.lit("chat.completion.chunk").alias("object"), F.array(F.struct(F.lit(0).alias("index"), delta.alias("delta"), why.alias("finish_reason"))).alias("choices"))), F.lit("\n\n"))
     said = parts.select("request_id", "chunk_index", at.alias("ts"), F.lit("openai").alias("source_format"), F.lit("text/event-stream").alias("content_type"), event(F.struct(F.col("part").alias("content")), none).alias("body"), none.alias("request_body"))
     last = done.select("request_id", F.lit(2**31 - 1).alias("chunk_index"), at.alias("ts"), F.lit("openai").alias("source_format"), F.lit("text/event-stream").alias("content_type"), event(F.struct(F.lit("").alias("content")), F.lit("stop")).alias("body"), none.alias("request_body"))
     given = init.unionByName(said).unionByName(last)
     completions = given.limit(0).select("request_id", "ts")
-    out = chunks.restore_chunks(given, completions, mapping).filter("chunk_index >= 0")
+    out = chunks.restore_chunks(given, completions, mapping, init).filter("chunk_index >= 0")
     content = out.select("request_id", "chunk_index", F.coalesce(F.get_json_object(F.substring("body", 7, 10**9), "$.choices[0].delta.content"), F.lit("")).alias("text"))
     return chunks.stitch_text(content, "request_id").select("request_id", F.sha2("text", 256).alias("text_sha256"))
 

@@ -13,6 +13,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -43,30 +44,68 @@ def stream_originals(inits: DataFrame, vault: DataFrame, most: int = MAX_TOKENS)
     return known.groupBy("request_id").agg(F.to_json(F.map_from_entries(F.collect_set(F.struct("token", "o")))).alias("originals"))
 
 
+FIELDS = ("chunk_index", "seconds", "body", "route", "source_format", "originals")
+#: Rows and characters of restored chunks that a task gives out at a time.
+OUT_ROWS, OUT_CHARS = 5_000, 1 << 22
+
+
+def _row(index: int | None, seconds: float, body: str | None, route: str | None, source_format: str | None, originals: str | None) -> dict:
+    known = {t: [o["original"], o.get("expires")] for t, o in json.loads(originals).items()} if originals else {}
+    return {"chunk_index": index, "ts": seconds, "body": body, "route": route, "source_format": source_format, "originals": known}
+
+
 def _rows(data: pd.DataFrame) -> list[dict]:
-    out = []
-    for r in data.to_dict("records"):
-        known = json.loads(r["originals"]) if isinstance(r["originals"], str) else {}
-        text = lambda c: r[c] if isinstance(r[c], str) else None  # noqa: E731, B023
-        out.append({
-            "chunk_index": None if pd.isna(r["chunk_index"]) else int(r["chunk_index"]), "ts": r["seconds"], "body": text("body"), "route": text("route"),
-            "source_format": text("source_format"), "originals": {t: [o["original"], o.get("expires")] for t, o in known.items()},
-        })
-    return out
+    text = lambda v: v if isinstance(v, str) else None
+    return [_row(None if pd.isna(i) else int(i), s, *map(text, own)) for i, s, *own in data[list(FIELDS)].itertuples(index=False, name=None)]
 
 
 def _frame(key: str, done: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame([(key, *r) for r in done], columns=["request_id", "chunk_index", "body", "dropped", "error"])
 
 
-def restore_chunks(chunks: DataFrame, completions: DataFrame, vault: DataFrame) -> DataFrame:
-    """(request_id, chunk_index, body, dropped, error) of all chunks of a table; a request's rows are the only ones that meet."""
+def restore_chunks(chunks: DataFrame, completions: DataFrame, vault: DataFrame, inits: DataFrame | None = None) -> DataFrame:
+    """(request_id, chunk_index, body, dropped, error) of all chunks of a table; a request's rows are the only ones that meet. They
+    stand one behind the other in their partition, so a task holds those of one request at a time. Originals come as one more row of
+    their request, so chunks are dealt out once and joined with nothing. ``inits``: the init rows of ``chunks``, where the caller has
+    them apart and finding them costs a pass."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, known, done, chars = None, [], None, [], 0
+
+        def restored() -> list[tuple]:
+            for r in rows:
+                if known and r["chunk_index"] == -1:
+                    r["originals"] = known
+            return [(key, *x) for x in restore_all(rows)]
+
+        def given() -> pa.RecordBatch:
+            columns = list(zip(*done, strict=True)) or [()] * 5
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.string())
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["request_id", "chunk_index", "body", "dropped", "error"])
+            done.clear()
+            return out
+
+        for batch in batches:
+            for own, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own != key:
+                    done += (new := restored())
+                    chars += sum(len(x[2] or "") for x in new)
+                    key, rows, known = own, [], None
+                    if len(done) >= OUT_ROWS or chars >= OUT_CHARS:
+                        chars = 0
+                        yield given()
+                if row[-1] is None:
+                    rows.append(_row(*row))
+                else:
+                    known = _row(*row)["originals"]
+        done += restored()
+        yield given()
 
-    def one(key: tuple, data: pd.DataFrame) -> pd.DataFrame:
-        return _frame(key[0], restore_all(_rows(data)))
-
-    rows = events(chunks, completions, stream_originals(chunks, vault)).withColumn("seconds", F.col("ts").cast("double")).drop("ts")
-    return rows.groupBy("request_id").applyInPandas(one, OUT)
+    none = F.lit(None).cast("string")
+    own = events(chunks.withColumn("originals", none), completions).withColumn("seconds", F.col("ts").cast("double"))
+    originals = stream_originals(chunks if inits is None else inits, vault).filter("request_id is not null")
+    rows = own.unionByName(originals, allowMissingColumns=True)
+    return rows.select(F.col("request_id").cast("string"), *FIELDS).repartition("request_id").sortWithinPartitions("request_id").mapInArrow(task, OUT)
 
 
 class Stored:
@@ -124,6 +163,9 @@ class Stored:
     def waiting(self) -> list[int]:
         return sorted(k[0] for k in self._waiting.keys())
 
+    def is_waiting(self, index: int) -> bool:
+        return self._waiting.containsKey((index,))
+
     def put_waiting(self, index: int, row: dict) -> None:
         self._waiting.updateValue((index,), (json.dumps(row),))
 
