@@ -207,3 +207,16 @@ def test_pipeline_stages(spark, tmp_path):
     empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for name, stage in p.STAGES:
         assert stage(spark, empty, sf).collect() == [], name
+
+
+def test_near_copies_ship_no_long_texts_that_share_a_passage(spark, monkeypatch):
+    import random
+
+    import corpus_pipeline
+
+    r, seen, own = random.Random(6), [], ngram_jaccard._fine_forests
+    monkeypatch.setattr(ngram_jaccard, "_fine_forests", lambda docs, wanted, *a: seen.append(wanted.count()) or own(docs, wanted, *a))
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(9))
+    docs = [(i, " ".join(word() for _ in range(5000)) + " " + " ".join(f"quoted{k}" for k in range(30)), "en") for i in range(8)]
+    assert corpus_pipeline.near_copies(spark, table(spark, docs), "").count() == 8
+    assert seen == [0]
